@@ -133,7 +133,11 @@ def churn_signal_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def drift_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return drift_transform(table(spark, sf_dir, "events"))
+
+
+def drift_transform(ev: DataFrame) -> DataFrame:
+    """Row-wise (stateless) events -> drift view; works on a stream too."""
     origin = F.lit(DRIFT_ORIGIN).cast("timestamp_ntz")
     period = (F.floor(F.timestamp_diff("MICROSECOND", origin, F.col("ts"))
                       / F.lit(PERIOD_DAYS * 86_400_000_000.0)) + 1).cast("int")

@@ -28,5 +28,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> tuple[dict[str, QueryFn], dict[str, str]]:
     # Importing the modules registers their queries.
-    from . import queries_drift, queries_features, queries_keys, queries_stats  # noqa: F401
+    from . import queries_drift, queries_features, queries_keys, queries_model, queries_stats  # noqa: F401
     return QUERIES, ORACLE
