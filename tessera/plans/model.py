@@ -45,11 +45,13 @@ def check_cardinality(df: DataFrame, columns: Sequence[str], max_categories: int
     return counts
 
 
-def one_hot_stages(columns: Sequence[str], output: str = "features") -> list:
+def one_hot_stages(columns: Sequence[str], output: str = "features",
+                   passthrough: Sequence[str] = ()) -> list:
     """M3 stages: NULL becomes a category of its own (a sentinel string), values
     are indexed in ascending string order with an extra index for unseen values
     (the indexer's 'keep'), and the one-hot drops the last slot, which is that
-    index, so an unseen value encodes to all zeros."""
+    index, so an unseen value encodes to all zeros.  ``passthrough`` numeric
+    columns join the feature vector as they are (NULL becomes NaN)."""
     cols = list(columns)
     sel = ", ".join(f"coalesce(CAST({_q(c)} AS STRING), '{NULL_TOKEN}') AS {_q(c + '__s')}"
                     for c in cols)
@@ -59,17 +61,21 @@ def one_hot_stages(columns: Sequence[str], output: str = "features") -> list:
                       handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=[c + "__idx" for c in cols], outputCols=[c + "__ohe" for c in cols],
                       dropLast=True),
-        VectorAssembler(inputCols=[c + "__ohe" for c in cols], outputCol=output),
+        VectorAssembler(inputCols=[c + "__ohe" for c in cols] + list(passthrough), outputCol=output,
+                        handleInvalid="keep"),
     ]
 
 
 def fit_one_hot(train: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                max_categories: int = 10000, output: str = "features") -> PipelineModel:
+                max_categories: int = 10000, output: str = "features",
+                passthrough: Sequence[str] = ()) -> PipelineModel:
     """M3: fit on the training rows; ``columns=None`` encodes every column
-    (numeric ones too) except ``exclude``."""
-    cols = [c for c in (columns or train.columns) if c not in set(exclude)]
+    (numeric ones too, as the reference does) except ``exclude`` and
+    ``passthrough``."""
+    skip = set(exclude) | set(passthrough)
+    cols = [c for c in (columns or train.columns) if c not in skip]
     check_cardinality(train, cols, max_categories)
-    return Pipeline(stages=one_hot_stages(cols, output)).fit(train)
+    return Pipeline(stages=one_hot_stages(cols, output, passthrough)).fit(train)
 
 
 @dataclass
@@ -83,13 +89,16 @@ class GBTParams:
 
 def fit_gbt(df: DataFrame, label: str, split_col: str = "split", train: str = "train",
             valid: str = "val", columns: Sequence[str] | None = None,
-            params: GBTParams | None = None, max_categories: int = 10000) -> PipelineModel:
+            params: GBTParams | None = None, max_categories: int = 10000,
+            numeric: Sequence[str] = ()) -> PipelineModel:
     """M4 + M6: encoder fit on ``train`` rows; boosted trees fit on train with
-    the ``valid`` rows as the early-stopping set; one PipelineModel out."""
+    the ``valid`` rows as the early-stopping set; one PipelineModel out.
+    Every feature column is one-hot encoded unless listed in ``numeric``."""
     p = params or GBTParams()
     feats = [c for c in (columns or df.columns) if c not in (label, split_col)]
     tr = df.filter(F.col(split_col) == train)
-    enc = fit_one_hot(tr, feats, max_categories=max_categories)
+    enc = fit_one_hot(tr, [c for c in feats if c not in set(numeric)],
+                      max_categories=max_categories, passthrough=numeric)
     fit_rows = (df.filter(F.col(split_col).isin(train, valid))
                 .withColumn("_is_val", F.col(split_col) == valid)
                 .withColumn("_label", F.col(label).cast("double")))
