@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .prefix import exact_quantiles, running_totals
+from .prefix import quantile_aggs, quantiles_from_counts, running_totals
 
 SMOOTH = 1e-6
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -55,35 +55,51 @@ def _split_columns(df: DataFrame, columns: Sequence[str] | None, skip: Sequence[
 
 
 def profile(df: DataFrame, ts: str, width: str, origin: str,
-            columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+            columns: Sequence[str] | None = None, approx: bool = False,
+            detail: bool = True) -> DataFrame:
     """One row per (window, column): window (start), k, column, n, nulls,
     null_rate, distinct, min, max, mean, std, p25, p50, p75.  Numeric stats
     are NULL for non-numeric columns.  ``approx`` switches distinct counts and
-    quartiles to their one-pass sketches."""
+    quartiles to their one-pass sketches; ``detail=False`` leaves them out
+    (NULL), which saves the per-value pass when only counts are needed.
+
+    Exact distinct counts and quartiles share one table of counts per
+    (window, column, value) and one running-count pass over it.
+    """
     num, cat = _split_columns(df, columns, [ts])
     k = window_index(ts, width, origin).alias("k")
+    nulld = F.lit(None).cast("double")
     parts = []
     if num:
         long = (df.select(k, *[F.col(c).cast("double").alias(c) for c in num])
                 .unpivot(["k"], num, "column", "value"))
-        dist = F.approx_count_distinct("value") if approx else F.count_distinct("value")
-        base = long.groupBy("k", "column").agg(
-            F.count(F.lit(1)).alias("n"), F.count("value").alias("_nn"),
-            dist.alias("distinct"), F.min("value").alias("min"), F.max("value").alias("max"),
-            F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-        if approx:
-            q = long.groupBy("k", "column").agg(
+        aggs = [F.count(F.lit(1)).alias("n"), F.count("value").alias("_nn"),
+                F.min("value").alias("min"), F.max("value").alias("max"),
+                F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")]
+        if not detail:
+            base = long.groupBy("k", "column").agg(
+                *aggs, F.lit(None).cast("bigint").alias("distinct"),
+                *[nulld.alias(c) for c in ("p25", "p50", "p75")])
+        elif approx:
+            base = long.groupBy("k", "column").agg(
+                *aggs, F.approx_count_distinct("value").alias("distinct"),
                 F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("_q")).select(
-                "k", "column", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(("p25", "p50", "p75"))])
+                "*", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(("p25", "p50", "p75"))]).drop("_q")
         else:
-            q = exact_quantiles(long, ["k", "column"], "value", [0.25, 0.5, 0.75],
-                                names=["p25", "p50", "p75"])
-        parts.append(base.join(q, ["k", "column"], "left"))
+            counts = (long.filter(F.col("value").isNotNull())
+                      .groupBy("k", "column", "value").agg(F.count(F.lit(1)).alias("_c")))
+            q = quantiles_from_counts(counts, ["k", "column"], "value", "_c", [0.25, 0.5, 0.75],
+                                      names=["p25", "p50", "p75"], distinct_name="distinct")
+            base = long.groupBy("k", "column").agg(*aggs).join(q, ["k", "column"], "left") \
+                .withColumn("distinct", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")))
+        parts.append(base)
     if cat:
         long = (df.select(k, *[F.col(c).cast("string").alias(c) for c in cat])
                 .unpivot(["k"], cat, "column", "value"))
-        dist = F.approx_count_distinct("value") if approx else F.count_distinct("value")
-        nulld = F.lit(None).cast("double")
+        if not detail:
+            dist = F.lit(None).cast("bigint")
+        else:
+            dist = F.approx_count_distinct("value") if approx else F.count_distinct("value")
         parts.append(long.groupBy("k", "column").agg(
             F.count(F.lit(1)).alias("n"), F.count("value").alias("_nn"), dist.alias("distinct"),
             *[nulld.alias(c) for c in ("min", "max", "mean", "std", "p25", "p50", "p75")]))
@@ -176,8 +192,10 @@ def numeric_drift(df: DataFrame, col: str, ts: str, width: str, origin: str,
     and psi over the deciles of window k-1.  NULLs are ignored.
 
     Values are counted per (comparison, value), each window being the current
-    side of its own comparison and the baseline side of the next one; the
-    running totals give both empirical CDFs at every distinct value.
+    side of its own comparison and the baseline side of the next one.  One
+    running-total pass gives both empirical CDFs at every distinct value, and
+    from the baseline's running count also the decile edges; a second small
+    aggregate buckets both sides on those edges.
     """
     v = F.col(col).cast("double")
     base = (df.select(window_index(ts, width, origin).alias("k"), v.alias("v"))
@@ -197,20 +215,22 @@ def numeric_drift(df: DataFrame, col: str, ts: str, width: str, origin: str,
     d_prev = ((F.col("cum_n_base") - F.col("n_base")) / F.col("tot_base")
               - (F.col("cum_n_cur") - F.col("n_cur")) / F.col("tot_cur"))
     w1 = F.coalesce(F.abs(d_prev) * (F.col("v") - F.col("prev_v")), F.lit(0.0))
-    ks = j.groupBy("k", "tot_cur", "tot_base", "_sc", "_sb").agg(
-        F.max(F.abs(d_here)).alias("ks"), F.sum(w1).alias("wasserstein"))
-    # PSI over baseline deciles: edges are exact quantiles of window k-1.
     names = [f"e{i}" for i in range(1, 10)]
-    edges = exact_quantiles(base, ["k"], "v", PSI_EDGES, buckets, names=names) \
-        .select((F.col("k") + 1).alias("k"), *names)
+    # baseline rows only (n_base > 0) locate the baseline's decile edges
+    jb = j.withColumn("_vb", F.when(F.col("n_base") > 0, F.col("v")))
+    q_aggs, q_finals = quantile_aggs("_vb", "n_base", "cum_n_base", "tot_base", PSI_EDGES, names)
+    stats = jb.groupBy("k", "tot_cur", "tot_base", "_sc", "_sb").agg(
+        F.max(F.abs(d_here)).alias("ks"), F.sum(w1).alias("wasserstein"), *q_aggs) \
+        .select("k", "tot_cur", "tot_base", "_sc", "_sb", "ks", "wasserstein", *q_finals)
+    # stats has one row per comparison: bounded by the number of windows
     bucket = sum((F.col("v") > F.col(e)).cast("int") for e in names)
-    bk = sides.join(edges, "k").groupBy("k", bucket.alias("b")).agg(
-        F.sum("n_cur").alias("bc"), F.sum("n_base").alias("bb"))
-    bk = bk.join(tot.select("k", "tot_cur", "tot_base"), "k")
+    bk = per.join(stats.select("k", "tot_cur", "tot_base", *names), "k") \
+        .groupBy("k", "tot_cur", "tot_base", bucket.alias("b")) \
+        .agg(F.sum("n_cur").alias("bc"), F.sum("n_base").alias("bb"))
     pc = F.greatest(F.col("bc") / F.col("tot_cur"), F.lit(SMOOTH))
     pb = F.greatest(F.col("bb") / F.col("tot_base"), F.lit(SMOOTH))
     psi = bk.groupBy("k").agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"))
-    return ks.join(psi, "k").select(
+    return stats.join(psi, "k").select(
         "k", F.col("tot_cur").alias("n"), F.col("tot_base").alias("prev_n"),
         (F.col("_sc") / F.col("tot_cur") - F.col("_sb") / F.col("tot_base")).alias("mean_shift"),
         "ks", "wasserstein", "psi")

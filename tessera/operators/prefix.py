@@ -71,36 +71,59 @@ def global_rank(df: DataFrame, order: Sequence[str], buckets: int | None = None)
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
-                    buckets: int | None = None, names: Sequence[str] | None = None) -> DataFrame:
+                    buckets: int | None = None, names: Sequence[str] | None = None,
+                    distinct_name: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (``quantile_cont`` / ``percentile``)
     of ``value`` per group, distributed.
 
     Values are first counted per distinct value (map-side combined), then
     running counts locate the ranks ``floor(h)`` and ``ceil(h)`` with
     ``h = (n - 1) q``; NULLs are ignored.  Returns ``by`` + one double column
-    per probability (``names`` or ``q<percent>``).
+    per probability (``names`` or ``q<percent>``), plus the number of
+    distinct values as ``distinct_name`` if given.
     """
     by = list(by)
-    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     if not by:
-        out = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs, buckets, names)
+        out = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value, probs, buckets, names,
+                              distinct_name)
         return out.drop("_g")
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(counts, by, [value], ["_c"], buckets)
-    n = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    j = cum.join(n, by, "inner")
-    lo_prev = F.col("cum__c") - F.col("_c")
-    aggs = []
+    return quantiles_from_counts(counts, by, value, "_c", probs, buckets, names, distinct_name)
+
+
+def quantile_aggs(value: str, count: str, cum: str, total: str, probs: Sequence[float],
+                  names: Sequence[str]) -> tuple[list, list]:
+    """Aggregates over rows (value, count, running count, group total) that
+    give exact quantiles; returns (aggregates, final column expressions)."""
+    lo_prev = F.col(cum) - F.col(count)
+    aggs, finals = [], []
     for p, nm in zip(probs, names):
-        h = (F.col("_n") - 1) * F.lit(float(p))
+        h = (F.col(total) - 1) * F.lit(float(p))
         lo = F.floor(h)
         hi = F.ceil(h)
-        cov_lo = (lo >= lo_prev) & (lo < F.col("cum__c"))
-        cov_hi = (hi >= lo_prev) & (hi < F.col("cum__c"))
+        cov_lo = (lo >= lo_prev) & (lo < F.col(cum))
+        cov_hi = (hi >= lo_prev) & (hi < F.col(cum))
         aggs += [F.max(F.when(cov_lo, F.col(value).cast("double"))).alias(f"_{nm}_lo"),
                  F.max(F.when(cov_hi, F.col(value).cast("double"))).alias(f"_{nm}_hi"),
                  F.max(h - lo).alias(f"_{nm}_d")]
+        finals.append((F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo"))
+                       * F.col(f"_{nm}_d")).alias(nm))
+    return aggs, finals
+
+
+def quantiles_from_counts(counts: DataFrame, by: Sequence[str], value: str, count: str,
+                          probs: Sequence[float], buckets: int | None = None,
+                          names: Sequence[str] | None = None,
+                          distinct_name: str | None = None) -> DataFrame:
+    """:func:`exact_quantiles` over a table already counted per (by, value)."""
+    by = list(by)
+    names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    cum = running_totals(counts, by, [value], [count], buckets)
+    n = counts.groupBy(*by).agg(F.sum(count).alias("_n"))
+    j = cum.join(n, by, "inner")
+    aggs, finals = quantile_aggs(value, count, f"cum_{count}", "_n", probs, names)
+    if distinct_name:
+        aggs.append(F.count(F.lit(1)).alias(distinct_name))
     g = j.groupBy(*by).agg(*aggs)
-    return g.select(*by, *[(F.col(f"_{nm}_lo") + (F.col(f"_{nm}_hi") - F.col(f"_{nm}_lo"))
-                            * F.col(f"_{nm}_d")).alias(nm) for nm in names])
+    return g.select(*by, *finals, *([distinct_name] if distinct_name else []))

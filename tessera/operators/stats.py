@@ -80,25 +80,42 @@ def ols(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
 
 def pair_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """For every ordered pair (x, y) of distinct columns, n, corr and the
-    fitted line y = slope * x + intercept with its r2.  One aggregate."""
+    fitted line y = slope * x + intercept with its r2.
+
+    One aggregate of centred co-moments per unordered pair (count, means,
+    population variances, covariance over rows where both are present) serves
+    both directions; few enough buffer fields to stay in generated code.
+    """
     cols = list(cols)
     aggs, pairs = [], []
-    for i, xc in enumerate(cols):
-        for j, yc in enumerate(cols):
-            if i == j:
-                continue
-            x, y = F.col(xc).cast("double"), F.col(yc).cast("double")
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            a, b = cols[i], cols[j]
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            x = F.when(both, F.col(a).cast("double"))
+            y = F.when(both, F.col(b).cast("double"))
             k = f"{i}_{j}"
-            pairs.append((xc, yc, k))
-            aggs += [F.regr_count(y, x).alias(f"n_{k}"), F.corr(x, y).alias(f"c_{k}"),
-                     F.regr_slope(y, x).alias(f"s_{k}"), F.regr_intercept(y, x).alias(f"i_{k}"),
-                     F.regr_r2(y, x).alias(f"r_{k}")]
+            pairs.append((a, b, k))
+            aggs += [F.count(x).alias(f"n_{k}"), F.avg(x).alias(f"ma_{k}"), F.avg(y).alias(f"mb_{k}"),
+                     F.var_pop(x).alias(f"va_{k}"), F.var_pop(y).alias(f"vb_{k}"),
+                     F.covar_pop(x, y).alias(f"c_{k}")]
     wide = df.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(
-        F.lit(xc).alias("x"), F.lit(yc).alias("y"), F.col(f"n_{k}").alias("n"),
-        F.col(f"c_{k}").alias("corr"), F.col(f"s_{k}").alias("slope"),
-        F.col(f"i_{k}").alias("intercept"), F.col(f"r_{k}").alias("r2")) for xc, yc, k in pairs]))
-    return wide.select(rows.alias("_p")).select("_p.*")
+
+    def direction(xc, yc, k, x_is_a):
+        vx, vy = (F.col(f"va_{k}"), F.col(f"vb_{k}")) if x_is_a else (F.col(f"vb_{k}"), F.col(f"va_{k}"))
+        mx, my = (F.col(f"ma_{k}"), F.col(f"mb_{k}")) if x_is_a else (F.col(f"mb_{k}"), F.col(f"ma_{k}"))
+        cov = F.col(f"c_{k}")
+        slope = F.when(vx != 0, cov / vx)
+        corr = F.when((vx != 0) & (vy != 0), cov / (F.sqrt(vx) * F.sqrt(vy)))
+        r2 = F.when(vx == 0, F.lit(None)).when(vy == 0, F.lit(1.0)).otherwise(corr * corr)
+        return F.struct(F.lit(xc).alias("x"), F.lit(yc).alias("y"), F.col(f"n_{k}").alias("n"),
+                        corr.alias("corr"), slope.alias("slope"), (my - slope * mx).alias("intercept"),
+                        r2.cast("double").alias("r2"))
+
+    rows = []
+    for a, b, k in pairs:
+        rows += [direction(a, b, k, True), direction(b, a, k, False)]
+    return wide.select(F.explode(F.array(*rows)).alias("_p")).select("_p.*")
 
 
 def linear_grid(lo: float, hi: float, n: int) -> list[float]:

@@ -77,7 +77,7 @@ SELECT k, "column", round(null_rate, 6) AS null_rate, round(prev_null_rate, 6) A
        round(delta, 6) AS delta FROM nulld""")
 def null_drift_q(spark, sf_dir):
     """Null rate of each window against the previous one."""
-    p = profile(fx.drift_view(spark, sf_dir), "date", WIDTH, ORIGIN, COLS)
+    p = profile(fx.drift_view(spark, sf_dir), "date", WIDTH, ORIGIN, COLS, detail=False)
     d = null_drift(p)
     return d.select("k", "column", *[F.round(c, 6).alias(c) for c in ("null_rate", "prev_null_rate", "delta")])
 
@@ -188,7 +188,7 @@ FROM dl WHERE {cond}"""
 def drift_alerts_q(spark, sf_dir):
     """Every drift metric of the view against fixed thresholds."""
     dv = fx.drift_view(spark, sf_dir)
-    p = profile(dv, "date", WIDTH, ORIGIN, COLS)
+    p = profile(dv, "date", WIDTH, ORIGIN, COLS, detail=False)  # null rates only
     long = drift_long(nulls=null_drift(p),
                       categories={"location": category_drift(dv, "location", "date", WIDTH, ORIGIN)},
                       numerics={"temperature": numeric_drift(dv, "temperature", "date", WIDTH, ORIGIN)})
