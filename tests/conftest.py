@@ -13,7 +13,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_session
-    s = get_session("local[4]", app="tessera-tests", shuffle_partitions=8)
+    s = get_session("local[4]", app="tessera-tests", shuffle_partitions=8,
+                    conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-wh-")})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
     yield s
