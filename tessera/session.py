@@ -54,6 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings a registered query relies on, applied to a session made
+    elsewhere: UTC session zone (wall-clock differences of TIMESTAMP_NTZ
+    values are computed through the session zone, which must not have DST)
+    and the shared checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
