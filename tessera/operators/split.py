@@ -69,7 +69,7 @@ def split_exact(df: DataFrame, key: str | Sequence[str], weights: dict[str, floa
     keys = [key] if isinstance(key, str) else list(key)
     parts = _norm(weights or DEFAULT_WEIGHTS)
     ranked = global_rank(df.withColumn("_u", unit_hash(keys, seed)), ["_u", *keys])
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    n = df.agg(F.count(F.lit(1)).alias("_n"))  # one row: attached as a scalar subquery
     # Cut points as expressions of n: the held-out remainder is ceil(rem * share).
     cuts, remaining = [], F.col("_n")
     start = F.lit(0).cast("bigint")
@@ -80,8 +80,7 @@ def split_exact(df: DataFrame, key: str | Sequence[str], weights: dict[str, floa
         end = start + (remaining - hold)
         cuts.append((name, end))
         start, remaining = end, hold
-    j = ranked.withColumn("_k1", F.lit(0)).join(
-        F.broadcast(n.withColumn("_k1", F.lit(0))), "_k1")  # one-row side
+    j = ranked.withColumn("_n", n.select("_n").scalar())
     expr = None
     for name, end in cuts:
         cond = F.col("rank0") < end

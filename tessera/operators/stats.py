@@ -123,10 +123,9 @@ def linear_grid(lo: float, hi: float, n: int) -> list[float]:
 
 
 def _with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row through a broadcast equi join
-    (the broadcast side is provably one row)."""
-    return df.withColumn("_k1", F.lit(0)).join(
-        F.broadcast(scalars.withColumn("_k1", F.lit(0))), "_k1").drop("_k1")
+    """Attach the columns of a one-row aggregate to every row as scalar
+    subqueries (evaluated once, inlined as literals; no join)."""
+    return df.select("*", *[scalars.select(c).scalar().alias(c) for c in scalars.columns])
 
 
 def kde(df: DataFrame, col: str, grid: Sequence[float], bandwidth: float | None = None) -> DataFrame:

@@ -16,13 +16,11 @@ from pyspark.sql import types as T
 
 def score_linear(df: DataFrame, fit: DataFrame, x: str, output: str = "predictions") -> DataFrame:
     """B2 for the one-feature line: ``intercept + slope * x``.  ``fit`` is the
-    one-row result of :func:`tessera.operators.stats.ols`; it is attached by a
-    broadcast join of that single row, so the plan stays lazy."""
-    coef = fit.select(F.col("slope").alias("_slope"), F.col("intercept").alias("_icpt"),
-                      F.lit(0).alias("_k1"))
-    j = df.withColumn("_k1", F.lit(0)).join(F.broadcast(coef), "_k1")
-    return j.select(*df.columns, (F.col("_icpt") + F.col("_slope") * F.col(x).cast("double"))
-                    .alias(output))
+    one-row result of :func:`tessera.operators.stats.ols`; its coefficients
+    enter as scalar subqueries, so the plan stays lazy and has no join."""
+    slope = fit.select("slope").scalar()
+    icpt = fit.select("intercept").scalar()
+    return df.select(*df.columns, (icpt + slope * F.col(x).cast("double")).alias(output))
 
 
 def score_with(df: DataFrame, load_fn: Callable[[], object], inputs: Sequence[str],
