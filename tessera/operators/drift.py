@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .prefix import quantile_aggs, quantiles_from_counts, running_totals
 
 SMOOTH = 1e-6
@@ -86,12 +87,29 @@ def profile(df: DataFrame, ts: str, width: str, origin: str,
                 F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("_q")).select(
                 "*", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(("p25", "p50", "p75"))]).drop("_q")
         else:
-            counts = (long.filter(F.col("value").isNotNull())
-                      .groupBy("k", "column", "value").agg(F.count(F.lit(1)).alias("_c")))
-            q = quantiles_from_counts(counts, ["k", "column"], "value", "_c", [0.25, 0.5, 0.75],
+            # One pass over the rows: counts per (window, column, value), NULL
+            # included; every statistic below reads this (materialized) table.
+            counts = materialize(long.groupBy("k", "column", "value")
+                                 .agg(F.count(F.lit(1)).alias("_c")))
+            nonnull = counts.filter(F.col("value").isNotNull())
+            first = counts.groupBy("k", "column").agg(
+                F.sum("_c").alias("n"),
+                F.sum(F.when(F.col("value").isNotNull(), F.col("_c"))).alias("_nn"),
+                F.min("value").alias("min"), F.max("value").alias("max"),
+                (F.sum(F.col("value") * F.col("_c")) / F.sum(F.when(F.col("value").isNotNull(), F.col("_c"))))
+                .alias("mean"))
+            # sample std, two-pass (centred) over the distinct values
+            dev = nonnull.join(first.select("k", "column", "mean"), ["k", "column"]) \
+                .groupBy("k", "column").agg(
+                    F.sum(F.col("_c") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean")))
+                    .alias("_ss"))
+            q = quantiles_from_counts(nonnull, ["k", "column"], "value", "_c", [0.25, 0.5, 0.75],
                                       names=["p25", "p50", "p75"], distinct_name="distinct")
-            base = long.groupBy("k", "column").agg(*aggs).join(q, ["k", "column"], "left") \
-                .withColumn("distinct", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")))
+            base = (first.join(dev, ["k", "column"], "left").join(q, ["k", "column"], "left")
+                    .withColumn("std", F.when(F.col("_nn") > 1, F.sqrt(F.col("_ss") / (F.col("_nn") - 1))))
+                    .withColumn("_nn", F.coalesce(F.col("_nn"), F.lit(0).cast("bigint")))
+                    .withColumn("distinct", F.coalesce(F.col("distinct"), F.lit(0).cast("bigint")))
+                    .drop("_ss"))
         parts.append(base)
     if cat:
         long = (df.select(k, *[F.col(c).cast("string").alias(c) for c in cat])
@@ -142,8 +160,8 @@ def category_frequencies(df: DataFrame, col: str, ts: str, width: str, origin: s
     """(k, value, cnt, total): counts per window and value, NULL as its own
     category; partial aggregation keeps a hot value at one row per task."""
     v = F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY))
-    freq = df.select(window_index(ts, width, origin).alias("k"), v.alias("value")) \
-             .groupBy("k", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    freq = materialize(df.select(window_index(ts, width, origin).alias("k"), v.alias("value"))
+                       .groupBy("k", "value").agg(F.count(F.lit(1)).alias("cnt")))
     tot = freq.groupBy("k").agg(F.sum("cnt").alias("total"))
     return freq.join(tot, "k")
 
@@ -204,7 +222,8 @@ def numeric_drift(df: DataFrame, col: str, ts: str, width: str, origin: str,
     sides = cnt.select("k", "v", F.col("c").alias("n_cur"), F.lit(0).cast("bigint").alias("n_base")) \
         .unionByName(cnt.select((F.col("k") + 1).alias("k"), "v", F.lit(0).cast("bigint").alias("n_cur"),
                                 F.col("c").alias("n_base")))
-    per = sides.groupBy("k", "v").agg(F.sum("n_cur").alias("n_cur"), F.sum("n_base").alias("n_base"))
+    per = materialize(sides.groupBy("k", "v").agg(F.sum("n_cur").alias("n_cur"),
+                                                  F.sum("n_base").alias("n_base")))
     tot = per.groupBy("k").agg(F.sum("n_cur").alias("tot_cur"), F.sum("n_base").alias("tot_base"),
                                F.sum(F.col("v") * F.col("n_cur")).alias("_sc"),
                                F.sum(F.col("v") * F.col("n_base")).alias("_sb")) \

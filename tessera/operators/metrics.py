@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .prefix import running_totals
 
 EPS = 1e-15
@@ -61,10 +62,10 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ("split",),
     if bins:
         s = F.floor(s * bins) / bins
     y = F.col(label) == F.lit(positive)
-    g = (df.select(*by, (-s).alias("_ns"), y.alias("_y"))
-         .groupBy(*by, "_ns")
-         .agg(F.count_if("_y").cast("bigint").alias("_pos"),
-              F.count_if(~F.col("_y")).cast("bigint").alias("_neg")))
+    g = materialize(df.select(*by, (-s).alias("_ns"), y.alias("_y"))
+                    .groupBy(*by, "_ns")
+                    .agg(F.count_if("_y").cast("bigint").alias("_pos"),
+                         F.count_if(~F.col("_y")).cast("bigint").alias("_neg")))
     cum = running_totals(g, by, ["_ns"], ["_pos", "_neg"], buckets)
     tot = g.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     j = cum.join(tot, by, "inner")

@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,6 +66,15 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def materialize(df):
+    """Write a (pre-aggregated) intermediate once to the shared checkpoint
+    folder and read it back, so several later passes do not each rescan the
+    source, and a lost executor recomputes nothing before this point.
+    Reliable ``checkpoint()``, never a machine-local one."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
