@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,12 +42,16 @@ def get_session(master: str | None = None, app: str = "tessera",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is always read from
-    the session.  Only when it is unset (local tests) do we pick a folder.
+    On a cluster this setting names shared storage and is read from the
+    session.  Where it is unset, a folder below ``spark.sql.warehouse.dir`` is
+    used, which a local run always has; a cluster must name its own, because a
+    default warehouse lies on the driver's disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
