@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .common import read_table
+from .near_dedup import near_groups
 from .quality import quality
 
 LLM_QUERIES: dict = {}
@@ -18,3 +19,9 @@ def query(fn):
 def op1_quality_mcd(spark, sf_dir):
     """Word statistics and the robust outlier verdict of every document."""
     return quality(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_superminhash(spark, sf_dir):
+    """Near-duplicate components of all documents at similarity 0.85."""
+    return near_groups(read_table(spark, sf_dir, "documents"))
