@@ -222,7 +222,8 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
 
     places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "_value")).select(
         "v", "n", "band", F.xxhash64("band", "_value").alias("bucket"))
-    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("bucket")
+    # written, as the engine splits a hot bucket only in a join of two plain shuffles
+    shared = written(places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("bucket"), "shared")
     members = written(places.join(shared, "bucket"), "buckets")
     wanted = written(members.select(F.col("v").alias("doc_id")).distinct(), "wanted")
     texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id"])
@@ -234,6 +235,7 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
         m = members.join(comps, "v", "left").withColumn("comp", F.coalesce("root", "v"))
         pivots = (m.groupBy("bucket").agg(pick(F.struct("v", "n", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                   .where("lo <> hi").select("bucket", F.col("p.v").alias("pv"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pcomp")))
+        pivots = written(pivots, "pivots")
         near = m.join(pivots, "bucket").where("comp <> pcomp and 100 * least(n, pn) >= 85 * greatest(n, pn)")
         # the pivot comes first: a bucket's many pairs share its text
         pairs = written(near.select(F.col("pv").alias("a"), F.col("v").alias("b")).distinct(), "pairs")

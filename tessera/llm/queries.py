@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import read_table
 from .near_dedup import near_groups
 from .quality import quality
+from .substring_dedup import repeats
 
 LLM_QUERIES: dict = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -25,3 +26,9 @@ def op1_quality_mcd(spark, sf_dir):
 def op4_superminhash(spark, sf_dir):
     """Near-duplicate components of all documents at similarity 0.85."""
     return near_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_trees(spark, sf_dir):
+    """Words left of every document without its repeated 35-word passages."""
+    return repeats(read_table(spark, sf_dir, "documents"))

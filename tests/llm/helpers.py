@@ -45,3 +45,18 @@ def near_components(rows, threshold=85):
                     x, y = sorted((find(a), find(b)))
                     root[y] = x
     return {i: find(i) for i in sets}
+
+
+def without_repeats(texts, size=35):
+    """Per text: (words, kept words)."""
+    from collections import Counter
+    all_words = [words(t) for t in texts]
+    count = Counter(tuple(w[i:i + size]) for w in all_words for i in range(len(w) - size + 1))
+    out = []
+    for w in all_words:
+        gone = set()
+        for i in range(len(w) - size + 1):
+            if count[tuple(w[i:i + size])] > 1:
+                gone.update(range(i, i + size))
+        out.append((w, [x for i, x in enumerate(w) if i not in gone]))
+    return out
