@@ -197,14 +197,14 @@ def judged(stats: DataFrame, coverage: float = 0.75, quantile: float = 0.9999999
     ``source``.  The frame is read several times: pass a written one."""
     pts = points(stats)
     est = mcd_estimates(pts.where(~F.col("base_failed")), coverage, **kw)
-    own = est.where(~F.col("_pooled"))
     # the factor that makes the scatter of the nearest share right for normal points
     scale = coverage / chi2_cdf(chi2_quantile(coverage, P), P + 2)
     pts = pts.withColumns({"_lang": F.col("lang"), "_source": F.col("source"), "_pooled": F.lit(False)})
-    pooled = est.where(F.col("_pooled")).select(*[F.col(c).alias(f"p_{c}") for c in est.columns if c[0] in "ml"])
-    # the one row of the estimate of all points
-    d = joined(pts, own, "left").join(F.broadcast(pooled.limit(1)), F.lit(True), "left")
-    d = d.withColumns({c: F.coalesce(F.col(c), F.col(f"p_{c}")) for c in est.columns if c[0] in "ml"})
+    # a group without an estimate of its own looks up the one of all points
+    d = joined(pts, est.select("_lang", "_source", "_pooled", F.lit(True).alias("_own")), "left")
+    d = d.withColumns({"_lang": F.when(F.col("_own"), F.col("_lang")), "_source": F.when(F.col("_own"), F.col("_source")),
+                       "_pooled": F.col("_own").isNull()}).drop("_own")
+    d = joined(d, est, "left")
     d = with_distance(d, scale)
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= chi2_quantile(quantile, P), F.lit(True))
     return d.withColumn("kept", kept)

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
 from .common import read_table
+from .mixing import mixed
 from .near_dedup import near_groups
+from .packing import packed
 from .quality import quality
+from .ring import sharded
 from .substring_dedup import repeats
 
+SHARDS = 40
+#: four fifths of all tokens; English half as dear as the other languages together
+MIX = {"percent": 80, "max_epochs": 2, "seed": 7,
+       "weights": {"domain": {"d0": 2, "d1": 1, "d2": 1}, "lang": {"en": 3}}}
+
 LLM_QUERIES: dict = {}
 LLM_ORACLE: dict[str, str] = {}
 
@@ -32,3 +43,30 @@ def op4_superminhash(spark, sf_dir):
 def op9_suffix_trees(spark, sf_dir):
     """Words left of every document without its repeated 35-word passages."""
     return repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_hash_ring(spark, sf_dir):
+    """All documents in 40 shards whose counts differ by one at most."""
+    out = sharded(read_table(spark, sf_dir, "documents"), SHARDS)
+    return out.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    """The documents taken to the target weights, one row per epoch."""
+    return mixed(read_table(spark, sf_dir, "documents"), **MIX).select(
+        F.col("row.doc_id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "epoch")
+
+
+@query
+def op8_best_fit(spark, sf_dir):
+    """Every document's pieces and their places in sequences of 4096 tokens."""
+    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """All stages of corpus_pipeline.py applied to documents."""
+    import corpus_pipeline  # which uses this module's parameters
+    return corpus_pipeline.run(spark, sf_dir)
