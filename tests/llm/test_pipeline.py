@@ -22,8 +22,8 @@ def documents(seed=11, n=260):
     rows = []
     for i in range(n):
         w = prose(r.randint(3, 160))
-        if rows and r.random() < 0.3 and rows[-1][1]:
-            w = rows[r.randrange(len(rows))][1].split() or w
+        if rows and r.random() < 0.3:
+            w = (rows[r.randrange(len(rows))][1] or "a b").split()
             for _ in range(r.randint(0, 3)):
                 w[r.randrange(len(w))] = word()
         elif r.random() < 0.2:
