@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .fingerprints import fingerprint_pairs
+from .langid import predict_language
 from .mixing import mixed
 from .near_dedup import near_groups
 from .packing import packed
@@ -70,3 +72,15 @@ def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py applied to documents."""
     import corpus_pipeline  # which uses this module's parameters
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op2_weighted_sampling(spark, sf_dir):
+    """Fingerprints of every text and its edited form."""
+    return fingerprint_pairs(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_marginal_unigrams(spark, sf_dir):
+    """The language of every document."""
+    return predict_language(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
