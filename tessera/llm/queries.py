@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .fingerprints import fingerprint_pairs
+from .html_blocks import extract
 from .langid import predict_language
 from .mixing import mixed
 from .near_dedup import near_groups
@@ -84,3 +85,9 @@ def op2_weighted_sampling(spark, sf_dir):
 def op10_marginal_unigrams(spark, sf_dir):
     """The language of every document."""
     return predict_language(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_block_tree(spark, sf_dir):
+    """The main text of every page."""
+    return extract(read_table(spark, sf_dir, "pages"))
