@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .attention_lm import scored
 from .common import read_table
 from .fingerprints import fingerprint_pairs
 from .html_blocks import extract
@@ -91,3 +92,9 @@ def op10_marginal_unigrams(spark, sf_dir):
 def op5_block_tree(spark, sf_dir):
     """The main text of every page."""
     return extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_attention_lm(spark, sf_dir):
+    """Base and model scores of every document."""
+    return scored(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
