@@ -20,7 +20,11 @@ def _key_text(key: str | Column | Sequence[str | Column]) -> Column:
     if isinstance(key, (str, Column)):
         key = [key]
     parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in key]
-    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    # a NULL key is a key of its own; several parts carry their lengths, so
+    # ("a|b", "c") and ("a", "b|c") differ
+    if len(parts) == 1:
+        return F.coalesce(parts[0], F.lit("<null>"))
+    return F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
 
 
 def unit_hash(key: str | Column | Sequence[str | Column], seed: int = 42) -> Column:

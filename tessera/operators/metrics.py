@@ -26,7 +26,9 @@ def classification_metrics(df: DataFrame, label: str, prediction: str,
                            probability: str | None = None, by: Sequence[str] = ("split",),
                            positive: int = 1) -> DataFrame:
     """A3: n, tp, fp, tn, fn, accuracy, precision, recall, f1 (and log_loss
-    with a probability of the positive class, clipped to [1e-15, 1 - 1e-15])."""
+    with a probability of the positive class, clipped to [1e-15, 1 - 1e-15]).
+    A row without a label or prediction counts in none of them."""
+    df = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     y = F.col(label) == F.lit(positive)
     p = F.col(prediction) == F.lit(positive)
     aggs = [F.count(F.lit(1)).alias("n"),
@@ -56,13 +58,15 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ("split",),
     Running totals in descending score order give, per distinct score,
     ROC: sum(neg * (cum_pos - pos / 2)) / (P * N) and
     AP: sum(pos / P * cum_pos / (cum_pos + cum_neg)).
+    Rows without a label or a score (NULL or NaN) are left out.
     """
     by = list(by)
     s = F.col(score).cast("double")
     if bins:
         s = F.floor(s * bins) / bins
     y = F.col(label) == F.lit(positive)
-    g = materialize(df.select(*by, (-s).alias("_ns"), y.alias("_y"))
+    scored = df.where(F.col(label).isNotNull() & s.isNotNull() & ~F.isnan(s))
+    g = materialize(scored.select(*by, (-s).alias("_ns"), y.alias("_y"))
                     .groupBy(*by, "_ns")
                     .agg(F.count_if("_y").cast("bigint").alias("_pos"),
                          F.count_if(~F.col("_y")).cast("bigint").alias("_neg")))

@@ -2,38 +2,63 @@
 
 ``Window.partitionBy(g).orderBy(x)`` puts each group ``g`` in one task; when a
 group is a whole split or a whole table, that is all rows in one task.  Here
-the rows are range-partitioned on (group, order) into buckets, each bucket
-computes local running totals, and a small table of bucket totals (one row
-per bucket and group) supplies each bucket's offset.  Exact, two shuffles,
-no task holds more than a bucket.
+each row gets a bucket that rises with the order column, each bucket computes
+local running totals, and a small table of bucket totals (one row per bucket
+and group) supplies each bucket's offset.  The bucket is a plain expression of
+the order column, so however often it is planned or recomputed, a row keeps
+its bucket.  Rows are shuffled once, by bucket; no task holds more than one
+bucket of a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _buckets(df: DataFrame, buckets: int | None) -> int:
+def bucket_count(df: DataFrame, buckets: int | None) -> int:
+    """``buckets``, or as many as there are shuffle partitions.  Give it for
+    tables whose buckets would not fit a task."""
     if buckets:
         return buckets
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def bucket_of(value: Column, cuts: Sequence) -> Column:
+    """How many of the ascending ``cuts`` lie below ``value`` (two short scans)."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    some = F.array(*[F.lit(c) for c in cuts[::step]])
+    every = F.array(*[F.lit(c) for c in cuts])
+    block = F.greatest(F.size(F.filter(some, lambda c: c < value)) - 1, F.lit(0))
+    return block * step + F.size(F.filter(F.slice(every, block * step + 1, step), lambda c: c < value))
+
+
+def numeric_buckets(df: DataFrame, order: str, buckets: int | None = None) -> Column:
+    """A bucket for a numeric order column: cut points are read once, one row
+    with a number per bucket reaches the driver, and enter as literals."""
+    nb = bucket_count(df, buckets)
+    if nb < 2:
+        return F.lit(0)
+    row = df.agg(F.percentile_approx(F.col(order).cast("double"), [i / nb for i in range(1, nb)], 100 * nb)).first()
+    return bucket_of(F.col(order).cast("double"), sorted(set(row[0] or [])))
+
+
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], sums: Sequence[str],
-                   buckets: int | None = None, prev_of: str | None = None) -> DataFrame:
+                   buckets: int | None = None, prev_of: str | None = None,
+                   bucket: Column | None = None) -> DataFrame:
     """Add ``cum_<s>`` = inclusive running total of ``s`` along ``order`` within
     ``by`` for every ``s`` in ``sums``.  Rows must be unique on by + order
-    (aggregate first).  With ``prev_of`` (one of the order columns) also add
+    (aggregate first).  ``bucket`` must not fall along the first order column;
+    without it cut points of that (numeric) column are used.  With ``prev_of`` (one of the order columns) also add
     ``prev_<prev_of>``: its value on the previous row of the group (NULL on
     the first row).
     """
     by, order, sums = list(by), list(order), list(sums)
-    nb = _buckets(df, buckets)
-    r = df.repartitionByRange(nb, *[F.col(c) for c in by + order]) \
-          .withColumn("_b", F.spark_partition_id())
+    r = df.withColumn("_b", numeric_buckets(df, order[0], buckets) if bucket is None else bucket)
     w_local = Window.partitionBy("_b", *by).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = r.select("*", *[F.sum(s).over(w_local).alias(f"_lc_{s}") for s in sums])
@@ -50,10 +75,9 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], sums:
                          *[F.coalesce(F.sum(f"_bt_{s}").over(w_prior), F.lit(0)).alias(f"_off_{s}")
                            for s in sums],
                          *([F.lag("_bmax").over(w_off).alias("_pbmax")] if prev_of else []))
-    # offs has one row per (group, bucket): its size is bounded by the bucket
-    # count times the group count, so AQE broadcasts it.
+    # one row per (group, bucket)
     if not by:
-        offs = F.broadcast(offs)  # at most `nb` rows
+        offs = F.broadcast(offs)  # at most as many rows as buckets
     j = local.join(offs, by + ["_b"], "left")
     out = j.select(*df.columns,
                    *[(F.col(f"_lc_{s}") + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
@@ -62,11 +86,12 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str], sums:
     return out
 
 
-def global_rank(df: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[str], buckets: int | None = None,
+                bucket: Column | None = None) -> DataFrame:
     """Add ``rank0``: 0-based position of each row in the total order given by
     ``order`` (which must make rows unique)."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    out = running_totals(one, [], order, ["_one"], buckets)
+    out = running_totals(one, [], order, ["_one"], buckets, bucket=bucket)
     return out.withColumn("rank0", F.col("cum__one") - 1).drop("_one", "cum__one")
 
 

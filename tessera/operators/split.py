@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash
-from .prefix import global_rank
+from .prefix import bucket_count, global_rank
 
 DEFAULT_WEIGHTS = {"train": 0.6, "val": 0.2, "test": 0.2}
 
@@ -68,7 +68,10 @@ def split_exact(df: DataFrame, key: str | Sequence[str], weights: dict[str, floa
     """M2: exact sizes, rows ordered by (hash, key); the key must be unique."""
     keys = [key] if isinstance(key, str) else list(key)
     parts = _norm(weights or DEFAULT_WEIGHTS)
-    ranked = global_rank(df.withColumn("_u", unit_hash(keys, seed)), ["_u", *keys])
+    # the hash is uniform: equal steps of it are buckets of equal size
+    nb = bucket_count(df, None)
+    ranked = global_rank(df.withColumn("_u", unit_hash(keys, seed)), ["_u", *keys],
+                         bucket=F.floor(F.col("_u") * nb).cast("int"))
     n = df.agg(F.count(F.lit(1)).alias("_n"))  # one row: attached as a scalar subquery
     # Cut points as expressions of n: the held-out remainder is ceil(rem * share).
     cuts, remaining = [], F.col("_n")
