@@ -6,9 +6,10 @@ each window with the one before it (``k - 1 -> k``).  Metric formulas are
 textbook; absent categories or buckets are smoothed to 1e-6 where a log or a
 division needs it.
 
-Everything is grouped by (window, column) or (window, value): the profile and
-frequency tables are small, and the numeric comparisons use the distributed
-running totals, so no comparison is sorted in one task.
+A profile has one row per window and column.  Value counts (window, column,
+value) can be as large as the data for continuous columns: they are written
+once, and the numeric comparisons use the distributed running totals, so no
+comparison is sorted in one task.  NaN is a missing value throughout.
 """
 
 from __future__ import annotations
@@ -21,10 +22,14 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .prefix import quantile_aggs, quantiles_from_counts, running_totals
+from .stats import NUMERIC
 
 SMOOTH = 1e-6
-_NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-        T.DecimalType)
+
+
+def _number(c: str) -> Column:
+    """A column as a double, NaN as NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def _micros(width: str) -> int:
@@ -50,29 +55,47 @@ def window_start(k: str | Column, width: str, origin: str) -> Column:
 
 def _split_columns(df: DataFrame, columns: Sequence[str] | None, skip: Sequence[str]):
     cols = [c for c in (columns or df.columns) if c not in skip]
-    num = [c for c in cols if isinstance(df.schema[c].dataType, _NUM)]
+    num = [c for c in cols if isinstance(df.schema[c].dataType, NUMERIC)]
     cat = [c for c in cols if c not in num]
     return num, cat
 
 
 def profile(df: DataFrame, ts: str, width: str, origin: str,
             columns: Sequence[str] | None = None, approx: bool = False,
-            detail: bool = True) -> DataFrame:
+            detail: bool = True, slices: Sequence[str] = ()) -> DataFrame:
     """One row per (window, column): window (start), k, column, n, nulls,
     null_rate, distinct, min, max, mean, std, p25, p50, p75.  Numeric stats
     are NULL for non-numeric columns.  ``approx`` switches distinct counts and
     quartiles to their one-pass sketches; ``detail=False`` leaves them out
-    (NULL), which saves the per-value pass when only counts are needed.
+    (NULL), which saves the per-value pass when only counts are needed.  With
+    ``slices`` (row columns) each of their value combinations is profiled too,
+    in columns of those names.
 
     Exact distinct counts and quartiles share one table of counts per
     (window, column, value) and one running-count pass over it.
     """
-    num, cat = _split_columns(df, columns, [ts])
-    k = window_index(ts, width, origin).alias("k")
+    num, cat = _split_columns(df, columns, [ts, *slices])
+    if slices:
+        # one key: the window and the slice; NULL is a slice of its own
+        key = F.struct(window_index(ts, width, origin).alias("k"), *slices)
+        out = _profile(df, key, num, cat, approx, detail)
+        out = out.select(F.col("k.k").alias("_k"), *[F.col(f"k.{s}").alias(s) for s in slices],
+                         *[c for c in out.columns if c != "k"]).withColumnRenamed("_k", "k")
+    else:
+        out = _profile(df, window_index(ts, width, origin), num, cat, approx, detail)
+    return out.select(
+        window_start("k", width, origin).alias("window"), "k", *slices, "column", "n",
+        (F.col("n") - F.col("_nn")).alias("nulls"),
+        ((F.col("n") - F.col("_nn")).cast("double") / F.col("n").cast("double")).alias("null_rate"),
+        "distinct", "min", "max", "mean", "std", "p25", "p50", "p75")
+
+
+def _profile(df: DataFrame, key: Column, num: list[str], cat: list[str], approx: bool, detail: bool) -> DataFrame:
+    k = key.alias("k")
     nulld = F.lit(None).cast("double")
     parts = []
     if num:
-        long = (df.select(k, *[F.col(c).cast("double").alias(c) for c in num])
+        long = (df.select(k, *[_number(c).alias(c) for c in num])
                 .unpivot(["k"], num, "column", "value"))
         aggs = [F.count(F.lit(1)).alias("n"), F.count("value").alias("_nn"),
                 F.min("value").alias("min"), F.max("value").alias("max"),
@@ -121,18 +144,19 @@ def profile(df: DataFrame, ts: str, width: str, origin: str,
         parts.append(long.groupBy("k", "column").agg(
             F.count(F.lit(1)).alias("n"), F.count("value").alias("_nn"), dist.alias("distinct"),
             *[nulld.alias(c) for c in ("min", "max", "mean", "std", "p25", "p50", "p75")]))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.select(
-        window_start("k", width, origin).alias("window"), "k", "column", "n",
-        (F.col("n") - F.col("_nn")).alias("nulls"),
-        ((F.col("n") - F.col("_nn")).cast("double") / F.col("n").cast("double")).alias("null_rate"),
-        "distinct", "min", "max", "mean", "std", "p25", "p50", "p75")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def null_drift(prof: DataFrame) -> DataFrame:
+def null_drift(prof: DataFrame, baseline: int | None = None) -> DataFrame:
     """Null rate of each window against the previous window of the same
     column: (k, column, null_rate, prev_null_rate, delta).  The profile has
-    one row per window and column, so the per-column window is tiny."""
+    one row per window and column, so the per-column window is tiny.  With
+    ``baseline`` every other window is compared with that window instead."""
+    if baseline is not None:
+        b = prof.where(F.col("k") == baseline).select("column", F.col("null_rate").alias("prev_null_rate"))
+        p = prof.where(F.col("k") != baseline).select("k", "column", "null_rate").join(b, "column")
+        return p.select("k", "column", "null_rate", "prev_null_rate",
+                        (F.col("null_rate") - F.col("prev_null_rate")).alias("delta"))
     w = Window.partitionBy("column").orderBy("k")
     p = prof.select("k", "column", "null_rate",
                     F.lag("k").over(w).alias("_pk"), F.lag("null_rate").over(w).alias("prev_null_rate"))
@@ -141,35 +165,29 @@ def null_drift(prof: DataFrame) -> DataFrame:
                     (F.col("null_rate") - F.col("prev_null_rate")).alias("delta"))
 
 
-NULL_CATEGORY = "<null>"
-
-
-def _pairs(freq: DataFrame, keys: Sequence[str], vals: Sequence[str]) -> DataFrame:
-    """Full outer join of window k with window k-1 on ``keys``; only windows k
-    whose predecessor exists are kept."""
-    keys = list(keys)
-    cur = freq.select("k", *keys, *[F.col(v).alias(f"cur_{v}") for v in vals])
-    prev = freq.select((F.col("k") + 1).alias("k"), *keys, *[F.col(v).alias(f"prev_{v}") for v in vals])
-    both = freq.select("k").distinct().join(
-        freq.select((F.col("k") + 1).alias("k")).distinct(), "k")
-    j = cur.join(prev, ["k", *keys], "full_outer").join(both, "k", "left_semi")
-    return j.fillna(0, subset=[f"cur_{v}" for v in vals] + [f"prev_{v}" for v in vals])
+def _pairs(freq: DataFrame) -> DataFrame:
+    """(k, value, cur_cnt, prev_cnt, cur_total, prev_total): every value of
+    window k or k-1, for windows k whose predecessor exists.  Each count is a
+    row of its own window and of the next one's comparison, and one aggregation
+    brings the two together; NULL is a value like any other."""
+    zero = F.lit(0).cast("bigint")
+    sides = freq.select("k", "value", F.col("cnt").alias("cur_cnt"), zero.alias("prev_cnt")).unionByName(
+        freq.select((F.col("k") + 1).alias("k"), "value", zero.alias("cur_cnt"), F.col("cnt").alias("prev_cnt")))
+    per = sides.groupBy("k", "value").agg(F.sum("cur_cnt").alias("cur_cnt"), F.sum("prev_cnt").alias("prev_cnt"))
+    tot = sides.groupBy("k").agg(F.sum("cur_cnt").alias("cur_total"), F.sum("prev_cnt").alias("prev_total"))
+    return per.join(tot.where("cur_total > 0 and prev_total > 0"), "k")
 
 
 def category_frequencies(df: DataFrame, col: str, ts: str, width: str, origin: str) -> DataFrame:
-    """(k, value, cnt, total): counts per window and value, NULL as its own
-    category; partial aggregation keeps a hot value at one row per task."""
-    v = F.coalesce(F.col(col).cast("string"), F.lit(NULL_CATEGORY))
-    freq = materialize(df.select(window_index(ts, width, origin).alias("k"), v.alias("value"))
-                       .groupBy("k", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    tot = freq.groupBy("k").agg(F.sum("cnt").alias("total"))
-    return freq.join(tot, "k")
+    """(k, value, cnt): counts per window and value, NULL as its own category;
+    partial aggregation keeps a hot value at one row per task."""
+    return (df.select(window_index(ts, width, origin).alias("k"), F.col(col).cast("string").alias("value"))
+            .groupBy("k", "value").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def category_changes(df: DataFrame, col: str, ts: str, width: str, origin: str) -> DataFrame:
     """D3 detail: values that appear ('new') or vanish ('lost') from k-1 to k."""
-    freq = category_frequencies(df, col, ts, width, origin).select("k", "value", "cnt")
-    j = _pairs(freq, ["value"], ["cnt"])
+    j = _pairs(category_frequencies(df, col, ts, width, origin))
     return j.select("k", "value", F.when(F.col("prev_cnt") == 0, "new")
                     .when(F.col("cur_cnt") == 0, "lost").alias("change"),
                     F.col("prev_cnt").alias("prev_count"), F.col("cur_cnt").alias("count")) \
@@ -179,13 +197,7 @@ def category_changes(df: DataFrame, col: str, ts: str, width: str, origin: str)
 def category_drift(df: DataFrame, col: str, ts: str, width: str, origin: str) -> DataFrame:
     """D3: per window k (against k-1): new_values, lost_values, total
     variation, chi-square, PSI and Jensen-Shannon divergence (natural log)."""
-    freq = category_frequencies(df, col, ts, width, origin)
-    j = _pairs(freq, ["value"], ["cnt", "total"])
-    # totals are per window: spread them to rows where the value was absent
-    tot = freq.select("k", "total").distinct()
-    j = (j.drop("cur_total", "prev_total")
-         .join(tot.withColumnRenamed("total", "cur_total"), "k")
-         .join(tot.select((F.col("k") + 1).alias("k"), F.col("total").alias("prev_total")), "k"))
+    j = _pairs(category_frequencies(df, col, ts, width, origin))
     p = F.col("cur_cnt") / F.col("cur_total")
     q = F.col("prev_cnt") / F.col("prev_total")
     ps, qs = F.greatest(p, F.lit(SMOOTH)), F.greatest(q, F.lit(SMOOTH))
@@ -215,7 +227,7 @@ def numeric_drift(df: DataFrame, col: str, ts: str, width: str, origin: str,
     from the baseline's running count also the decile edges; a second small
     aggregate buckets both sides on those edges.
     """
-    v = F.col(col).cast("double")
+    v = _number(col)
     base = (df.select(window_index(ts, width, origin).alias("k"), v.alias("v"))
             .filter(F.col("v").isNotNull()))
     cnt = base.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
@@ -259,17 +271,16 @@ def drift_long(nulls: DataFrame | None = None, categories: dict[str, DataFrame]
                numerics: dict[str, DataFrame] | None = None) -> DataFrame:
     """Stack drift tables to (k, column, metric, value)."""
     parts = []
+
+    def add(d: DataFrame, column: Column, metrics: dict[str, str]) -> None:
+        wide = d.select("k", column.alias("column"), *[F.col(c).cast("double").alias(m) for m, c in metrics.items()])
+        parts.append(wide.unpivot(["k", "column"], list(metrics), "metric", "value"))
     if nulls is not None:
-        parts.append(nulls.select("k", "column", F.lit("null_rate_delta").alias("metric"),
-                                  F.col("delta").cast("double").alias("value")))
+        add(nulls, F.col("column"), {"null_rate_delta": "delta"})
     for col, d in (categories or {}).items():
-        for m in ("new_values", "lost_values", "tv", "chi2", "psi", "js"):
-            parts.append(d.select("k", F.lit(col).alias("column"), F.lit(m).alias("metric"),
-                                  F.col(m).cast("double").alias("value")))
+        add(d, F.lit(col), {m: m for m in ("new_values", "lost_values", "tv", "chi2", "psi", "js")})
     for col, d in (numerics or {}).items():
-        for m in ("mean_shift", "ks", "wasserstein", "psi"):
-            parts.append(d.select("k", F.lit(col).alias("column"), F.lit(m).alias("metric"),
-                                  F.col(m).cast("double").alias("value")))
+        add(d, F.lit(col), {m: m for m in ("mean_shift", "ks", "wasserstein", "psi")})
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -295,9 +306,12 @@ def touched_windows(changes: DataFrame, ts: str, width: str, origin: str) -> Dat
 
 def profile_changes(after: DataFrame, changes: DataFrame, ts: str, width: str, origin: str,
                     columns: Sequence[str] | None = None) -> DataFrame:
-    """Profile only the windows the change set touches (semi join of the
-    new snapshot on those windows), so an update re-reads one window."""
+    """Profile only the windows the change set touches: a semi join of the
+    new snapshot on those windows, behind a range filter on ``ts`` (from the
+    first to the last touched window) that the scan can use."""
     k = touched_windows(changes, ts, width, origin)
+    span = k.agg(window_start(F.min("k"), width, origin).alias("lo"), window_start(F.max("k") + 1, width, origin).alias("hi"))
+    after = after.where((F.col(ts) >= span.select("lo").scalar()) & (F.col(ts) < span.select("hi").scalar()))
     sub = after.withColumn("_k", window_index(ts, width, origin)) \
                .join(k.withColumnRenamed("k", "_k"), "_k", "left_semi").drop("_k")
     return profile(sub, ts, width, origin, columns)

@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 from .prefix import exact_quantiles
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
 
 def to_long(df: DataFrame, cols: Sequence[str], name: str = "column", value: str = "value",

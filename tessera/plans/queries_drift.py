@@ -83,13 +83,13 @@ def null_drift_q(spark, sf_dir):
 
 
 CATD_CTE = f"""
-cf AS (SELECT {_k_sql('date')} AS k, coalesce(location, '<null>') AS value, count(*) AS cnt
+cf AS (SELECT {_k_sql('date')} AS k, location AS value, count(*) AS cnt
        FROM drift_view GROUP BY 1, 2),
 ct AS (SELECT k, sum(cnt) AS total FROM cf GROUP BY k),
 cpairs AS (
   SELECT coalesce(c.k, p.k + 1) AS k, coalesce(c.value, p.value) AS value,
          coalesce(c.cnt, 0) AS cur_cnt, coalesce(p.cnt, 0) AS prev_cnt
-  FROM cf c FULL OUTER JOIN cf p ON c.k = p.k + 1 AND c.value = p.value),
+  FROM cf c FULL OUTER JOIN cf p ON c.k = p.k + 1 AND c.value IS NOT DISTINCT FROM p.value),
 cj AS (
   SELECT x.*, a.total AS cur_total, b.total AS prev_total,
          CAST(x.cur_cnt AS DOUBLE) / a.total AS p, CAST(x.prev_cnt AS DOUBLE) / b.total AS q

@@ -19,11 +19,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.drift import _micros
-
-_NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+from ..operators.stats import NUMERIC
 
 
 def _start_offset(width: str, origin: str) -> str:
@@ -35,7 +33,7 @@ def _start_offset(width: str, origin: str) -> str:
 def stream_profile(sdf: DataFrame, ts: str, width: str, origin: str, columns: Sequence[str],
                    delay: str = "1 day") -> DataFrame:
     """Streaming (window, column) profile of ``columns``."""
-    num = [c for c in columns if isinstance(sdf.schema[c].dataType, _NUM)]
+    num = [c for c in columns if isinstance(sdf.schema[c].dataType, NUMERIC)]
     cat = [c for c in columns if c not in num]
     # Watermarks need TIMESTAMP; with the session zone pinned to UTC the cast
     # keeps the wall-clock value of a TIMESTAMP_NTZ column.
@@ -43,8 +41,8 @@ def stream_profile(sdf: DataFrame, ts: str, width: str, origin: str, columns: Se
     sdf = sdf.withColumn(et, F.col(ts).cast("timestamp"))
     w = F.window(F.col(et), width, startTime=_start_offset(width, origin))
     # Categorical columns contribute null counts only; numeric stats are NULL.
-    vals = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
-                     F.col(c).isNull().alias("isnull")) for c in num]
+    vals = [F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value"),
+                     (F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias("isnull")) for c in num]
     vals += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("value"),
                       F.col(c).isNull().alias("isnull")) for c in cat]
     long = (sdf.withWatermark(et, delay)
