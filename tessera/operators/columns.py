@@ -68,6 +68,6 @@ def stack_frames(*dfs: DataFrame) -> DataFrame:
     return out
 
 
-def with_column(df: DataFrame, name: str, expr: Column) -> DataFrame:
-    """Original columns kept, one appended."""
-    return df.withColumn(name, expr)
+def top_k(df: DataFrame, by: Sequence[str | Column], k: int) -> DataFrame:
+    """O2: the first ``k`` rows in the order of ``by`` (each task keeps ``k``)."""
+    return df.orderBy(*by).limit(k)

@@ -55,24 +55,24 @@ def require_key(df: DataFrame, key: str | Sequence[str]) -> None:
             f"{r['duplicate_keys']} duplicated keys over {r['duplicate_rows']} rows")
 
 
-def key_violations(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def key_violations(df: DataFrame, key: str | Sequence[str], salts: int = 32) -> DataFrame:
     """The offending rows, with ``violation`` ('null_key' or
     'duplicate_key') and ``key_rows`` (rows sharing the key).
 
-    Duplicated keys are found by a (partially aggregated) count and semi-joined
-    back; a hot key is split by AQE's skew-join handling.
+    Keys are counted with map-side combine, and the rows look their key's count
+    up under a salt made from the other columns: the rows of one key go to up
+    to ``salts`` tasks, while the count table has a row per duplicated key and
+    salt.  Rows with a null key keep their place in the same left join.
     """
     key = _as_list(key)
-    nulls = (df.filter(_any_null(key))
-             .withColumn("violation", F.lit("null_key"))
-             .withColumn("key_rows", F.lit(None).cast("bigint")))
-    dup_keys = (df.filter(~_any_null(key)).groupBy(*key)
-                .agg(F.count(F.lit(1)).alias("key_rows"))
-                .filter(F.col("key_rows") > 1))
-    dups = (df.join(dup_keys, key, "inner")
-            .withColumn("violation", F.lit("duplicate_key"))
-            .select(*df.columns, "violation", "key_rows"))
-    return dups.unionByName(nulls.select(*df.columns, "violation", "key_rows"))
+    rest = [c for c in df.columns if c not in key]
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
+    counts = (df.filter(~_any_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("key_rows"))
+              .filter(F.col("key_rows") > 1)
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit((salts if rest else 1) - 1)))))
+    d = df.withColumn("_salt", salt).join(counts, [*key, "_salt"], "left")
+    kind = F.when(_any_null(key), "null_key").when(F.col("key_rows").isNotNull(), "duplicate_key")
+    return d.withColumn("violation", kind).filter(F.col("violation").isNotNull()).select(*df.columns, "violation", "key_rows")
 
 
 def merge_insert(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -87,12 +87,6 @@ def merge_insert(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     return target.unionByName(new_rows.select(*target.columns))
 
 
-def merge_inserted(target: DataFrame, source: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Only the rows :func:`merge_insert` would append."""
-    key = _as_list(key)
-    return source.join(target.select(*key), key, "left_anti").select(*target.columns)
-
-
 CHANGE_TYPES = ("insert", "delete", "update_preimage", "update_postimage")
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.tenure import tenure_days
+from ..operators.keys import require_key
 
 
 @dataclass
@@ -48,6 +49,14 @@ FUNCTIONS: dict[str, Callable[..., Column]] = {
 }
 
 
+def register_feature_function(name: str, builder: Callable[..., Column], replace: bool = False) -> None:
+    """Make a user's own function known to specs under ``name``.
+    ``builder`` gets a Column per bound parameter, and the fixed parameters."""
+    if name in FUNCTIONS and not replace:
+        raise ValueError(f"feature function {name!r} is registered already")
+    FUNCTIONS[name] = builder
+
+
 @dataclass
 class FeatureFunction:
     """``output_name = udf_name(**{param: col(input_bindings[param])})``."""
@@ -57,6 +66,9 @@ class FeatureFunction:
     params: dict = field(default_factory=dict)
 
     def column(self) -> Column:
+        if self.udf_name not in FUNCTIONS:
+            raise KeyError(f"unknown feature function {self.udf_name!r}; register_feature_function makes it known "
+                           f"(known: {sorted(FUNCTIONS)})")
         fn = FUNCTIONS[self.udf_name]
         args = {p: F.col(c) for p, c in self.input_bindings.items()}  # P11
         return fn(**args, **self.params).alias(self.output_name)
@@ -91,12 +103,16 @@ def _resolver(spark: SparkSession, tables: dict[str, DataFrame] | None) -> Table
     return resolve
 
 
-def lookup(df: DataFrame, fl: FeatureLookup, feature_table: DataFrame) -> DataFrame:
+def lookup(df: DataFrame, fl: FeatureLookup, feature_table: DataFrame, check_key: bool = False) -> DataFrame:
     """Left join of ``df`` with the feature columns of ``feature_table``.
 
     Only the wanted columns are selected before the join, so pruning reaches
-    the scan.  A name clash with the left frame is an error.
+    the scan.  A name clash with the left frame is an error.  A duplicated key
+    in ``feature_table`` would multiply rows: ``check_key`` raises on one (an
+    aggregation over the key columns).
     """
+    if check_key:
+        require_key(feature_table, fl.keys)
     keys = fl.keys
     missing = [k for k in keys if k not in df.columns]
     if missing:
@@ -112,7 +128,7 @@ def lookup(df: DataFrame, fl: FeatureLookup, feature_table: DataFrame) -> DataFr
 
 
 def assemble(df: DataFrame, spec: FeatureSpec, tables: dict[str, DataFrame] | None = None,
-             apply_exclude: bool = True) -> DataFrame:
+             apply_exclude: bool = True, check_keys: bool = False) -> DataFrame:
     """J3 + B6 + P4: lookups left to right, then functions, then exclusions."""
     resolve = _resolver(df.sparkSession, tables)
     out = df
@@ -127,7 +143,7 @@ def assemble(df: DataFrame, spec: FeatureSpec, tables: dict[str, DataFrame] | No
         # its join (Spark cannot drop it since the table is not known distinct).
         if apply_exclude and all(n in spec.exclude and n not in needed for n in names):
             continue
-        out = lookup(out, FeatureLookup(fl.table_name, fl.lookup_key, names), table)
+        out = lookup(out, FeatureLookup(fl.table_name, fl.lookup_key, names), table, check_keys)
     for fn in spec.functions:
         out = out.withColumn(fn.output_name, fn.column())
     if apply_exclude and spec.exclude:
@@ -140,11 +156,11 @@ def _needed_columns(spec: FeatureSpec) -> set[str]:
 
 
 def training_set(labels: DataFrame, spec: FeatureSpec,
-                 tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                 tables: dict[str, DataFrame] | None = None, check_keys: bool = False) -> DataFrame:
     """M8: assemble features onto the label frame; the label column must exist."""
     if spec.label and spec.label not in labels.columns:
         raise KeyError(f"label column {spec.label!r} not in the input frame")
-    return assemble(labels, spec, tables)
+    return assemble(labels, spec, tables, check_keys=check_keys)
 
 
 def key_table(features: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ Fixed values of the fixtures (they define the expected results):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import unit_hash, unit_hash_sql
@@ -90,8 +90,7 @@ churn_raw AS (
          ON late.o_custkey = c.c_custkey
 )"""
 
-# The reference drops these six columns; the stand-in has three of them.
-DROPPED_FEATURES = ["address", "email", "firstname", "lastname", "last_activity_date", "last_event"]
+DROPPED_FEATURES = ["address", "firstname", "last_event"]
 EXCLUDED = ["user_id", "last_transaction", "creation_date"]
 
 
@@ -101,8 +100,13 @@ def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ml_churn_labels: P1 + P2."""
-    return churn_raw(spark, sf_dir).select("user_id", F.col("churn").alias("churn_label"))
+    """ml_churn_labels: P1 + P2, from the one flag that the label needs."""
+    late = (table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit(CHURN_FROM).cast("timestamp_ntz"))
+            .select("o_custkey").distinct())
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    return c.join(late, c.c_custkey == late.o_custkey, "left").select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.when(F.col("o_custkey").isNull(), 1).otherwise(0).cast("int").alias("churn_label"))
 
 
 def features_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,13 +123,21 @@ features_clean AS (
 )"""
 
 
+def customer_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), F.col("c_acctbal").alias("balance"))
+
+
+def signal_label() -> Column:
+    """1 if balance > 3000, flipped where the key hash is below 0.1."""
+    base = F.when(F.col("balance") > 3000, 1).otherwise(0)
+    return F.when(unit_hash("user_id", 7) < 0.1, 1 - base).otherwise(base).cast("int").alias("churn_label")
+
+
 def churn_signal_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that carry signal: balance > 3000, flipped where the key hash is
     below 0.1 (a learnable but noisy target)."""
-    raw = churn_raw(spark, sf_dir)
-    base = F.when(F.col("balance") > 3000, 1).otherwise(0)
-    flip = unit_hash("user_id", 7) < 0.1
-    return raw.select("user_id", F.when(flip, 1 - base).otherwise(base).cast("int").alias("churn_label"))
+    raw = customer_balance(spark, sf_dir)
+    return raw.select("user_id", signal_label())
 
 
 # --------------------------------------------------------------------------

@@ -2,9 +2,8 @@
 (M3-M7, M9, B1, B7, S11, S14).
 
 The encoder is fit on the training rows only and travels inside the fitted
-``PipelineModel``, so raw columns go in at scoring time.  Category labels of a
-fitted ``StringIndexer`` live on the driver; ``max_categories`` guards that
-with one approximate-distinct aggregate before fitting.
+``PipelineModel``, so raw columns go in at scoring time.  Columns of any number
+of categories are encoded with a distributed dictionary instead.
 """
 
 from __future__ import annotations
@@ -15,67 +14,84 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.prefix import bucket_count, bucket_of, running_totals
+from ..session import written
 from .features import FeatureSpec, assemble
 
-NULL_TOKEN = "__null__"
-
-
-class TooManyCategories(ValueError):
-    pass
-
-
 def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def check_cardinality(df: DataFrame, columns: Sequence[str], max_categories: int) -> dict[str, int]:
-    """One aggregate: approximate distinct count per column; raises beyond the cap."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    counts = {c: int(row[c]) for c in columns}
-    big = {c: n for c, n in counts.items() if n > max_categories}
-    if big:
-        raise TooManyCategories(f"columns over {max_categories} categories: {big}")
-    return counts
+def fit_dictionary(train: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """M3, distributed: (column, value, slot) for every category of the training
+    rows; ``slot`` numbers a column's values from 0 in ascending string order,
+    NULL (a category of its own) first.  The dictionary is a table, ranked by
+    buckets: no label reaches the driver, whatever the number of categories.
+    """
+    cols = list(columns)
+    values = written(train.select(*[F.col(c).cast("string").alias(c) for c in cols])
+                     .unpivot([], cols, "column", "value").distinct(), "categories")
+    nb = bucket_count(values, buckets)
+    # a sample of the values, about 16 per bucket, only places the cut points
+    step = max(1, values.count() // (16 * nb))
+    sample = sorted(r["value"] for r in values.where(F.col("value").isNotNull())
+                    .where(F.pmod(F.xxhash64("value"), F.lit(step)) == 0).select("value").distinct().collect())
+    cuts = [sample[len(sample) * i // nb] for i in range(1, nb)] if len(sample) >= nb else []
+    ranked = running_totals(values.withColumn("_one", F.lit(1).cast("bigint")), ["column"], ["value"], ["_one"],
+                            bucket=bucket_of(F.col("value"), sorted(set(cuts))))
+    return ranked.select("column", "value", (F.col("cum__one") - 1).cast("int").alias("slot"))
+
+
+def encode_long(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., column, value, slot): each row's slot per column, -1 for a
+    value that the training rows do not have (all zeros in one-hot form)."""
+    cols = list(columns)
+    long = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(list(keep), cols, "column", "value")
+    d = dictionary.select(F.col("column").alias("_c"), F.col("value").alias("_v"), "slot")
+    j = long.join(d, (F.col("column") == F.col("_c")) & F.col("value").eqNullSafe(F.col("_v")), "left")
+    return j.select(*keep, "column", "value", F.coalesce("slot", F.lit(-1)).alias("slot"))
 
 
 def one_hot_stages(columns: Sequence[str], output: str = "features",
                    passthrough: Sequence[str] = ()) -> list:
-    """M3 stages: NULL becomes a category of its own (a sentinel string), values
-    are indexed in ascending string order with an extra index for unseen values
-    (the indexer's 'keep'), and the one-hot drops the last slot, which is that
-    index, so an unseen value encodes to all zeros.  ``passthrough`` numeric
-    columns join the feature vector as they are (NULL becomes NaN)."""
+    """M3 stages for columns the caller declares categorical: NULL becomes a
+    category of its own, values are indexed in ascending string order with an
+    extra index for unseen values (the indexer's 'keep'), and the one-hot drops
+    the last slot, which is that index, so an unseen value encodes to all
+    zeros.  ``passthrough`` numeric columns join the feature vector as numbers,
+    a missing one as the training rows' mean.  Labels of these stages live on the driver; for columns
+    of very many values use :func:`fit_dictionary`."""
     cols = list(columns)
-    sel = ", ".join(f"coalesce(CAST({_q(c)} AS STRING), '{NULL_TOKEN}') AS {_q(c + '__s')}"
-                    for c in cols)
-    return [
-        SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__"),
-        StringIndexer(inputCols=[c + "__s" for c in cols], outputCols=[c + "__idx" for c in cols],
-                      handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=[c + "__idx" for c in cols], outputCols=[c + "__ohe" for c in cols],
-                      dropLast=True),
-        VectorAssembler(inputCols=[c + "__ohe" for c in cols] + list(passthrough), outputCol=output,
-                        handleInvalid="keep"),
-    ]
-
-
-def fit_one_hot(train: DataFrame, columns: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                max_categories: int = 10000, output: str = "features",
+    # a letter in front: no value can be mistaken for NULL
+    sel = ", ".join(f"coalesce(concat('v', CAST({_q(c)} AS STRING)), 'n') AS {_q(c + '__s')}" for c in cols)
+    stages = []
+    if cols:
+        stages = [
+            SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__"),
+            StringIndexer(inputCols=[c + "__s" for c in cols], outputCols=[c + "__idx" for c in cols],
+                          handleInvalid="keep", stringOrderType="alphabetAsc"),
+            OneHotEncoder(inputCols=[c + "__idx" for c in cols], outputCols=[c + "__ohe" for c in cols],
+                          dropLast=True)]
+    nums = list(passthrough)
+    if nums:
+        num = ", ".join(f"CAST({_q(c)} AS DOUBLE) AS {_q(c + '__num')}" for c in nums)
+        stages += [SQLTransformer(statement=f"SELECT *, {num} FROM __THIS__"),
+                   Imputer(strategy="mean", inputCols=[c + "__num" for c in nums], outputCols=[c + "__in" for c in nums])]
+    return stages + [VectorAssembler(inputCols=[c + "__ohe" for c in cols] + [c + "__in" for c in nums], outputCol=output,
+                                     handleInvalid="keep")]
+
+
+def fit_one_hot(train: DataFrame, columns: Sequence[str], output: str = "features",
                 passthrough: Sequence[str] = ()) -> PipelineModel:
-    """M3: fit on the training rows; ``columns=None`` encodes every column
-    (numeric ones too, as the reference does) except ``exclude`` and
-    ``passthrough``."""
-    skip = set(exclude) | set(passthrough)
-    cols = [c for c in (columns or train.columns) if c not in skip]
-    check_cardinality(train, cols, max_categories)
-    return Pipeline(stages=one_hot_stages(cols, output, passthrough)).fit(train)
+    """M3 as pipeline stages, fit on the training rows."""
+    return Pipeline(stages=one_hot_stages(columns, output, passthrough)).fit(train)
 
 
 @dataclass
@@ -89,16 +105,18 @@ class GBTParams:
 
 def fit_gbt(df: DataFrame, label: str, split_col: str = "split", train: str = "train",
             valid: str = "val", columns: Sequence[str] | None = None,
-            params: GBTParams | None = None, max_categories: int = 10000,
-            numeric: Sequence[str] = ()) -> PipelineModel:
+            params: GBTParams | None = None, categorical: Sequence[str] | None = None) -> PipelineModel:
     """M4 + M6: encoder fit on ``train`` rows; boosted trees fit on train with
     the ``valid`` rows as the early-stopping set; one PipelineModel out.
-    Every feature column is one-hot encoded unless listed in ``numeric``."""
+    ``categorical`` columns (the string columns unless given) are one-hot
+    encoded, all others enter as numbers: one bin per value would make a
+    continuous column as wide as the table is long."""
     p = params or GBTParams()
     feats = [c for c in (columns or df.columns) if c not in (label, split_col)]
     tr = df.filter(F.col(split_col) == train)
-    enc = fit_one_hot(tr, [c for c in feats if c not in set(numeric)],
-                      max_categories=max_categories, passthrough=numeric)
+    if categorical is None:
+        categorical = [c for c in feats if isinstance(df.schema[c].dataType, T.StringType)]
+    enc = fit_one_hot(tr, list(categorical), passthrough=[c for c in feats if c not in set(categorical)])
     fit_rows = (df.filter(F.col(split_col).isin(train, valid))
                 .withColumn("_is_val", F.col(split_col) == valid)
                 .withColumn("_label", F.col(label).cast("double")))
@@ -111,21 +129,27 @@ def fit_gbt(df: DataFrame, label: str, split_col: str = "split", train: str = "t
 
 
 def fit_linear(df: DataFrame, label: str, features: Sequence[str]) -> PipelineModel:
-    """M5: least squares with intercept, no regularisation."""
-    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    """M5: least squares with intercept, no regularisation, on the rows whose
+    label and features are all there.  Scoring keeps every row."""
+    df = df.na.drop(subset=[label, *features])
+    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     lr = LinearRegression(featuresCol="features", labelCol=label, regParam=0.0,
                           elasticNetParam=0.0, solver="normal", predictionCol="prediction")
     return Pipeline(stages=[va, lr]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, output: str = "prediction",
-            probability: str | None = "probability") -> DataFrame:
-    """Score with a fitted pipeline; the prediction is a double and, for
-    classifiers, ``probability`` is the positive-class probability.  Helper
-    columns of the encoder are dropped; input columns are kept."""
+            probability: str | None = "probability", contract: str | None = None) -> DataFrame:
+    """Score with a fitted pipeline; the prediction is a double (NULL
+    where a missing feature leaves none) and, for classifiers, ``probability``
+    is the positive-class probability.  Helper columns of the encoder are
+    dropped; input columns and all rows are kept.  With the recorded
+    ``contract`` a missing or differently typed input raises."""
+    if contract:
+        require_contract(df, contract)
     out = model.transform(df)
     keep = list(df.columns)
-    cols = [F.col(c) for c in keep] + [F.col("prediction").cast("double").alias(output)]
+    cols = [F.col(c) for c in keep] + [F.nanvl(F.col("prediction").cast("double"), F.lit(None).cast("double")).alias(output)]
     if probability and "probability" in out.columns:
         cols.append(vector_to_array("probability")[1].alias(probability))
     return out.select(*cols)
@@ -156,6 +180,16 @@ def check_contract(df: DataFrame, contract: str) -> list[dict]:
     return out
 
 
+class ContractError(ValueError):
+    pass
+
+
+def require_contract(df: DataFrame, contract: str) -> None:
+    problems = check_contract(df, contract)
+    if problems:
+        raise ContractError(f"inputs do not match the recorded schema: {problems}")
+
+
 # ------------------------------------------------------------------ persistence
 
 def save_model(model: PipelineModel, path: str, spec: FeatureSpec | None = None,
@@ -181,17 +215,13 @@ def load_model(path: str) -> tuple[PipelineModel, FeatureSpec | None, str | None
 # ------------------------------------------------------------------ batch scoring (B1)
 
 def score_batch(df: DataFrame, model: PipelineModel, spec: FeatureSpec,
-                tables: dict[str, DataFrame] | None = None, output: str = "prediction") -> DataFrame:
+                tables: dict[str, DataFrame] | None = None, output: str = "prediction",
+                contract: str | None = None) -> DataFrame:
     """B1: the input holds keys only; features are looked up and functions run
     as at training time, then the model scores.  Output = input columns +
     feature values + prediction (+ probability); excluded columns are kept."""
     assembled = assemble(df, spec, tables, apply_exclude=False)
-    return predict(model, assembled, output=output)
-
-
-def write_scored(df: DataFrame, path: str) -> None:
-    """Scored rows as JSON records."""
-    df.write.mode("overwrite").json(path)
+    return predict(model, assembled, output=output, contract=contract)
 
 
 # ------------------------------------------------------------------ run records (M9)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.tenure import tenure_days, tenure_sql
+from ..functions.tenure import register_functions, tenure_days, tenure_sql
+from ..operators.columns import label_features, normalize_missing, top_k
 from . import fixtures as fx
-from .features import FeatureFunction, FeatureLookup, FeatureSpec, training_set
+from .features import FeatureFunction, FeatureLookup, FeatureSpec, key_table, training_set
 from .registry import query
 
 
@@ -90,3 +91,47 @@ def training_set_multi_key(spark, sf_dir):
                  FeatureLookup("supplier", "l_suppkey", ["s_nationkey", "s_acctbal"])],
         exclude=["l_partkey", "l_suppkey"])
     return training_set(li, spec, tables={"part": part, "supplier": supp})
+
+
+@query("missing_normalized", """
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_acctbal END AS balance FROM customer""")
+def missing_normalized(spark, sf_dir):
+    """NaN (here every tenth balance) becomes NULL."""
+    c = fx.table(spark, sf_dir, "customer")
+    nan = F.when(F.col("c_custkey") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("c_acctbal"))
+    return normalize_missing(c.select("c_custkey", nan.alias("balance")))
+
+
+@query("label_last", f"""
+WITH {fx.CHURN_RAW_SQL}
+SELECT user_id, segment, balance, order_count, churn FROM churn_raw""")
+def label_last(spark, sf_dir):
+    """Features and label in the same row, the label last."""
+    df, features = label_features(fx.churn_raw(spark, sf_dir).select("churn", "user_id", "segment", "balance", "order_count"), "churn")
+    return df.select(*features, "churn")
+
+
+@query("top_orders", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""")
+def top_orders(spark, sf_dir):
+    """O2: the hundred dearest orders (a top-k report)."""
+    return top_k(fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"),
+                 [F.desc("o_totalprice"), "o_orderkey"], 100)
+
+
+@query("tenure_sql_function", f"""
+WITH {fx.FEATURES_CLEAN_SQL}
+SELECT user_id, {tenure_sql('creation_date', "TIMESTAMP '" + fx.AS_OF + "'")} AS user_tenure FROM features_clean""")
+def tenure_sql_function(spark, sf_dir):
+    """the tenure function called from SQL."""
+    register_functions(spark)
+    return fx.features_clean(spark, sf_dir).selectExpr(
+        "user_id", f"user_tenure(creation_date, TIMESTAMP_NTZ '{fx.AS_OF}') AS user_tenure")
+
+
+@query("key_only", f"""
+WITH {fx.FEATURES_CLEAN_SQL}
+SELECT user_id FROM features_clean""")
+def key_only(spark, sf_dir):
+    """The key-only table that batch scoring starts from."""
+    return key_table(fx.features_clean(spark, sf_dir), "user_id")

@@ -3,19 +3,19 @@ records."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.tenure import tenure_days, tenure_sql
-from ..operators.metrics import regression_metrics
+from ..operators.metrics import auc, classification_metrics, regression_metrics
 from ..operators.split import split
-from ..session import scratch_path
+from ..session import data_path, scratch_path, written
 from ..sources.requests import read_requests, request_errors
 from ..streaming.profile import latest_by_key, run_available_now, stream_profile
 from ..streaming.score import stream_score
 from . import fixtures as fx
 from .features import assemble, key_table
-from .model import fit_gbt, fit_linear, fit_one_hot, predict, run_record, score_batch
+from .model import (contract_of, encode_long, fit_dictionary, fit_gbt, fit_linear, predict, run_record,
+                    score_batch)
 from .queries_drift import ORIGIN, WIDTH, _k_sql
 from .queries_features import churn_spec
 from .queries_stats import SPLIT_WEIGHTS, TT_WEIGHTS, _split_case_sql
@@ -43,18 +43,11 @@ GROUP BY 1, 2, 3"""
 
 @query("one_hot_counts", _ohe_sql())
 def one_hot_counts(spark, sf_dir):
-    """M3: encoder fit on the train split, applied to all rows; per column and
-    raw value the active slot (-1 = all zeros, i.e. unseen in training)."""
+    """M3: dictionary fit on the train split, applied to all rows; per column
+    and raw value the active slot (-1 = all zeros, i.e. unseen in training)."""
     c = split(fx.table(spark, sf_dir, "customer"), "c_custkey", SPLIT_WEIGHTS)
-    enc = fit_one_hot(c.filter(F.col("split") == "train"), OHE_COLS)
-    t = enc.transform(c)
-    parts = [t.select(F.lit(col).alias("column"), F.col(col).cast("string").alias("value"),
-                      (F.array_position(vector_to_array(f"{col}__ohe"), 1.0) - 1).cast("int").alias("slot"))
-             for col in OHE_COLS]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("column", "value", "slot").agg(F.count(F.lit(1)).alias("n"))
+    d = fit_dictionary(c.filter(F.col("split") == "train"), OHE_COLS)
+    return encode_long(c, d, OHE_COLS).groupBy("column", "value", "slot").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- GBT + batch scoring
@@ -68,18 +61,65 @@ def _gbt_training(spark, sf_dir):
     return df.drop(*spec.exclude), spec, feats
 
 
-@query("gbt_score_batch")
+@query("gbt_score_batch", f"""
+WITH {fx.FEATURES_CLEAN_SQL}
+SELECT user_id, segment, balance, order_count,
+       {tenure_sql('creation_date', "TIMESTAMP '" + fx.AS_OF + "'")} AS user_tenure,
+       TRUE AS is_class, TRUE AS agrees
+FROM features_clean""")
 def gbt_score_batch(spark, sf_dir):
-    """M3 + M4 + M6 + B7 + B1: fit encoder + boosted trees with early stopping on
-    the validation split, then score the key-only table by key."""
+    """M3 + M4 + M6 + M7 + B7 + B1: fit encoder + boosted trees with early
+    stopping on the validation split, then score the key-only table by key,
+    inputs checked against the recorded schema.  Per key (exactly once) the
+    looked-up features, and whether the prediction is a class and the one that
+    its probability says."""
     df, spec, feats = _gbt_training(spark, sf_dir)
     model = fit_gbt(df, "churn_label")
+    contract = contract_of(df, ["segment", "balance", "order_count", "user_tenure"])
     keys = key_table(feats, "user_id")
     spec.label = None
-    return score_batch(keys, model, spec, {"churn_user_features": feats})
+    out = score_batch(keys, model, spec, {"churn_user_features": feats}, contract=contract)
+    return out.select("user_id", "segment", "balance", "order_count", "user_tenure",
+                      F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+                      ((F.col("prediction") == 1.0) == (F.col("probability") >= 0.5)).alias("agrees"))
+
+
+@query("gbt_metrics", f"""
+WITH {fx.CHURN_RAW_SQL}
+SELECT {_split_case_sql('user_id', SPLIT_WEIGHTS)} AS split, count(*) AS n, TRUE AS learned
+FROM churn_raw GROUP BY 1""")
+def gbt_metrics(spark, sf_dir):
+    """A3 + A4 on the boosted trees: rows scored per split, and whether the
+    model learned the signal (ROC AUC over 0.7)."""
+    df, _, _ = _gbt_training(spark, sf_dir)
+    scored = written(predict(fit_gbt(df, "churn_label"), df).select("split", "churn_label", "prediction", "probability"), "scored")
+    n = classification_metrics(scored, "churn_label", "prediction")
+    a = auc(scored, "churn_label", "probability")
+    return n.select("split", "n").join(a, "split").select("split", "n", (F.col("roc_auc") > 0.7).alias("learned"))
+
+
+def _record_sql() -> str:
+    e = "fare_amount - predictions"
+    metrics = {"n": "count(*)", "mae": f"avg(abs({e}))", "mse": f"avg(({e}) * ({e}))", "rmse": f"sqrt(avg(({e}) * ({e})))",
+               "r2": f"1 - sum(({e}) * ({e})) / (var_pop(fare_amount) * count(fare_amount))", "max_error": f"max(abs({e}))",
+               "mean_target": "avg(fare_amount)", "mape": f"avg(CASE WHEN fare_amount <> 0 THEN abs(({e}) / fare_amount) END)"}
+    rows = " UNION ALL ".join(f"SELECT 'taxi_linear', 'metric', split, '{m}', round(CAST({x} AS DOUBLE), 3) + 0.0, NULL FROM pred GROUP BY split"
+                              for m, x in metrics.items())
+    params = {"fitIntercept": "True", "regParam": "0.0", "elasticNetParam": "0.0", "solver": "normal"}
+    head = " UNION ALL ".join(f"SELECT 'taxi_linear' AS run_id, 'param' AS kind, CAST(NULL AS VARCHAR) AS split, '{k}' AS name, "
+                              f"CAST(NULL AS DOUBLE) AS value_num, '{v}' AS value_text" for k, v in params.items())
+    return f"""
+WITH {fx.TAXI_VIEW_SQL},
+s AS (SELECT *, {_split_case_sql('l_orderkey', TT_WEIGHTS)} AS split FROM taxi_view),
+fit AS (SELECT regr_slope(fare_amount, trip_distance) AS slope, regr_intercept(fare_amount, trip_distance) AS icpt
+        FROM s WHERE split = 'train'),
+pred AS (SELECT s.split, s.fare_amount, f.icpt + f.slope * s.trip_distance AS predictions FROM s, fit f)
+{head}
+UNION ALL SELECT 'taxi_linear', 'input', NULL, 'table', NULL, 'lineitem'
+UNION ALL {rows}"""
 
 
-@query("run_record")
+@query("run_record", _record_sql())
 def run_record_q(spark, sf_dir):
     """M5 + A5 + M9: MLlib least squares on the train split, metrics per split,
     recorded with parameters and the input table."""
@@ -90,7 +130,8 @@ def run_record_q(spark, sf_dir):
     lr = model.stages[-1]
     params = {"fitIntercept": lr.getFitIntercept(), "regParam": lr.getRegParam(),
               "elasticNetParam": lr.getElasticNetParam(), "solver": lr.getSolver()}
-    return run_record(spark, "taxi_linear", params, metrics, ["lineitem"])
+    return (run_record(spark, "taxi_linear", params, metrics, ["lineitem"])
+            .withColumn("value_num", F.round("value_num", 3) + 0.0))
 
 
 # ---------------------------------------------------------------- requests
@@ -154,7 +195,9 @@ def stream_score_q(spark, sf_dir):
     src = scratch_path(spark, "requests_src")
     fx.requests_text(spark, sf_dir).write.parquet(src)
     sdf = spark.readStream.schema("request_id bigint, body string").parquet(src)
-    scored = stream_score(sdf, _features_for_requests(spark, sf_dir), "user_id", _score_requests)
+    # stored once: a micro-batch joins the table, it does not aggregate orders again
+    feats = written(_features_for_requests(spark, sf_dir), "request_features")
+    scored = stream_score(sdf, feats, "user_id", _score_requests)
     out = scratch_path(spark, "stream_score_out")
     run_available_now(scored, out, scratch_path(spark, "stream_score_ckpt"), output_mode="append")
     return spark.read.parquet(out).drop("batch")
@@ -180,8 +223,9 @@ def stream_profile_q(spark, sf_dir):
     """Events read as a stream, the drift view applied row-wise, a
     watermarked tumbling-window profile in update mode, upserted by key."""
     from ..operators.drift import window_index
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    path = data_path(sf_dir, "events")
+    # a pattern that matches the table itself, be it one file or a folder of part files
+    ev = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")
     agg = stream_profile(fx.drift_transform(ev), "date", WIDTH, ORIGIN,
                          ["location", "temperature"], delay="1 day")
     out = scratch_path(spark, "stream_profile_out")

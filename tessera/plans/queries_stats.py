@@ -78,17 +78,17 @@ def split_sizes_q(spark, sf_dir):
 
 
 @query("split_exact", f"""
-WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY {unit_hash_sql('c_custkey', 42)}, c_custkey) - 1 AS rk,
+WITH r AS (SELECT *, row_number() OVER (ORDER BY {unit_hash_sql('c_custkey', 42)}, c_custkey) - 1 AS rk,
                   count(*) OVER () AS n FROM customer),
 c AS (SELECT *, n - CAST(ceil(n * 0.4) AS BIGINT) AS n_train, CAST(ceil(n * 0.4) AS BIGINT) AS hold FROM r)
-SELECT c_custkey, CASE WHEN rk < n_train THEN 'train'
+SELECT * EXCLUDE (rk, n, n_train, hold), CASE WHEN rk < n_train THEN 'train'
                        WHEN rk < n_train + (hold - CAST(ceil(hold * 0.5) AS BIGINT)) THEN 'val'
                        ELSE 'test' END AS split
 FROM c""")
 def split_exact_q(spark, sf_dir):
-    """M2: exact 60/20/20 sizes (ceil of the held-out share, then half)."""
-    c = fx.table(spark, sf_dir, "customer").select("c_custkey")
-    return split_exact(c, "c_custkey", SPLIT_WEIGHTS, seed=42)
+    """M2: exact 60/20/20 sizes (ceil of the held-out share, then half), all
+    columns carried along."""
+    return split_exact(fx.table(spark, sf_dir, "customer"), "c_custkey", SPLIT_WEIGHTS, seed=42)
 
 
 @query("hash_sample", f"""
@@ -147,6 +147,29 @@ def predict_fare(spark, sf_dir):
                     rnd("predictions", 4).alias("predictions"))
 
 
+class _Line:
+    """A Python model as a user would bring one: predict(pandas frame)."""
+
+    def __init__(self, slope: float, intercept: float):
+        self.slope, self.intercept = slope, intercept
+
+    def predict(self, pdf):
+        return self.intercept + self.slope * pdf["trip_distance"]
+
+
+@query("score_python_model", f"""
+WITH {_TAXI_SPLIT}
+SELECT l_orderkey, l_linenumber, trip_distance, round(predictions, 4) AS predictions FROM pred""")
+def score_python_model(spark, sf_dir):
+    """The fitted line as an arbitrary Python model, loaded once per task."""
+    from ..plans.score import score_with
+    fit = _taxi_fit(spark, sf_dir).first()
+    slope, intercept = fit["slope"], fit["intercept"]
+    test = _taxi_split(spark, sf_dir).filter(F.col("split") == "test").select("l_orderkey", "l_linenumber", "trip_distance")
+    scored = score_with(test, lambda: _Line(slope, intercept), ["trip_distance"])
+    return scored.withColumn("predictions", rnd("predictions", 4))
+
+
 @query("regression_metrics", f"""
 WITH {_TAXI_SPLIT}
 SELECT count(*) AS n, round(avg(abs(fare_amount - predictions)), 4) AS mae,
@@ -243,8 +266,7 @@ pred AS (SELECT *, CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction
 
 
 def _cls_scored(spark, sf_dir):
-    lab = fx.churn_signal_label(spark, sf_dir).join(
-        fx.churn_raw(spark, sf_dir).select("user_id", "balance"), "user_id")
+    lab = fx.customer_balance(spark, sf_dir).select("user_id", "balance", fx.signal_label())
     s = split(lab, "user_id", SPLIT_WEIGHTS).withColumn("probability", _logit_score(F.col("balance")))
     return s.withColumn("prediction", F.when(F.col("probability") >= 0.5, 1).otherwise(0))
 

@@ -2,7 +2,7 @@
 
 A fitted ``PipelineModel`` scores inside the JVM (no Python worker); a
 one-feature line is a closed-form expression; an arbitrary Python model is
-loaded once per Python worker and fed Arrow batches (``mapInPandas``).
+loaded once per task and fed Arrow batches (``mapInPandas``).
 """
 
 from __future__ import annotations
@@ -26,24 +26,15 @@ def score_linear(df: DataFrame, fit: DataFrame, x: str, output: str = "predictio
 def score_with(df: DataFrame, load_fn: Callable[[], object], inputs: Sequence[str],
                output: str = "predictions", result_type: T.DataType = T.DoubleType()) -> DataFrame:
     """Any Python model with ``predict(pandas.DataFrame)``.  ``load_fn`` runs
-    once per Python worker process (cached), batches arrive through Arrow."""
+    once per task, batches arrive through Arrow."""
     inputs = list(inputs)
     schema = T.StructType(df.schema.fields + [T.StructField(output, result_type)])
 
     def run(batches):
-        model = _cached(load_fn)
+        model = load_fn()
         for pdf in batches:
             pdf[output] = model.predict(pdf[inputs])
             yield pdf
 
     return df.mapInPandas(run, schema)
 
-
-_MODELS: dict[int, object] = {}
-
-
-def _cached(load_fn):
-    k = id(load_fn)
-    if k not in _MODELS:
-        _MODELS[k] = load_fn()
-    return _MODELS[k]

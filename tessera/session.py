@@ -84,5 +84,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera/{name}-{uuid.uuid4().hex}"
 
 
+def written(df, name: str):
+    """``df`` written once as Parquet below the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def data_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

@@ -1,8 +1,8 @@
 """JSON key-list requests, e.g. ``{"inputs": [{"user_id": "..."}, ...]}``.
 
 Parsing is ``from_json`` + ``posexplode``: one output row per input key, in
-input order, duplicates kept.  A text that does not parse (or has no
-``inputs`` array) goes to the error output instead of being dropped.
+input order, duplicates kept.  A text that does not parse, has no ``inputs``
+array or an empty one goes to the error output instead of being dropped.
 """
 
 from __future__ import annotations
@@ -31,6 +31,6 @@ def read_requests(df: DataFrame, value_col: str = "body", key: str = "user_id",
 
 
 def request_errors(df: DataFrame, value_col: str = "body", key: str = "user_id") -> DataFrame:
-    """The input rows whose text is malformed or lacks an ``inputs`` array."""
+    """The input rows whose text is malformed or names no key."""
     p = _parsed(df, value_col, key)
-    return p.filter(F.col("_req.inputs").isNull()).drop("_req")
+    return p.filter(F.col("_req.inputs").isNull() | (F.size("_req.inputs") == 0)).drop("_req")

@@ -13,17 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keys import require_key
-from ..session import data_path
+from ..operators.keys import KeyViolation, require_key
+from ..session import written
 
 KEY_PROPERTY = "tessera.primary_key"
 
 
-def read_parquet_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Scan one of the test tables (S3 over files)."""
-    return spark.read.parquet(data_path(sf_dir, table))
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              date_positions: Sequence[int] = (), header: bool = True) -> DataFrame:
     """CSV with a header; columns at the given 0-based positions become
@@ -65,9 +60,11 @@ def read_keyed(spark: SparkSession, name: str) -> tuple[DataFrame, list[str]]:
 
 
 def write_table(df: DataFrame, name: str, key: Sequence[str] | None = None) -> None:
-    """Replace rows and schema.  With ``key`` the key is checked first and
-    recorded as a table property."""
+    """Replace rows and schema.  With ``key`` the rows are first written
+    below the shared folder, so they are computed once; the key is checked
+    there and recorded as a table property."""
     if key:
+        df = written(df, "keyed")
         require_key(df, key)
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
     if key:
@@ -99,15 +96,17 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def append_keyed(df: DataFrame, name: str) -> None:
-    """INSERT INTO .. SELECT, after checking the key on old + new rows.
-
-    The check is one aggregation over the union; no row reaches the driver.
-    """
+    """INSERT INTO .. SELECT, after checking the key: the new rows among
+    themselves, and by a semi join against the table, whose own rows need no
+    second check.  No row reaches the driver."""
     spark = df.sparkSession
     key = table_key(spark, name)
     if key:
         existing = spark.table(name)
-        require_key(existing.unionByName(df.select(*existing.columns)), key)
+        df = written(df.select(*existing.columns), "append")
+        require_key(df, key)
+        if not df.join(existing.select(*key), key, "left_semi").isEmpty():
+            raise KeyViolation(f"key {key}: rows with keys that {name} has already")
     df.select(*spark.table(name).columns).write.insertInto(name)
 
 

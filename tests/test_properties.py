@@ -131,10 +131,120 @@ def test_encoder_unseen_is_zero_vector(spark):
     assert arr[2] == [0.0, 0.0, 0.0] and arr[3] == [0.0, 0.0, 0.0]
 
 
-def test_encoder_cardinality_guard(spark):
-    from tessera.plans.model import TooManyCategories, fit_one_hot
-    with pytest.raises(TooManyCategories):
-        fit_one_hot(spark.range(100).toDF("x"), ["x"], max_categories=10)
+def test_dictionary_of_many_categories(spark):
+    from tessera.plans.model import encode_long, fit_dictionary
+    df = spark.range(30_000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("x"), (F.col("id") % 3).alias("y"))
+    df = df.unionByName(spark.createDataFrame([(None, 1), ("v7", None)], "x string, y long"))
+    rows = [tuple(r) for r in fit_dictionary(df, ["x", "y"]).collect()]
+    for c, n in (("x", 30_001), ("y", 4)):
+        own = sorted((s, v) for k, v, s in rows if k == c)
+        assert [s for s, _ in own] == list(range(n))
+        assert own[0][1] is None and [v for _, v in own[1:]] == sorted(v for _, v in own[1:])
+    new = spark.createDataFrame([("v7", 9), (None, None)], "x string, y long")
+    slot = {(c, v): s for c, v, s in rows}
+    got = {(r.column, r.value): r.slot for r in encode_long(new, fit_dictionary(df, ["x", "y"]), ["x", "y"]).collect()}
+    assert got == {("x", "v7"): slot["x", "v7"], ("x", None): 0, ("y", "9"): -1, ("y", None): 0}
+
+
+def test_ranks_and_splits_of_wide_rows_are_exact(spark):
+    from tessera.operators.prefix import global_rank
+    from tessera.operators.split import exact_sizes, split_exact
+    n = 200_000
+    df = spark.range(n).select("id", F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    sizes = {r.split: r.n for r in split_exact(df, "id").groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sizes == exact_sizes(n)
+    r = global_rank(df.withColumn("x", F.col("id") * 7 % 200_003), ["x"]).agg(
+        F.count_distinct("rank0").alias("d"), F.min("rank0").alias("lo"), F.max("rank0").alias("hi"), F.min(F.length("payload")).alias("p")).first()
+    assert (r.d, r.lo, r.hi, r.p) == (n, 0, n - 1, 64)
+
+
+def test_null_and_nan_rules(spark):
+    from tessera.operators.drift import category_changes, null_drift, profile
+    from tessera.operators.metrics import classification_metrics
+    from tessera.operators.split import split
+    from tessera.plans.model import fit_linear, predict
+    nan = float("nan")
+    scores = spark.createDataFrame([("t", 1, 0.9), ("t", 0, 0.1), ("t", 0, None), ("t", 1, nan)], "split string, y int, s double")
+    assert auc(scores, "y", "s").first().roc_auc == 1.0
+    m = classification_metrics(spark.createDataFrame([(1, 1), (None, 1)], "y int, p int"), "y", "p", by=[]).first()
+    assert (m.n, m.tp, m.accuracy) == (1, 1, 1.0)
+    keys = spark.createDataFrame([(None, 1), (None, 2), ("<other>", 3)], "k string, v int")
+    assert len({r.split for r in split(keys, "k").collect() if r.k is None}) == 1
+    two = split(spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None)], "a string, b string"), ["a", "b"])
+    assert two.where("split is null").count() == 0
+    ev = spark.createDataFrame([("2024-01-01", 1.0, "a", "s"), ("2024-01-01", nan, None, "s"), ("2024-01-02", 3.0, "<null>", "r")],
+                               "d string, x double, c string, g string").withColumn("d", F.col("d").cast("timestamp_ntz"))
+    p = {(r.k, r.column): r for r in profile(ev, "d", "1 day", "2024-01-01", ["x", "c"]).collect()}
+    assert (p[0, "x"].n, p[0, "x"].nulls, p[0, "x"].max, p[0, "x"].mean) == (2, 1, 1.0, 1.0)
+    changes = {(r.value, r.change) for r in category_changes(ev, "c", "d", "1 day", "2024-01-01").collect()}
+    assert changes == {("a", "lost"), (None, "lost"), ("<null>", "new")}
+    sliced = profile(ev, "d", "1 day", "2024-01-01", ["x"], slices=["g"])
+    assert {(r.k, r.g, r.n) for r in sliced.collect()} == {(0, "s", 2), (1, "r", 1)}
+    base = null_drift(profile(ev, "d", "1 day", "2024-01-01", ["x"]), baseline=1).first()
+    assert (base.k, base.delta) == (0, 0.5)
+    line = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)] + [(None, 5.0), (3.0, None)], "x double, y double")
+    out = predict(fit_linear(line, "y", ["x"]), line, probability=None).collect()
+    assert len(out) == 22 and sum(r.prediction is None for r in out) == 1
+
+
+def test_two_python_models_in_one_worker(spark):
+    from tessera.plans.score import score_with
+
+    class Model:
+        def __init__(self, k):
+            self.k = k
+
+        def predict(self, pdf):
+            return pdf["x"] * self.k
+    df = spark.range(10).select(F.col("id").cast("double").alias("x")).coalesce(1)
+    for k in range(8):
+        assert [r.predictions for r in score_with(df, lambda: Model(k), ["x"]).collect()] == [float(i * k) for i in range(10)]
+
+
+def test_hot_key_is_dealt_to_several_tasks(spark):
+    from tessera.operators.keys import key_violations
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = key_violations(df, "k")
+        assert out.count() == 10_000
+        tasks = out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert max(r["count"] for r in tasks) < 5_000
+
+
+def test_contract_registration_and_lookup_keys(spark):
+    from tessera.operators.keys import KeyViolation
+    from tessera.plans.features import FUNCTIONS, FeatureFunction, FeatureLookup, lookup, register_feature_function
+    from tessera.plans.model import ContractError, contract_of, fit_linear, predict
+    line = spark.createDataFrame([(float(i), 2.0 * i) for i in range(9)], "x double, y double")
+    model, contract = fit_linear(line, "y", ["x"]), contract_of(line, ["x"])
+    with pytest.raises(ContractError):
+        predict(model, line.select(F.col("x").cast("string").alias("x")), probability=None, contract=contract)
+    assert predict(model, line, probability=None, contract=contract).count() == 9
+    register_feature_function("twice", lambda a, plus=0: a * 2 + plus, replace=True)
+    f = FeatureFunction("twice", {"a": "x"}, "z", {"plus": 1})
+    assert line.withColumn("z", f.column()).orderBy("x").first().z == 1.0
+    with pytest.raises(ValueError):
+        register_feature_function("twice", lambda a: a)
+    with pytest.raises(KeyError, match="register_feature_function"):
+        FeatureFunction("nope", {}, "z").column()
+    FUNCTIONS.pop("twice")
+    feats = spark.createDataFrame([(1, 2), (1, 3)], "k int, f int")
+    with pytest.raises(KeyViolation):
+        lookup(spark.createDataFrame([(1,)], "k int"), FeatureLookup("t", "k"), feats, check_key=True)
+
+
+def test_streams_read_folder_tables(spark, tmp_path):
+    import __spark_entry__ as entry
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    q = entry.queries()["stream_profile"]
+    assert _rows(q(spark, str(tmp_path))) == _rows(q(spark, SF_SMALL))
 
 
 def test_gbt_save_load_and_score_batch_parity(spark):
@@ -155,11 +265,8 @@ def test_gbt_save_load_and_score_batch_parity(spark):
     # score_batch equals transforming the assembled set directly
     direct = predict(model, assemble(key_table(feats, "user_id"), spec, tables, apply_exclude=False))
     assert _rows(a) == _rows(direct)
-    # with balance passed as a number the model learns the signal label
-    # (one-hot encoding a continuous column, the reference's default, cannot:
-    # held-out values are unseen and encode to zeros)
-    m3 = fit_gbt(df, "churn_label", params=GBTParams(max_iter=10),
-                 numeric=["balance", "order_count", "user_tenure"])
+    # balance enters as a number: the model learns the signal label
+    m3 = fit_gbt(df, "churn_label", params=GBTParams(max_iter=10))
     test = df.filter(F.col("split") == "test")
     held = auc(predict(m3, test.drop("split")).withColumn("split", F.lit("test")),
                "churn_label", "probability").first()

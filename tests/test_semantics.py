@@ -95,7 +95,7 @@ def test_requests_order_duplicates_and_errors(spark):
         "request_id long, body string")
     got = [(r.request_id, r.pos, r.user_id) for r in read_requests(df).orderBy("request_id", "pos").collect()]
     assert got == [(1, 0, "b"), (1, 1, "a"), (1, 2, "b")]
-    assert sorted(r.request_id for r in request_errors(df).collect()) == [2, 3]
+    assert sorted(r.request_id for r in request_errors(df).collect()) == [2, 3, 4]
 
 
 def test_schema_contract(spark):
