@@ -7,17 +7,21 @@ Only suffixes that can matter are sorted.  In each window the 18-word gram
 with the least hash is its anchor: equal windows have equal anchors at equal
 offsets, so a window whose anchor gram occurs once is not repeated.
 
-1. One pass lists the anchors (gram, document, position); an aggregation finds
-   the grams that occur twice or more, a join the anchors that have them.
-2. The gram is the prefix that splits suffixes into groups.  Each candidate
-   anchor goes to its gram's group with the words around it.  There the
-   suffixes that follow the gram are sorted; runs whose longest common prefix
-   reaches a depth are the subtree's internal nodes.  A node deep enough that,
-   with the same words to the left, it spans WINDOW words marks repeats.
-3. A gram with more than GROUP anchors (a passage in a third of all documents,
-   a word repeated without end) would be a group beyond memory: there the
-   prefix is lengthened to the whole window.  Such a group is a leaf, which
-   needs counting only, map-side first.
+1. One pass lists the anchors: gram, document, the run of windows that the
+   anchor serves, and a hash of the words these windows span.  An aggregation
+   finds the grams that occur twice or more, a join the anchors that have them.
+2. Equal spans are counted map-side.  All windows of a span that is there twice
+   are repeated; one of its places stands for it in what follows, so a passage
+   in a third of all documents is a few rows from here on.
+3. The gram is the prefix that splits suffixes into groups.  Each different
+   span of a gram goes to the gram's group with the words around the anchor.
+   There the suffixes that follow the gram are sorted; runs whose longest
+   common prefix reaches a depth are the subtree's internal nodes.  A node deep
+   enough that, with the same words to the left, it spans WINDOW words marks
+   repeats.
+4. A gram with more than GROUP different spans would be a group beyond memory:
+   there the prefix is lengthened to the whole window.  Such a group is a leaf,
+   which needs counting only, map-side first.
 
 Words and grams are compared as 32- and 64-bit hashes: windows of the same
 gram and neighbours that differ in one word are taken as equal with a
@@ -69,25 +73,26 @@ def _texts(batch: pa.RecordBatch) -> pa.Array:
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, texts = np.asarray(batch.column("k")), batch.column("text")
+        keys, rids, texts = np.asarray(batch.column("k")), np.asarray(batch.column("rid")), batch.column("text")
         for s, e in slices(texts):
             w = Words(texts.slice(s, e - s))
-            grams = gram_hashes(w.hashes(), GRAM)
-            g, k, p = [], [], []
+            h = w.hashes()
+            grams, windows, out = gram_hashes(h, GRAM), gram_hashes(h, WINDOW), []
             for i, (a, b) in enumerate(zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist())):
                 if b - a >= WINDOW:
-                    at, _, _ = anchors_of(grams[a:b - GRAM + 1])
-                    g.append(grams[a + at])
-                    k.append(np.full(len(at), keys[s + i]))
-                    p.append(at)
-            if g:
-                yield pa.RecordBatch.from_arrays([to_long(np.concatenate(g)), pa.array(np.concatenate(k)),
-                                                  pa.array(np.concatenate(p).astype(np.int32))], names=["gram", "k", "pos"])
+                    at, first, last = anchors_of(grams[a:b - GRAM + 1])
+                    # the first and the last window overlap: together they are the span
+                    span = mix(mix(windows[a + first] + (last - first).astype(np.uint64)) + windows[a + last])
+                    out.append((grams[a + at], span, np.full(len(at), keys[s + i]), np.full(len(at), rids[s + i]), first, last - first))
+            if out:
+                g, span, k, rid, first, n = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([to_long(g), to_long(span), pa.array(k), pa.array(rid), pa.array(first.astype(np.int32)),
+                                                  pa.array(n.astype(np.int8))], names=["gram", "span", "k", "rid", "first", "n"])
 
 
 def _candidates(batch: pa.RecordBatch, column: str):
     """(row, word hashes, gram hashes, anchors, window ranges) of the rows with
-    candidates; anchors that are not listed are left out."""
+    candidates: the anchors whose first window is listed."""
     texts, lists = _texts(batch), batch.column(column)
     for s, e in slices(texts):
         w = Words(texts.slice(s, e - s))
@@ -99,7 +104,7 @@ def _candidates(batch: pa.RecordBatch, column: str):
             own = h[w.bounds[i - s]:w.bounds[i - s + 1]]
             grams = gram_hashes(own, GRAM)
             at, first, last = anchors_of(grams)
-            pick = np.isin(at, np.asarray(wanted))
+            pick = np.isin(first, np.asarray(wanted))
             yield i, own, grams, at[pick], first[pick], last[pick]
 
 
@@ -222,23 +227,29 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     """(d, kept_text, n_words, n_removed) of every row; d is the row itself."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"),
-                       F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("k"), F.xxhash64("text").alias("rid"))
-    anchors = written(docs.select("k", F.col("d.text").alias("text")).mapInArrow(_anchors, "gram long, k long, pos int"), "anchors")
-    shared = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "grams")
-    cand = anchors.join(shared, "gram")
-    cand = cand.groupBy("k").agg(F.collect_set(F.when(F.col("c") <= GROUP, F.col("pos"))).alias("cold"),
-                                 F.collect_set(F.when(F.col("c") > GROUP, F.col("pos"))).alias("hot"))
-    cand = written(cand, "candidates")
-    near = docs.join(cand, "k")
-    cold = (near.mapInArrow(_contexts, "gram long, k long, rid long, pos int, lo byte, hi byte, ctx binary")
-            .repartition("gram").sortWithinPartitions("gram").mapInArrow(_trees, "k long, rid long, pos int, mask long"))
+                       F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("k"), F.hash("text").alias("rid"))
+    anchors = written(docs.select("k", "rid", F.col("d.text").alias("text")).mapInArrow(
+        _anchors, "gram long, span long, k long, rid int, first int, n byte"), "anchors")
+    shared = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram"), "grams")
+    cand = written(anchors.join(shared, "gram"), "candidates")
+    spans = written(cand.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k", "first")).alias("at")), "spans")
+    # every window of a span that is there twice; bit o is the window that starts o words before pos
+    whole = cand.join(spans.where("c > 1").select("gram", "span"), ["gram", "span"]).select(
+        "k", "rid", (F.col("first") + F.col("n")).alias("pos"), (F.expr("shiftleft(2L, n)") - 1).alias("mask"))
+    groups = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
+    wanted = spans.join(groups, "gram").groupBy(F.col("at.k").alias("k")).agg(
+        F.collect_set(F.when(F.col("g") <= GROUP, F.col("at.first"))).alias("cold"),
+        F.collect_set(F.when(F.col("g") > GROUP, F.col("at.first"))).alias("hot"))
+    near = docs.join(written(wanted, "wanted"), "k")
+    cold = (near.mapInArrow(_contexts, "gram long, k long, rid int, pos int, lo byte, hi byte, ctx binary")
+            .repartition("gram").sortWithinPartitions("gram").mapInArrow(_trees, "k long, rid int, pos int, mask long"))
     # whole windows as prefixes: counted map-side, and looked up under a salt, as one may be in very many places
-    wins = near.where(F.size("hot") > 0).mapInArrow(_windows, "win long, k long, rid long, pos int")
+    wins = near.where(F.size("hot") > 0).mapInArrow(_windows, "win long, k long, rid int, pos int")
     leaves = wins.groupBy("win").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(
         "win", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     hot = (wins.withColumn("salt", F.pmod(F.xxhash64("k", "pos"), F.lit(SALTS)).cast("int")).join(leaves, ["win", "salt"])
            .select("k", "rid", "pos", F.lit(1).cast("bigint").alias("mask")))
-    found = cold.unionByName(hot).groupBy("k").agg(F.collect_list(F.struct("rid", "pos", "mask")).alias("found"))
+    found = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_list(F.struct("rid", "pos", "mask")).alias("found"))
     schema = docs.select("d").schema.add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
     return docs.join(found, "k", "left").select("k", "d", "rid", "found").mapInArrow(_keep, schema)
 
