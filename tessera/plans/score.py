@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 
 def score_linear(df: DataFrame, fit: DataFrame, x: str, output: str = "predictions") -> DataFrame:
     """B2 for the one-feature line: ``intercept + slope * x``.  ``fit`` is the
@@ -27,6 +29,7 @@ def score_with(df: DataFrame, load_fn: Callable[[], object], inputs: Sequence[st
                output: str = "predictions", result_type: T.DataType = T.DoubleType()) -> DataFrame:
     """Any Python model with ``predict(pandas.DataFrame)``.  ``load_fn`` runs
     once per task, batches arrive through Arrow."""
+    ship_package(df.sparkSession)
     inputs = list(inputs)
     schema = T.StructType(df.schema.fields + [T.StructField(output, result_type)])
 

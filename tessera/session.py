@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +86,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera/{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers wherever they start: a
+    zip of it in the shared folder, added to the session once (``addPyFile``)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    p = os.path.join(folder, n)
+                    z.write(p, os.path.relpath(p, os.path.dirname(root)))
+    target = scratch_path(spark, "package") + ".zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def written(df, name: str):
     """``df`` written once as Parquet below the shared folder and read back."""
     path = scratch_path(df.sparkSession, name)
