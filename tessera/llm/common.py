@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import data_path, scratch_path
+from ..session import data_path, scratch_path, ship_package
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Text that one vectorised step handles at once, in bytes; bounds a worker's memory.
@@ -28,7 +28,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Long texts share an Arrow batch: keep its rows few."""
+    """For operators with Python tasks: workers can import this package, and
+    as long texts share an Arrow batch, its rows are few."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, written
+from .common import mix, small_batches, written
 from .ranks import rank_in_group, salted
 
 
@@ -76,6 +76,7 @@ def segments(counts: dict[int, int], owner: list[int], shards: int, slack: float
 
 def sharded(docs: DataFrame, shards: int, vnodes: int = 64, slack: float = 0.0) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row."""
+    small_batches(docs.sparkSession)
     point, owner = ring(shards, vnodes)
 
     @F.pandas_udf("int")
