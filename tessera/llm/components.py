@@ -1,9 +1,12 @@
-"""Union-find as joins: connected components by alternating stars.
-
-Every vertex ends up linked to the smallest vertex it can reach.  One round
-is two aggregations with map-side combine and two joins, so a vertex with a
-third of all links costs one aggregated row per task, and its links are split
-by the engine's skewed-join handling.
+"""Union-find as joins: connected components by contraction.
+
+Each round hangs every vertex on the least vertex among itself and its
+neighbours, follows these pointers to their ends by doubling, and replaces the
+links by links between the ends.  Only vertices less than all their neighbours
+remain.  When no link is left, the rounds' steps are followed from first to
+last.  A round is an aggregation with map-side combine and a few joins; a
+vertex with a third of all links leaves one aggregated row per task, and its
+links are split by the engine's skewed-join handling.
 """
 
 from __future__ import annotations
@@ -14,33 +17,28 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
-def _star(pairs: DataFrame, keep) -> DataFrame:
-    """``pairs`` (u, v): links each v of u to the least vertex around u."""
-    least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    linked = pairs.join(least, "u")
-    return keep(linked, least)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) to (v, root): every vertex that has a link, with the
     smallest vertex of its component.  No edges give an empty result."""
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                    .where("a <> b").distinct(), "edges")
-    state = _state(edges)
-    while state[0]:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _star(both, lambda p, _: p.where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
-        down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        small = _star(down, lambda p, least: p.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                      .union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-        edges = written(small.where("a <> b").distinct(), "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
-    roots = edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
-    return roots.union(edges.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
+    edges = written(edges.where("a <> b").select("a", "b"), "edges")
+    steps = []
+    while not edges.isEmpty():
+        both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w")),
+                                              F.struct(F.col("b").alias("v"), F.col("a").alias("w")))).alias("e")).select("e.*")
+        step = written(both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("up")), "step")
+        while True:  # until every pointer leads to an end
+            up = step.select(F.col("v").alias("up"), F.col("up").alias("top"))
+            far = written(step.join(up, "up").select("v", F.col("top").alias("up"), (F.col("top") < F.col("up")).alias("moved")), "step")
+            step = far.select("v", "up")
+            if far.where("moved").isEmpty():
+                break
+        steps.append(step)
+        a = step.select(F.col("v").alias("a"), F.col("up").alias("ua"))
+        b = step.select(F.col("v").alias("b"), F.col("up").alias("ub"))
+        edges = written(edges.join(a, "a").join(b, "b").where("ua <> ub").select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct(), "edges")
+    if not steps:
+        return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
+    out = steps[0].withColumnRenamed("up", "root")
+    for step in steps[1:]:
+        out = out.join(step.withColumnsRenamed({"v": "root", "up": "_up"}), "root", "left").select("v", F.coalesce("_up", "root").alias("root"))
+    return written(out, "components")

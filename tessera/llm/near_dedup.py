@@ -11,14 +11,14 @@ that links reach.
    [j, j+1) at the j-th place of its permutation.  A text stops at the first
    step whose values cannot lower any place, usually after one or two.
 2. Documents with equal sets form a class; its smallest id stands for it.
-3. Signatures are banded.  In each bucket one member (the pivot) is paired with
-   the others, never all with all.  Pairs are confirmed on full sets, and
-   components are merged.  A second pivot follows where a bucket still holds
-   members of several components.
+3. Signatures are banded.  In each bucket two members (the pivots) are paired
+   with the others, never all with all.  Pairs are confirmed on full sets, and
+   components are merged.
 4. In what is left, every member outside a bucket's largest component meets
    every member of another component: blocks of them are compared by signature
-   in vectorised steps, and what can reach the threshold is confirmed too.  So
-   no link between candidates is lost, whatever the size of a bucket.
+   in vectorised steps, and on full sets where the signatures allow a link.
+   Only links leave a task.  So no link between candidates is lost, and no list
+   of pairs is made, whatever the size of a bucket.
 
 With 28 bands of 4 places a pair at similarity 0.85 shares no bucket with a
 probability of 1e-9.  Shingles are compared as 64-bit hashes.
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, mix, slices, small_batches, to_long, written
+from .common import Words, gram_hashes, lean, mix, slices, small_batches, to_long, written
 from .components import components
 
 SHINGLE = 5
@@ -130,74 +130,82 @@ def _confirm(threshold: int):
                     if cols["role"][i] == 0:
                         key, pivot = (cols["a"][i], cols["salt"][i]), own
                     elif key == (cols["a"][i], cols["salt"][i]) and len(own) and len(pivot):
-                        at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
-                        common = int((pivot[at] == own).sum())
-                        if 100 * common >= threshold * (len(own) + len(pivot) - common):
+                        if similar(pivot, own, threshold):
                             left.append(cols["a"][i])
                             right.append(cols["v"][i])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, threshold: int, block: int = 256) -> DataFrame:
-    """The pairs (a, b) that are similar enough on their full sets.  A pivot's
-    text goes along once per ``block`` of its partners."""
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).alias("_n"))
-    p = pairs.join(blocks, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("_n")))
-    rows = (p.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("v"))
-            .union(p.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("v"))))
+def confirm(pairs: DataFrame, texts: DataFrame, threshold: int, salts: int = 256) -> DataFrame:
+    """The pairs (a, b) that are similar enough on their full sets.  The
+    partners of a are dealt to ``salts`` groups, and its text goes along once
+    for each; a group streams past it."""
+    p = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)))
+    rows = p.select("a", "salt", F.explode(F.array(F.struct(F.lit(0).alias("role"), F.col("a").alias("v")),
+                                                   F.struct(F.lit(1).alias("role"), F.col("b").alias("v")))).alias("e"))
+    rows = written(rows.select("a", "salt", "e.*").distinct(), "wanted")
     rows = rows.join(texts, "v").select("a", "salt", "role", "v", "text")
     return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-            .mapInArrow(_confirm(threshold), "a long, b long"))
+            .mapInArrow(lean(_confirm(threshold)), "a long, b long"))
 
 
-def _compare(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, minors = None, []
-        held = None
+def similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets are at least ``threshold`` percent alike."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    common = int((a[at] == b).sum())
+    return 100 * common >= threshold * (len(a) + len(b) - common)
+
 
-        def matrix(lists):
-            return np.asarray(lists.flatten(), dtype=np.int64).reshape(len(lists), BANDS)
+def _compare(threshold: int, least: float):
+    """Links between the members of a bucket outside its largest component
+    (they come first) and all its members: signatures first, then full sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, sets = None, {}, []
         for batch in batches:
             c = {n: np.asarray(batch.column(n)) for n in ("bucket", "block", "role", "v", "n", "comp", "band")}
-            m = matrix(batch.column("bands"))
+            c["m"] = np.asarray(batch.column("bands").flatten(), dtype=np.int64).reshape(batch.num_rows, BANDS)
+            texts, left, right = batch.column("text"), [], []
             cut = np.flatnonzero((np.diff(c["bucket"]) != 0) | (np.diff(c["block"]) != 0) | (np.diff(c["role"]) != 0)) + 1
-            left, right = [], []
-            for s, e in zip([0, *cut], [*cut, len(m)]):
+            for s, e in zip([0, *cut], [*cut, batch.num_rows]):
                 if s == e:
                     continue
-                here = (c["bucket"][s], c["block"][s])
-                if here != key:
-                    key, minors, held = here, [], None
-                part = {n: x[s:e] for n, x in c.items()} | {"m": m[s:e]}
-                if c["role"][s] == 0:
-                    minors.append(part)
+                part = {n: x[s:e] for n, x in c.items()}
+                if part["role"][0] == 0:
+                    here = (part["bucket"][0], part["block"][0])
+                    same_block = here == key
+                    held = {n: np.concatenate((held[n], x)) if same_block else x for n, x in part.items()}
+                    new = [x for a, b in slices(texts.slice(s, e - s)) for x in shingle_sets(texts.slice(s + a, b - a))]
+                    sets, key = (sets + new if same_block else new), here
                     continue
-                if not minors:
+                if (part["bucket"][0], part["block"][0]) != key:
                     continue
-                if held is None:
-                    held = {n: np.concatenate([x[n] for x in minors]) for n in minors[0]}
+                hits = []
                 for i in range(len(held["v"])):
                     own = held["m"][i]
-                    same = part["m"] == own
                     near = (part["m"].view(np.uint16) == own.view(np.uint16)).mean(axis=1) >= least
                     small, big = np.minimum(part["n"], held["n"][i]), np.maximum(part["n"], held["n"][i])
                     # a pair that shares several buckets is met in its first
-                    ok = near & (part["comp"] != held["comp"][i]) & (100 * small >= 85 * big) & (same.argmax(axis=1) == part["band"])
-                    hit = part["v"][ok]
-                    left.append(np.minimum(hit, held["v"][i]))
-                    right.append(np.maximum(hit, held["v"][i]))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+                    first = (part["m"] == own).argmax(axis=1) == part["band"]
+                    hits.append(np.flatnonzero(near & first & (part["comp"] != held["comp"][i]) & (100 * small >= threshold * big)))
+                wanted = np.unique(np.concatenate(hits))
+                for a, b in slices(texts.take(pa.array(s + wanted))):
+                    own_sets = dict(zip(wanted[a:b].tolist(), shingle_sets(texts.take(pa.array(s + wanted[a:b])))))
+                    for i, rows in enumerate(hits):
+                        for r in rows.tolist():
+                            if r in own_sets and similar(sets[i], own_sets[r], threshold):
+                                left.append(held["v"][i])
+                                right.append(part["v"][r])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
     return run
 
 
-def rest_pairs(members: DataFrame, comps: DataFrame, block: int = 64, least: float = 0.6) -> DataFrame:
-    """Pairs of different components in one bucket whose signatures agree in
-    ``least`` of their places (at similarity 0.85 fewer agree with a
-    probability under 1e-13).  Blocks of members outside the bucket's largest
-    component meet all its members."""
-    m = members.join(comps, "v", "left").withColumn("comp", F.coalesce("root", "v")).drop("root")
+def rest_links(m: DataFrame, threshold: int, block: int = 512, least: float = 0.66) -> DataFrame:
+    """Links (a, b) between different components in one bucket.  Blocks of
+    members outside the bucket's largest component meet all its members; a pair
+    whose signatures agree in ``least`` of their places is compared on its full
+    sets (at similarity 0.85 fewer agree with a probability of 1e-8).  Only
+    links leave the task."""
     sizes = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     top = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
                                        F.max("c").alias("c"))
@@ -205,9 +213,9 @@ def rest_pairs(members: DataFrame, comps: DataFrame, block: int = 64, least: flo
     m = m.join(top, "bucket")
     minors = m.where("comp <> top").withColumns({"block": F.pmod(F.xxhash64("v"), F.col("_n")), "role": F.lit(0)})
     everyone = m.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)), "role": F.lit(1)})
-    rows = minors.unionByName(everyone).select("bucket", "block", "role", "v", "n", "comp", "band", "bands")
+    rows = minors.unionByName(everyone).select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
     return (rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
-            .mapInArrow(_compare(least), "a long, b long").distinct())
+            .mapInArrow(lean(_compare(threshold, least)), "a long, b long").distinct())
 
 
 def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
@@ -215,7 +223,7 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     sigs = written(docs.select("doc_id", "text").mapInArrow(
-        _signatures, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
+        lean(_signatures), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
     key = ["n_shingles", "k1", "k2"]
     classes = written(sigs.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
                       .agg(F.min("doc_id").alias("v"), F.first("bands").alias("bands")), "classes")
@@ -223,31 +231,24 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
     places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "_value")).select(
         "v", "n", "band", F.xxhash64("band", "_value").alias("bucket"))
     # written, as the engine splits a hot bucket only in a join of two plain shuffles
-    shared = written(places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("bucket"), "shared")
-    members = written(places.join(shared, "bucket"), "buckets")
+    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("v", "n")).alias("lo"), F.max(F.struct("v", "n")).alias("hi"))
+    shared = written(shared.where("_c > 1").select("bucket", F.when(F.col("_c") > 2, F.array("lo", "hi")).otherwise(F.array("lo")).alias("pivots")), "shared")
+    members = written(places.join(shared, "bucket"), "members")
     wanted = written(members.select(F.col("v").alias("doc_id")).distinct(), "wanted")
-    texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id"])
-                    .select(F.col("doc_id").alias("v"), "text"), "texts")
-
-    none = spark.createDataFrame([], "v long, root long")
-    comps, links = none, spark.createDataFrame([], "a long, b long")
-    for pick in (F.min, F.max):
-        m = members.join(comps, "v", "left").withColumn("comp", F.coalesce("root", "v"))
-        pivots = (m.groupBy("bucket").agg(pick(F.struct("v", "n", "comp")).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                  .where("lo <> hi").select("bucket", F.col("p.v").alias("pv"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pcomp")))
-        pivots = written(pivots, "pivots")
-        near = m.join(pivots, "bucket").where("comp <> pcomp and 100 * least(n, pn) >= 85 * greatest(n, pn)")
-        # the pivot comes first: a bucket's many pairs share its text
-        pairs = written(near.select(F.col("pv").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
-        links = written(links.union(confirm(pairs, texts, threshold)), "links")
-        comps = written(components(links), "components")
-    # classes may be many times in members: signatures are added to what is left alone
-    open_buckets = (members.join(comps, "v", "left").withColumn("comp", F.coalesce("root", "v")).groupBy("bucket")
-                    .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"))
-    rest = members.join(open_buckets, "bucket").join(classes.select("v", "bands"), "v")
-    pairs = written(rest_pairs(rest, comps), "pairs")
-    links = written(links.union(confirm(pairs, texts, threshold)), "links")
+    texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "texts")
+    met = members.select("v", "n", F.explode("pivots").alias("p"))
+    pairs = written(met.where("v <> p.v and 100 * least(n, p.n) >= {t} * greatest(n, p.n)".format(t=threshold))
+                    .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
+    links = written(confirm(pairs, texts, threshold), "links")
     comps = components(links)
+    # what is left: buckets whose members are not all of one component
+    members = members.where("size(pivots) > 1").drop("pivots").join(comps, "v", "left")
+    members = members.withColumn("comp", F.coalesce("root", "v")).drop("root")
+    mixed = written(members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
+    rest = written(members.join(mixed, "bucket"), "rest")
+    more = written(rest_links(rest.join(classes.select("v", "bands"), "v").join(texts, "v"), threshold), "more")
+    if not more.isEmpty():
+        comps = components(links.union(more))
 
     ids = classes.join(comps, "v", "left").withColumn("root", F.coalesce("root", "v")).select(*key, "root")
     out = sigs.select("doc_id", *key).join(ids, key, "left")

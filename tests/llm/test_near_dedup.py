@@ -75,3 +75,19 @@ def test_sets_of_few_and_many_elements_match_plain_loop():
                 p[step], p[k] = p[k], p[step]
                 want[p[step]] = min(want[p[step]], (u >> 32) + (step << 32))
         assert superminhash(np.zeros(n, int), h, 1, m)[0].tolist() == want
+
+
+def test_links_beside_the_pivots(spark):
+    """One large group of copies of a text with few or many edits: many links
+    are between members that neither pivot is linked with."""
+    r = random.Random(9)
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 2, 4, 6, 8, 10])):
+            w[r.randrange(150)] = f"x{r.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    got = {x.doc_id: x.component_id for x in near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = near_components(rows)
+    assert got == want and 1 < len(set(want.values())) < 400
