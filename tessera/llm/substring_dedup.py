@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, mix, slices, small_batches, to_long, written
+from .common import Words, gram_hashes, lean, mix, slices, small_batches, to_long, written
 
 WINDOW = 35
 GRAM = 18
@@ -83,11 +83,16 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at, first, last = anchors_of(grams[a:b - GRAM + 1])
                     # the first and the last window overlap: together they are the span
                     span = mix(mix(windows[a + first] + (last - first).astype(np.uint64)) + windows[a + last])
-                    out.append((grams[a + at], span, np.full(len(at), keys[s + i]), np.full(len(at), rids[s + i]), first, last - first))
+                    # a word repeated without end: neighbouring equal windows are one row
+                    own = np.flatnonzero(np.concatenate(([True], (span[1:] != span[:-1]) | (last[1:] != first[1:]) | (last[:-1] != first[:-1]))))
+                    run = np.diff(np.concatenate((own, [len(at)])))
+                    out.append((grams[a + at[own]], span[own], np.full(len(own), keys[s + i]), np.full(len(own), rids[s + i]),
+                                first[own], (last - first)[own], run))
             if out:
-                g, span, k, rid, first, n = (np.concatenate(x) for x in zip(*out))
+                g, span, k, rid, first, n, run = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([to_long(g), to_long(span), pa.array(k), pa.array(rid), pa.array(first.astype(np.int32)),
-                                                  pa.array(n.astype(np.int8))], names=["gram", "span", "k", "rid", "first", "n"])
+                                                  pa.array(n.astype(np.int8)), pa.array(run.astype(np.int32))],
+                                                 names=["gram", "span", "k", "rid", "first", "n", "run"])
 
 
 def _candidates(batch: pa.RecordBatch, column: str):
@@ -211,11 +216,12 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if f is not None and len(f):
                     own = np.asarray(f.field("rid")) == rid[i]
                     pos, mask = np.asarray(f.field("pos"))[own].astype(np.int64), np.asarray(f.field("mask"))[own]
+                    run = np.asarray(f.field("run"))[own].astype(np.int64)
                     edge = np.zeros(len(words) + 1, np.int64)
                     for o in range(SIDE + 1):
-                        starts = pos[(mask >> o) & 1 == 1] - o
-                        np.add.at(edge, starts, 1)
-                        np.add.at(edge, starts + WINDOW, -1)
+                        hit = (mask >> o) & 1 == 1
+                        np.add.at(edge, pos[hit] - o, 1)
+                        np.add.at(edge, pos[hit] - o + run[hit] - 1 + WINDOW, -1)
                     words = [w for w, c in zip(words, np.cumsum(edge).tolist()) if not c]
                 gone.append(total[-1] - len(words))
                 out.append(b" ".join(words).decode())
@@ -229,29 +235,32 @@ def repeats_removed(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"),
                        F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("k"), F.hash("text").alias("rid"))
     anchors = written(docs.select("k", "rid", F.col("d.text").alias("text")).mapInArrow(
-        _anchors, "gram long, span long, k long, rid int, first int, n byte"), "anchors")
-    shared = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram"), "grams")
+        lean(_anchors), "gram long, span long, k long, rid int, first int, n byte, run int"), "anchors")
+    shared = written(anchors.groupBy("gram").agg(F.sum("run").alias("c")).where("c > 1").select("gram"), "grams")
     cand = written(anchors.join(shared, "gram"), "candidates")
-    spans = written(cand.groupBy("gram", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k", "first")).alias("at")), "spans")
-    # every window of a span that is there twice; bit o is the window that starts o words before pos
+    spans = written(cand.groupBy("gram", "span").agg(F.sum("run").alias("c"), F.min(F.struct("k", "first")).alias("at")), "spans")
+    # every window of a span that is there twice; bit o is the window that starts o words before pos,
+    # and run - 1 windows follow it
     whole = cand.join(spans.where("c > 1").select("gram", "span"), ["gram", "span"]).select(
-        "k", "rid", (F.col("first") + F.col("n")).alias("pos"), (F.expr("shiftleft(2L, n)") - 1).alias("mask"))
+        "k", "rid", (F.col("first") + F.col("n")).alias("pos"), (F.expr("shiftleft(2L, n)") - 1).alias("mask"), "run")
     groups = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     wanted = spans.join(groups, "gram").groupBy(F.col("at.k").alias("k")).agg(
         F.collect_set(F.when(F.col("g") <= GROUP, F.col("at.first"))).alias("cold"),
         F.collect_set(F.when(F.col("g") > GROUP, F.col("at.first"))).alias("hot"))
     near = docs.join(written(wanted, "wanted"), "k")
-    cold = (near.mapInArrow(_contexts, "gram long, k long, rid int, pos int, lo byte, hi byte, ctx binary")
-            .repartition("gram").sortWithinPartitions("gram").mapInArrow(_trees, "k long, rid int, pos int, mask long"))
+    cold = (near.mapInArrow(lean(_contexts), "gram long, k long, rid int, pos int, lo byte, hi byte, ctx binary")
+            .repartition("gram").sortWithinPartitions("gram").mapInArrow(lean(_trees), "k long, rid int, pos int, mask long"))
     # whole windows as prefixes: counted map-side, and looked up under a salt, as one may be in very many places
-    wins = near.where(F.size("hot") > 0).mapInArrow(_windows, "win long, k long, rid int, pos int")
+    wins = near.where(F.size("hot") > 0).mapInArrow(lean(_windows), "win long, k long, rid int, pos int")
     leaves = wins.groupBy("win").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(
         "win", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     hot = (wins.withColumn("salt", F.pmod(F.xxhash64("k", "pos"), F.lit(SALTS)).cast("int")).join(leaves, ["win", "salt"])
            .select("k", "rid", "pos", F.lit(1).cast("bigint").alias("mask")))
-    found = whole.unionByName(cold).unionByName(hot).groupBy("k").agg(F.collect_list(F.struct("rid", "pos", "mask")).alias("found"))
+    one = F.lit(1).alias("run")
+    found = whole.unionByName(cold.select("*", one)).unionByName(hot.select("*", one))
+    found = found.groupBy("k").agg(F.collect_list(F.struct("rid", "pos", "mask", "run")).alias("found"))
     schema = docs.select("d").schema.add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
-    return docs.join(found, "k", "left").select("k", "d", "rid", "found").mapInArrow(_keep, schema)
+    return docs.join(found, "k", "left").select("k", "d", "rid", "found").mapInArrow(lean(_keep), schema)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
