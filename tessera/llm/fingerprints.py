@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, hash_strings, mix, slices, small_batches
+from .common import Words, hash_strings, lean, mix, slices, small_batches
 
 SAMPLES = 64
 RANGE_BYTES = 4 << 20
@@ -142,5 +142,5 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     d = d.withColumn("_r", F.explode(rows)).select("doc_id", "text", "key", "_r.range", "_r.marker")
     d = d.repartition("range").sortWithinPartitions("range", "marker", F.desc("key"), F.xxhash64("text"))
     return d.select("doc_id", "text", "range", "marker").mapInArrow(
-        _pairs, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        lean(_pairs), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                 "near_edited double, near_next double")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, small_batches
+from .common import lean, slices, small_batches
 
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "article", "aside", "heading"]
 #: Labelled blocks, in the order of FEATURES, then 1 for main text.
@@ -301,4 +301,4 @@ def _extract(tree):
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     small_batches(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInArrow(_extract(labelled_tree()), "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(lean(_extract(labelled_tree())), "page_id long, url string, text string, n_chars long")

@@ -33,12 +33,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, hash_strings, mix, slices, small_batches
+from .common import Words, hash_strings, lean, mix, slices, small_batches
 
 LONGEST = 64
 GAIN = 100.0  # per character, keeps forward sums away from underflow
 UNIT = 1024
-REMEMBERED = 8_000_000  # numbers that a worker keeps for known words
+REMEMBERED = 2_000_000  # numbers that a worker keeps for known words
 
 
 class Vocabulary:
@@ -253,11 +253,11 @@ def predict_language(docs: DataFrame, path: str) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     train = docs.where("text is not null and lang is not null").where(part != 1).select("lang", "text")
     # bounded by languages x pieces of the vocabulary
-    rows = train.mapInArrow(_counts(path), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
+    rows = train.mapInArrow(lean(_counts(path)), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()
     documents = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
     counts: dict[str, dict[int, int]] = {}
     for r in rows:
         counts.setdefault(r["lang"], {})[r["piece"]] = r["n"]
     model = spark.sparkContext.broadcast(learned(counts, documents, len(Vocabulary(path).pieces)))
     d = docs.select("doc_id", "text", F.coalesce(part == 1, F.lit(False)).alias("held_out"))
-    return d.mapInArrow(_predict(path, model, uuid.uuid4().hex), "doc_id long, held_out boolean, lang_pred string, score double")
+    return d.mapInArrow(lean(_predict(path, model, uuid.uuid4().hex)), "doc_id long, held_out boolean, lang_pred string, score double")

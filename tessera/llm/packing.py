@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, slices, small_batches, written
+from .common import Words, lean, slices, small_batches, written
 from .ranks import rank_in_group, salted
 from .subwords import remembered, word_bpe
 
@@ -105,7 +105,7 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     pieces = docs.select("doc_id", "text").mapInArrow(
-        _pieces(path, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+        lean(_pieces(path, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = written(salted(pieces), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # capacity rows at most
     runs = spark.createDataFrame(plan(counts, capacity), "length long, _first long, _ranks long, _seq long, _n long, _at long")
