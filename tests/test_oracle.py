@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -36,7 +36,7 @@ def _canon(cols, rows):
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
     return c
 
 
@@ -48,7 +48,7 @@ def test_every_query_has_oracle_or_is_model_based():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_ORACLE)
     s_rows = [tuple(r) for r in df.collect()]
     cur = con.execute(ORACLE[name])
     d_cols = [c[0] for c in cur.description]
