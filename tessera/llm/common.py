@@ -18,7 +18,7 @@ from ..session import data_path, scratch_path, ship_package
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Text that one vectorised step handles at once, in bytes; bounds a worker's memory.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 4 << 20
 #: Rows of an Arrow batch; long texts make larger ones needless.
 BATCH_ROWS = "1000"
 
@@ -57,7 +57,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def lean(run):
-    """An Arrow function that hands freed memory back after each result: a
+    """An Arrow function that hands freed memory back when its task is done: a
     worker process outlives its task, and shares its executor's limit."""
     def wrapped(batches):
         import ctypes
@@ -65,11 +65,10 @@ def lean(run):
             trim = ctypes.CDLL(None).malloc_trim
         except (OSError, AttributeError):  # not this C library
             trim = None
-        for out in run(batches):
-            yield out
-            pa.default_memory_pool().release_unused()
-            if trim:
-                trim(0)
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
     return wrapped
 
 

@@ -15,7 +15,7 @@ import numpy as np
 from .common import Words, hash_strings
 
 #: Words that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class WordIds:
