@@ -14,8 +14,9 @@ exact.  Probabilities are smoothed by the distribution over all languages, and
 that one by a uniform one.
 
 Words are lower-cased; a character that is no piece costs the same in all
-languages; runs of more than LONGEST characters are handled in parts.  Equal
-words are scored once per worker.
+languages.  Words of more than LONGEST characters, and words with a sum below
+SAFE, keep the logarithms of their sums, so that no word of any length comes to
+0.  Equal words are scored once per worker.
 
 Edge cases: null text and text without a letter give ``und`` and 0; a null
 language is never learned; a row with a null doc_id is scored, not learned
@@ -25,6 +26,7 @@ as they are there; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,10 @@ from pyspark.sql import functions as F
 from .common import Words, hash_strings, lean, mix, slices, small_batches
 
 LONGEST = 64
-GAIN = 100.0  # per character, keeps forward sums away from underflow
+GAIN = 100.0  # per character, keeps most sums of words up to LONGEST above SAFE
+SAFE = 1e-200
+CELLS = 1_000_000  # characters of long words handled at once
+BASE = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 1024
 REMEMBERED = 2_000_000  # numbers that a worker keeps for known words
 
@@ -73,11 +78,10 @@ class Vocabulary:
         character always has an edge (-1: unknown)."""
         n = chars.shape[1]
         ends: list[list] = [[] for _ in range(n + 1)]
-        base = np.uint64(0x9E3779B97F4A7C15)
         for i in range(n):
             h = np.zeros(len(chars), np.uint64)
             for j in range(i, min(n, i + self.longest)):
-                h = h * base + chars[:, j] + np.uint64(1)
+                h = h * BASE + chars[:, j] + np.uint64(1)
                 piece = self.find(h)
                 if j == i or (piece >= 0).any():
                     ends[j + 1].append((i, piece))
@@ -95,16 +99,6 @@ def lengths_of(words: list[str]):
         yield np.array(ks), np.concatenate((start, chars), axis=1).astype(np.uint64)
 
 
-def parts_of(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """Long words in parts, and the word of each part."""
-    parts, owner = [], []
-    for k, w in enumerate(words):
-        for a in range(0, len(w), LONGEST):
-            parts.append(w[a:a + LONGEST])
-            owner.append(k)
-    return parts, np.array(owner, np.int64)
-
-
 def forward(ends, probs: np.ndarray, unknown: float, m: int) -> np.ndarray:
     """Sums over all segmentations up to each place (places x words x columns)."""
     alpha = np.zeros((len(ends), m, probs.shape[1]))
@@ -116,23 +110,121 @@ def forward(ends, probs: np.ndarray, unknown: float, m: int) -> np.ndarray:
     return alpha
 
 
+class Padded:
+    """Words of similar lengths, padded to one, with sums kept as logarithms.
+    ``logs``: of the pieces' probabilities, then of an unknown character's and
+    of what is no piece."""
+
+    def __init__(self, vocab: Vocabulary, words: list[str], logs: np.ndarray):
+        self.vocab, self.logs, self.size = vocab, logs, np.array([len(w) + 1 for w in words])
+        n = int(self.size.max())
+        rows = [np.frombuffer(("\u2581" + w).encode("utf-32-le"), "<u4") for w in words]
+        # hashes of the first characters; the one of any part is a difference
+        self.first = np.zeros((n + 1, len(words)), np.uint64)
+        chars = np.full((n, len(words)), 0xFFFFFFFF, np.uint64)
+        for k, row in enumerate(rows):
+            chars[:len(row), k] = row
+        for j in range(n):
+            self.first[j + 1] = self.first[j] * BASE + chars[j] + np.uint64(1)
+        self.power = np.ones((vocab.longest + 1, 1), np.uint64)
+        for k in range(vocab.longest):
+            self.power[k + 1] = self.power[k] * BASE
+
+    def pieces(self, h: np.ndarray, single: int) -> np.ndarray:
+        """Rows of ``logs`` of parts; those at ``single`` are one character."""
+        piece = self.vocab.find(h)
+        unknown = len(self.logs) - 2
+        own = piece[single]
+        piece = np.where(piece >= 0, piece, unknown + 1)
+        piece[single] = np.where(own >= 0, own, unknown)
+        return piece
+
+    @staticmethod
+    def added(x: np.ndarray) -> np.ndarray:
+        """Log of the sum of what has these logarithms, over the first axis."""
+        top = np.maximum(x.max(axis=0), -1e300)
+        with np.errstate(divide="ignore"):
+            return top + np.log(np.exp(x - top).sum(axis=0))
+
+    def forward(self) -> Iterator[np.ndarray]:
+        """Sums over all segmentations up to each place (words x columns)."""
+        last = deque([np.zeros((len(self.size), self.logs.shape[1]))], maxlen=self.vocab.longest)
+        yield last[0]
+        for j in range(1, len(self.first)):
+            k = len(last)
+            piece = self.pieces(self.first[j] - self.first[j - k:j] * self.power[k:0:-1], -1)
+            last.append(self.added(np.stack(last) + self.logs[piece]))
+            yield last[-1]
+
+    def totals(self) -> np.ndarray:
+        out = np.zeros((len(self.size), self.logs.shape[1]))
+        for j, x in enumerate(self.forward()):
+            out[self.size == j] = x[self.size == j]
+        return out
+
+    def expected(self):
+        """(word, piece, expected number of it), from one column of ``logs``."""
+        m, n = len(self.size), len(self.first) - 1
+        alpha = np.stack([x[:, 0] for x in self.forward()])
+        total = alpha[self.size, np.arange(m)]
+        after = deque([np.where(self.size == n, 0.0, -np.inf)], maxlen=self.vocab.longest)
+        found, held = [], 0
+        for i in range(n - 1, -1, -1):
+            k = len(after)
+            piece = self.pieces(self.first[i + 1:i + 1 + k] - self.first[i] * self.power[1:k + 1], 0)
+            x = np.stack(after) + self.logs[piece, 0]
+            share = np.exp(alpha[i] + x - total)
+            at, word = np.nonzero((piece < len(self.logs) - 2) & (share > 0))
+            found.append((word, piece[at, word], share[at, word]))
+            held += len(at)
+            if held > CELLS or not i:
+                yield tuple(np.concatenate(c) for c in zip(*found))
+                found, held = [], 0
+            after.appendleft(np.where(self.size == i, 0.0, np.where(self.size < i, -np.inf, self.added(x))))
+
+
+def padded(vocab: Vocabulary, words: list[str], at: list[int], logs: np.ndarray):
+    """(indices, Padded) of the words at these indices, those of similar lengths together."""
+    at = sorted(at, key=lambda k: len(words[k]))
+    while at:
+        most = min(len(at), 4000)
+        n = next((i for i in range(1, most) if 2 * len(words[at[i]]) > 3 * len(words[at[0]]) + 2 or (i + 1) * len(words[at[i]]) > CELLS), most)
+        own, at = at[:n], at[n:]
+        yield np.array(own), Padded(vocab, [words[k] for k in own], logs)
+
+
+def logs_of(probs: np.ndarray, unknown: float) -> np.ndarray:
+    columns = probs.shape[1]
+    with np.errstate(divide="ignore"):
+        return np.log(np.concatenate((probs, np.full((1, columns), unknown), np.zeros((1, columns)))))
+
+
 def expected_pieces(vocab: Vocabulary, words: list[str]):
     """(word, piece, expected number of it) under equal probabilities."""
-    parts, owner = parts_of(words)
     flat = np.full((len(vocab.pieces), 1), 1.0 / len(vocab.pieces))
     unknown = 1e-3 / len(vocab.pieces)
-    for ks, chars in lengths_of(parts):
-        ends = vocab.edges(chars)
+    again = [k for k, w in enumerate(words) if len(w) > LONGEST]
+    short = [k for k, w in enumerate(words) if len(w) <= LONGEST]
+    for ks, chars in lengths_of([words[k] for k in short]):
+        owner, ends = np.array(short)[ks], vocab.edges(chars)
         alpha = forward(ends, flat, unknown, len(ks))[:, :, 0]
-        beta = np.zeros_like(alpha)
+        beta, found = np.zeros_like(alpha), []
         beta[-1] = 1.0
         for j in range(len(ends) - 1, 0, -1):
             for i, piece in ends[j]:
                 p = np.where(piece >= 0, flat[0, 0], unknown if j - i == 1 else 0.0) * GAIN ** (j - i)
                 mass = p * beta[j]
                 hit = np.flatnonzero(piece >= 0)
-                yield owner[ks[hit]], piece[hit], (alpha[i] * mass / alpha[-1])[hit]
+                found.append((hit, piece[hit], (alpha[i] * mass)[hit]))
                 beta[i] += mass
+        low = (np.minimum(alpha, beta) < SAFE).any(axis=0)
+        again += owner[low].tolist()
+        for hit, piece, x in found:
+            own = ~low[hit]
+            yield owner[hit[own]], piece[own], x[own] / alpha[-1, hit[own]]
+    for own, rows in padded(vocab, words, again, logs_of(flat, unknown)):
+        for word, piece, x in rows.expected():
+            yield own[word], piece, x
 
 
 def _counts(path: str):
@@ -171,15 +263,21 @@ class Scorer:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros((0, probs.shape[1]), np.float32)
 
     def fresh(self, words: list[str]) -> np.ndarray:
-        parts, owner = parts_of(words)
-        out = np.zeros((len(words), self.probs.shape[1]))
-        for ks, chars in lengths_of(parts):
-            n = chars.shape[1]
+        unknown, out = 1e-3 / len(self.probs), np.zeros((len(words), self.probs.shape[1]))
+        again = [k for k, w in enumerate(words) if len(w) > LONGEST]
+        short = [k for k, w in enumerate(words) if len(w) <= LONGEST]
+        for ks, chars in lengths_of([words[k] for k in short]):
+            owner, n = np.array(short)[ks], chars.shape[1]
             for a in range(0, len(ks), 20_000):
-                own = ks[a:a + 20_000]
-                alpha = forward(self.vocab.edges(chars[a:a + 20_000]), self.probs, 1e-3 / len(self.probs), len(own))
-                np.add.at(out, owner[own], np.log(alpha[-1]) - n * np.log(GAIN))
-        return out.astype(np.float32)
+                own = owner[a:a + 20_000]
+                alpha = forward(self.vocab.edges(chars[a:a + 20_000]), self.probs, unknown, len(own))
+                low = (alpha < SAFE).any(axis=(0, 2))
+                again += own[low].tolist()
+                out[own[~low]] = np.log(alpha[-1][~low]) - n * np.log(GAIN)
+        if again:
+            for own, rows in padded(self.vocab, words, again, logs_of(self.probs, unknown)):
+                out[own] = rows.totals()
+        return out
 
     def __call__(self, vocab: pa.Array) -> np.ndarray:
         keys = hash_strings(vocab)
@@ -191,6 +289,8 @@ class Scorer:
         new = np.flatnonzero(~known)
         if len(new):
             rows, order = self.fresh(vocab.take(new).to_pylist()), np.argsort(keys[new])
+            # only differences between languages count, and those of a long word need the digits
+            rows = (rows - rows.max(axis=1, keepdims=True)).astype(np.float32)
             at = np.searchsorted(self.keys, keys[new][order])
             self.keys = np.insert(self.keys, at, keys[new][order])
             self.rows = np.insert(self.rows, at, rows[order], axis=0)

@@ -56,6 +56,47 @@ def test_expected_pieces():
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+UNKNOWN = "\u0f40"  # a character outside the vocabulary
+
+
+@pytest.mark.parametrize("n", [58, 60, 64, 65, 200, 10_000])
+def test_unknown_characters_in_a_row(n):
+    vocab = langid.Vocabulary(PATH)
+    start, pieces = vocab.pieces.index("\u2581"), len(vocab.pieces)
+    assert UNKNOWN not in vocab.pieces
+    probs = np.full((pieces, 2), 1e-5)
+    probs[start] = 0.1, 0.2
+    got = langid.Scorer(PATH, probs).fresh([UNKNOWN * n, "the", UNKNOWN * n + "the"])
+    assert np.isfinite(got).all() and got[0] == pytest.approx(np.log([0.1, 0.2]) + n * math.log(1e-3 / pieces))
+    found = list(langid.expected_pieces(vocab, [UNKNOWN * n]))
+    numbers = {int(p): float(x) for _, ps, xs in found for p, x in zip(ps, xs)}
+    assert numbers == {start: pytest.approx(1)}
+
+
+def test_logarithms_agree_with_products(monkeypatch):
+    vocab = langid.Vocabulary(PATH)
+    words = ["internationalisation", "the" * 21, "stra\u00dfe", "a", "zz" + UNKNOWN * 5 + "inter", "ab" * 30]
+    scorer = langid.Scorer(PATH, np.random.default_rng(0).random((len(vocab.pieces), 3)) / 1e4)
+
+    def both():
+        n = np.zeros((len(words), len(vocab.pieces)))
+        for own, piece, x in langid.expected_pieces(vocab, words):
+            np.add.at(n, (own, piece), x)
+        return scorer.fresh(words), n
+    want = both()
+    monkeypatch.setattr(langid, "LONGEST", 0)
+    for g, w in zip(both(), want):
+        assert g == pytest.approx(w, rel=1e-8, abs=1e-12)
+
+
+def test_unknown_runs_in_training_and_held_out_rows(spark):
+    rows = [(i, "the thing " * 5 + UNKNOWN * k, "en") for i, k in enumerate([0, 60, 64, 500, 10_000] * 4)]
+    rows += [(100 + i, "das ding \u00fcnd " * 5 + UNKNOWN * k, "de") for i, k in enumerate([0, 60, 64, 500, 10_000] * 4)]
+    got = langid.predict_language(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), PATH).collect()
+    lang = {i: l for i, _, l in rows}
+    assert len(got) == len(rows) and all(r.lang_pred == lang[r.doc_id] and 0.5 < r.score <= 1 for r in got)
+
+
 def test_held_out_accuracy(spark):
     docs = read_table(spark, SF_SMALL, "documents")
     lang = {r.doc_id: r.lang for r in docs.collect()}
