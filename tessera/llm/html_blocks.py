@@ -7,10 +7,13 @@ article, inside an element made for something else, a heading).  A decision
 tree, trained on the small labelled table below, keeps or drops it.
 
 Text is decoded, its white space becomes single spaces, and the kept blocks are
-joined by a space.  Scripts, styles and comments in the markup are no text.
+joined by a space.  Scripts, styles and comments in the markup are no text,
+nor is what stands in the head, in choices, drawings and other objects; where
+their end tag is left out, they end as in a browser: with their parent, at the
+body, or at once if self-closed.
 
-Edge cases: null or empty html gives an empty text; markup that is never closed
-ends with the page; a page without tags is one block; a null page_id or url is
+Edge cases: null or empty html gives an empty text; a script, style, textarea,
+title or comment that is never closed ends with the page; a page without tags is one block; a null page_id or url is
 carried along; repeated rows are rows of their own; a page of any length is
 read whole; an empty table gives an empty result.
 """
@@ -115,8 +118,16 @@ LABELLED = """
   2 0.00  12 1.00  20 0.90 0 0 0 0
 """
 
-#: Elements whose text is not the page's own, and class, id or role words that say the same.
-NOT_TEXT = "script style noscript template textarea select option iframe object svg canvas head"
+#: Elements of plain text, up to their end tag, and elements with markup, whose text is not the page's own.
+RAW = set("script style textarea title".split())
+NOT_TEXT = set("noscript template select option iframe object svg canvas head".split())
+#: What a head may hold: any other start ends it.  Elements that are followed only as parents.
+IN_HEAD = RAW - {"textarea"} | set("base basefont bgsound link meta noscript template head".split())
+FOLLOWED = {"datalist", "optgroup", "foreignobject"}
+#: Starts that end a drawing.
+NOT_DRAWN = set("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li main menu article section ol p pre ruby
+s small span strong strike sub sup table tt u ul var""".split())
+#: Elements, and class, id or role words, that say the same.
 ASIDE = set("nav footer aside form button menu dialog fieldset label input".split())
 SAYS_ASIDE = set("""ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner nav navbar navigation
 menu breadcrumb breadcrumbs sidebar sidebars widget widgets aside footer header masthead topbar cookie cookies consent gdpr notice notices notification
@@ -128,18 +139,15 @@ h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre
 HEADING = set("h1 h2 h3 h4 h5 h6".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: A start that an open element of its kind ends, and what it does not reach across.
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-FENCE = set("article aside body div dl footer form header html main nav ol section table ul".split())
-
-#: Attributes; a quoted value may hold < and >.  Where one is longer than this
-#: (or never closed), the tag ends at the next >, so reading stays linear.
-ATTRS = "(?:[^<>\"']|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+"
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<skip>" + "|".join(NOT_TEXT.split()) + r")(?=[\s/>])" + ATTRS + r">(?:.*?</(?P=skip)\s*>|.*\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<attrs>" + ATTRS + r")>"
-    r"|</?[a-zA-Z][^<>]*>"
-    r"|<[!?/][^<>]*>", re.S | re.I)
+CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
+          "option": {"option"}, "optgroup": {"option", "optgroup"}}
+FENCE = set("article aside body datalist div dl footer form header html main nav ol section select table ul".split())
+
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+#: In a tag: a quoted value, which may hold < and > and is of any length, or the tag's end.
+INSIDE = re.compile(r"=\s*([\"'])|[<>]")
+OTHER = re.compile(r"<[!?/][^<>]*>")
+RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 MARKS = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 
@@ -158,11 +166,60 @@ def marks(attrs: str) -> tuple[set[str], bool]:
     return found, hidden
 
 
+class Tags:
+    """The tags of a page in order: (start, end, whether an end tag, name,
+    attributes); comments and the like have no name.  Reading is linear."""
+
+    def __init__(self, page: str):
+        self.page, self.at, self.unclosed = page, 0, set()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self) -> tuple[int, int, bool, str, str]:
+        page = self.page
+        while (start := page.find("<", self.at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                self.at = end + 3 if end >= 0 else len(page)
+                return start, self.at, False, "", ""
+            m = NAME.match(page, start)
+            if m:
+                end = self.end_of(m.end())
+                if end is not None:
+                    self.at = end + page.startswith(">", end)
+                    return start, self.at, bool(m[1]), m[2].lower(), page[m.end():end]
+            elif other := OTHER.match(page, start):
+                self.at = other.end()
+                return start, self.at, False, "", ""
+            self.at = start + 1
+        raise StopIteration
+
+    def end_of(self, at: int) -> int | None:
+        """Where the tag with attributes from ``at`` on ends: at the next > or,
+        after a quoted value, <.  None if it is no tag."""
+        page, quoted = self.page, False
+        while m := INSIDE.search(page, at):
+            if not m[1]:
+                return m.start() if quoted or m[0] == ">" else None
+            quoted = True
+            close = -1 if m[1] in self.unclosed else page.find(m[1], m.end())
+            if close < 0:  # there is none up to the page's end
+                self.unclosed.add(m[1])
+            at = max(close + 1, m.end())
+        return len(page) if quoted else None
+
+    def skip_raw(self, name: str) -> None:
+        """Go to the end tag of an element of plain text."""
+        m = RAW_END[name].search(self.page, self.at)
+        self.at = m.start() if m else len(self.page)
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     """(text, words, words in links, article, aside, heading) of each block."""
     out: list[tuple] = []
-    # open elements: (name, inside an article, inside something else, inside a heading)
-    stack: list[tuple[str, int, int, int]] = []
+    # open elements: (name, inside an article, inside something else, inside a heading, inside what is no text)
+    stack: list[tuple[str, int, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
     link = 0
@@ -176,28 +233,42 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
         linked.clear()
 
     def say(s: str) -> None:
-        if s:
+        if stack and stack[-1][0] == "head" and s.strip():
+            stack.pop()
+        if s and not (stack and stack[-1][4]):
             text.append(s)
             if link:
                 linked.append(html.unescape(s))
-    at = 0
-    for m in TAG.finditer(page):
-        say(page[at:m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
+    at, tags = 0, Tags(page)
+    for start, end, closing, name, attrs in tags:
+        say(page[at:start])
+        at = end
         if not name:
-            if m["skip"] and m["skip"].lower() in BLOCK:
-                flush()
             continue
-        if name == "br":
-            text.append(" ")
+        if not closing:
+            if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+                stack.pop()
+            if stack and stack[-1][0] == "svg" and name in NOT_DRAWN:
+                stack.pop()
+            if name == "body" and all(x[0] != "body" for x in stack):
+                del stack[next((k for k, x in enumerate(stack) if x[4]), len(stack)):]
+        skip = stack[-1][4] if stack else 0
+        own_end = attrs.endswith("/")
+        if name in RAW:
+            if not closing and not (own_end and any(x[0] == "svg" for x in stack)):
+                tags.skip_raw(name)
+                at = tags.at
             continue
-        if name == "a":
-            link = 0 if m["end"] else 1
-            continue
-        if name in BLOCK:
-            flush()
-        if m["end"]:
+        if not skip:
+            if name == "br":
+                text.append(" ")
+                continue
+            if name == "a":
+                link = 0 if closing else 1
+                continue
+            if name in BLOCK:
+                flush()
+        if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     del stack[k:]
@@ -210,10 +281,14 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
                     if stack[k][0] in CLOSES[name]:
                         del stack[k:]
                         break
-                    if stack[k][0] in FENCE:
+                    if stack[k][0] in FENCE or stack[k][0] in NOT_TEXT:
                         break
-            article, aside, heading = stack[-1][1:] if stack else (0, 0, 0)
-            words, hidden = marks(m["attrs"])
+            article, aside, heading, skip = stack[-1][1:] if stack else (0, 0, 0, 0)
+            if skip or name in NOT_TEXT or name in FOLLOWED:
+                if not own_end and (name in BLOCK or name in NOT_TEXT or name in FOLLOWED):
+                    stack.append((name, article, aside, heading, int(skip or name in NOT_TEXT)))
+                continue
+            words, hidden = marks(attrs)
             if name in ("article", "main"):
                 # a comment may be an article of its own
                 aside |= bool(words & SAYS_COMMENT)
@@ -225,11 +300,11 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
             elif (name == "header" or "header" in words) and not article:
                 aside = 1
             heading |= name in HEADING
-            if name in BLOCK or (article, aside, heading) != (stack[-1][1:] if stack else (0, 0, 0)):
+            if name in BLOCK or (article, aside, heading) != (stack[-1][1:4] if stack else (0, 0, 0)):
                 if name not in BLOCK:  # an inline element of another kind starts a block too
                     flush()
-                stack.append((name, article, aside, heading))
-        new = stack[-1][1:] if stack else (0, 0, 0)
+                stack.append((name, article, aside, heading, 0))
+        new = stack[-1][1:4] if stack else (0, 0, 0)
         if new != state:
             flush()
             state = new

@@ -32,6 +32,25 @@ def test_pages(page, want):
     assert main_text(page, TREE) == want
 
 
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>x</title><meta charset=utf-8><body><article><p>{PROSE}</article>",
+    f"<head><title>x</title><article><p>{PROSE}</article>",
+    f"<div><datalist><option value=a>a<option value=b>b</datalist></div><article><p>{PROSE}</p></article>",
+    f"<select><option>a<option>b</select><article><p>{PROSE}</p></article>",
+    f"<article><p><svg viewBox='0 0 1 1'/>{PROSE}</p></article>",
+    f"<article><p><svg><path d=x><p>{PROSE}</p></article>",
+    f"<div><svg><path d=x></div><article><p>{PROSE}</p></article>",
+    f"<div><object data=x></div><div><canvas></div><div><iframe src=x></div><article><p>{PROSE}</p></article>",
+    f"<article><p>{PROSE}<svg><title/><text>no</text></svg><template><p>no</p></template><noscript><p>no</p></noscript></p></article>"])
+def test_end_tags_left_out(page):
+    assert main_text(page, TREE) == PROSE.strip()
+
+
+def test_many_tags_that_fail_are_read_in_linear_time():
+    for part in ('<a "', "<a x='", '<a x="<a" ', "<a x=", "</", "<!", "<!--", "<svg>"):
+        assert main_text(part * 50_000, TREE) is not None
+
+
 def test_tree_learns_its_table():
     found = blocks("<nav><a href=x>Menu</a></nav><article><p>short</p></article>")
     assert [b[0] for b in found] == ["Menu", "short"]
