@@ -46,6 +46,19 @@ def test_end_tags_left_out(page):
     assert main_text(page, TREE) == PROSE.strip()
 
 
+LONG = "x > <y>" * 1000
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<nav data-props='{LONG}'><p>{PROSE}</p></nav><article><p>{PROSE}</p></article>", PROSE),
+    (f'<div hidden data-props="{LONG}"><p>{PROSE}</p></div><article><p>{PROSE}</p></article>', PROSE),
+    (f"<article><div style='{LONG}'><p>One.</p></div><p>Two.</p><p>Three.</p></article>", "One. Two. Three."),
+    (f"<article><script data-x='{LONG}'>no</script><iframe srcdoc='{LONG}'>no</iframe><p>Two.</p></article>", "Two."),
+])
+def test_attributes_of_any_length(page, want):
+    assert main_text(page, TREE) == want.strip()
+
+
 def test_many_tags_that_fail_are_read_in_linear_time():
     for part in ('<a "', "<a x='", '<a x="<a" ', "<a x=", "</", "<!", "<!--", "<svg>"):
         assert main_text(part * 50_000, TREE) is not None
