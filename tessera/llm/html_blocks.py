@@ -133,7 +133,10 @@ SAYS_ASIDE = set("""ad ads adv advert adverts advertisement advertising adbox sp
 menu breadcrumb breadcrumbs sidebar sidebars widget widgets aside footer header masthead topbar cookie cookies consent gdpr notice notices notification
 alert popup modal overlay newsletter subscribe subscription signup login search form comment comments reply replies disqus discussion
 respond share sharing social related recommended recommendations pagination pager toolbar skip hidden legal copyright contentinfo complementary""".split())
-SAYS_COMMENT = set("comment comments reply replies discussion".split())
+SAYS_COMMENT = set("comment comments reply replies".split())
+#: Words that alone say nothing inside an article, and what may follow the word that names a thing.
+UNSURE = {"discussion", "notice", "notices"}
+TAIL = set("list item items box links link buttons button bar area form".split())
 BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
 HEADING = set("h1 h2 h3 h4 h5 h6".split())
@@ -152,13 +155,25 @@ MARKS = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([
 SPLIT = re.compile(r"[^a-z]+")
 
 
+def says(token: str) -> set[str]:
+    """What a class token names: the known words of one whose last word is
+    known (sidebar, left-sidebar; not has-sidebar, sidebar-layout)."""
+    parts = [x for x in SPLIT.split(token) if x]
+    if set(parts[:-1]) & {"has", "no", "not", "with", "without", "hide"}:
+        return set()
+    while len(parts) > 1 and parts[-1] in TAIL and parts[-1] not in SAYS_ASIDE:
+        parts.pop()
+    return set(parts) & SAYS_ASIDE if parts and parts[-1] in SAYS_ASIDE else set()
+
+
 def marks(attrs: str) -> tuple[set[str], bool]:
-    """The words of class, id and role, and whether the element is hidden."""
+    """What class, id and role say, and whether the element is hidden."""
     found, hidden = set(), False
     for name, *values in MARKS.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id", "role"):
-            found.update(SPLIT.split(value))
+            for token in value.split():
+                found |= says(token)
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
         else:
@@ -218,7 +233,8 @@ class Tags:
 def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     """(text, words, words in links, article, aside, heading) of each block."""
     out: list[tuple] = []
-    # open elements: (name, inside an article, inside something else, inside a heading, inside what is no text)
+    # open elements: (name, inside an article, inside something else (1 by a wrapper's mark, 2 for certain), inside a heading,
+    # inside what is no text)
     stack: list[tuple[str, int, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
@@ -228,7 +244,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     def flush() -> None:
         whole = " ".join(html.unescape("".join(text)).split())
         if whole:
-            out.append((whole, len(whole.split()), len(" ".join(linked).split()), *state))
+            article, aside, heading = state
+            out.append((whole, len(whole.split()), len(" ".join(linked).split()), article, int(aside > 0), heading))
         text.clear()
         linked.clear()
 
@@ -290,15 +307,21 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
                 continue
             words, hidden = marks(attrs)
             if name in ("article", "main"):
-                # a comment may be an article of its own
-                aside |= bool(words & SAYS_COMMENT)
+                # what a wrapper's class says does not hold for the article in it, but a
+                # comment may be an article of its own, and one inside another is a part of it
+                if aside == 1 and not any(x[0] == "article" for x in stack):
+                    aside = 0
+                if hidden or words & SAYS_COMMENT:
+                    aside = 2
                 article = 1
             elif name in ("html", "body"):
                 pass
-            elif name in ASIDE or hidden or words & (SAYS_ASIDE - {"header"}):
-                aside = 1
+            elif (name in ASIDE and name != "form") or hidden or words & SAYS_COMMENT:
+                aside = 2
+            elif name == "form" or words - {"header"} - (UNSURE if article else set()):
+                aside = max(aside, 1)
             elif (name == "header" or "header" in words) and not article:
-                aside = 1
+                aside = max(aside, 1)
             heading |= name in HEADING
             if name in BLOCK or (article, aside, heading) != (stack[-1][1:4] if stack else (0, 0, 0)):
                 if name not in BLOCK:  # an inline element of another kind starts a block too

@@ -59,6 +59,23 @@ def test_attributes_of_any_length(page, want):
     assert main_text(page, TREE) == want.strip()
 
 
+@pytest.mark.parametrize("page,want", [
+    (f'<div class="layout has-sidebar"><article><p>{PROSE}</p></article></div>', PROSE),
+    (f'<div id=page class="no-sidebar"><p>{PROSE}</p></div>', PROSE),
+    (f'<div class="content sidebar-layout with-sidebar"><p>{PROSE}</p></div>', PROSE),
+    (f'<div class="widget"><main><p>{PROSE}</p></main></div>', PROSE),
+    (f'<form><article><p>{PROSE}</p></article></form>', PROSE),
+    (f'<article><p>One.</p><section id=discussion><p>{PROSE}</p></section></article>', "One. " + PROSE),
+    # still no main text
+    (f'<article><p>One.</p><div class="related"><article><p>{PROSE}</p></article></div></article>', "One."),
+    (f'<article><p>One.</p></article><div class="comment-list"><article><p>{PROSE}</p></article></div>', "One."),
+    (f'<article><p>One.</p></article><div class="left-sidebar widget-area"><p>{PROSE}</p></div>', "One."),
+    (f'<div hidden><article><p>{PROSE}</p></article></div>', ""),
+])
+def test_marks_of_wrappers(page, want):
+    assert main_text(page, TREE) == want.strip()
+
+
 def test_many_tags_that_fail_are_read_in_linear_time():
     for part in ('<a "', "<a x='", '<a x="<a" ', "<a x=", "</", "<!", "<!--", "<svg>"):
         assert main_text(part * 50_000, TREE) is not None
