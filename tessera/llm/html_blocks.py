@@ -151,7 +151,7 @@ NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
 INSIDE = re.compile(r"=\s*([\"'])|[<>]")
 OTHER = re.compile(r"<[!?/][^<>]*>")
 RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
-MARKS = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+MARKS = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPLIT = re.compile(r"[^a-z]+")
 
 
@@ -176,8 +176,8 @@ def marks(attrs: str) -> tuple[set[str], bool]:
                 found |= says(token)
         elif name == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value))
-        else:
-            hidden |= name == "hidden" or value == "true"
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
+            hidden = True
     return found, hidden
 
 

@@ -53,6 +53,7 @@ LONG = "x > <y>" * 1000
     (f"<nav data-props='{LONG}'><p>{PROSE}</p></nav><article><p>{PROSE}</p></article>", PROSE),
     (f'<div hidden data-props="{LONG}"><p>{PROSE}</p></div><article><p>{PROSE}</p></article>', PROSE),
     (f"<article><div style='{LONG}'><p>One.</p></div><p>Two.</p><p>Three.</p></article>", "One. Two. Three."),
+    (f"<article><div data-props='{LONG} hidden class=sidebar' data-hidden=1 aria-hidden=false><p>One.</p></div></article>", "One."),
     (f"<article><script data-x='{LONG}'>no</script><iframe srcdoc='{LONG}'>no</iframe><p>Two.</p></article>", "Two."),
 ])
 def test_attributes_of_any_length(page, want):
