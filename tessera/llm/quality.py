@@ -36,7 +36,7 @@ from .common import WHITE, written
 
 UNIT = 256
 #: least standard deviation assumed of each statistic: what differs by less is not unusual
-FLOORS = (0.5, 0.05, 0.05, 0.12, 0.12)
+FLOORS = (0.3, 0.05, 0.03, 0.05, 0.05)
 P = len(FLOORS)
 STATS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 X = [f"_x{i}" for i in range(P)]

@@ -95,6 +95,21 @@ def test_verdicts_equal_brute_force(spark):
     assert any(not k and not b for k, b in zip(kept, bad)) and sum(kept) > 250
 
 
+def test_repeats_and_symbols_go_in_a_uniform_group(spark):
+    r = random.Random(5)
+    line = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(4))
+    rows = [(i, "\n".join(line() for _ in range(12)), "en", "s") for i in range(80)]
+    own = [line() for _ in range(10)]
+    odd = {100: [own[k] for k in (0, 1, 2, 3, 4, 5, 0, 2, 4, 1, 3, 5)], 101: [*own, own[0] + " #######################", line()], 102: [line() for _ in range(12 * 20)]}
+    rows += [(i, "\n".join(x), "en", "s") for i, x in odd.items()]
+    # a passage of few words repeated: below the base rule's fifth, far above the group's none
+    w = " ".join(line() for _ in range(12)).split()
+    rows.append((103, " ".join([*w, *w[8:13]]), "en", "s"))
+    got = {x.doc_id: x for x in q.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].base_failed for i in range(100, 104))
+    assert {i for i, x in got.items() if not x.kept} == {100, 101, 102, 103}
+
+
 def test_native_and_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f g h i j k", None, None, 1), (2, None, "en", "s", 2), (2, None, "en", "s", 2)],
                                "doc_id long, text string, lang string, source string, d2 int")
