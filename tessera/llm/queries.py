@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .attention_lm import scored
+from .burst_trie import trie_nodes
 from .common import read_table
 from .fingerprints import fingerprint_pairs
+from .hard_negatives import hard_negatives
 from .html_blocks import extract
 from .langid import predict_language
 from .mixing import mixed
@@ -15,6 +17,7 @@ from .near_dedup import near_groups
 from .packing import packed
 from .quality import quality
 from .ring import sharded
+from .simhash import simhash_groups
 from .substring_dedup import repeats
 
 SHARDS = 40
@@ -98,3 +101,44 @@ def op5_block_tree(spark, sf_dir):
 def op3_attention_lm(spark, sf_dir):
     """Base and model scores of every document."""
     return scored(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_shared_lists(spark, sf_dir):
+    """Hard negatives of every anchor's positives."""
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
+LLM_ORACLE["op11_shared_lists"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, x -> floor(256 * x::double)) as e
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is not null and isfinite(x))) = len(embedding)),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+         list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (
+  select * from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (
+  select p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score, s.score as negative_score,
+         row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id) as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.same
+    and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
+
+@query
+def op12_deletion_simhash(spark, sf_dir):
+    """SimHash fingerprints of all documents and the components of those that differ by two bits at most."""
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_burst_trie(spark, sf_dir):
+    """The nodes of the trie of all rebuilt conversations."""
+    return trie_nodes(read_table(spark, sf_dir, "conversations"))
