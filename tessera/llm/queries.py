@@ -112,10 +112,10 @@ def op11_shared_lists(spark, sf_dir):
 LLM_ORACLE["op11_shared_lists"] = """
 with v as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-         list_transform(embedding, x -> floor(256 * x::double)) as e
+         list_transform(embedding, lambda x: floor(256 * x::double)) as e
   from embeddings
   where label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is not null and isfinite(x))) = len(embedding)),
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
 s as (
   select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
          list_inner_product(a.e, b.e)::bigint as score
