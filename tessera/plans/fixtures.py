@@ -133,6 +133,10 @@ def signal_label() -> Column:
     return F.when(unit_hash("user_id", 7) < 0.1, 1 - base).otherwise(base).cast("int").alias("churn_label")
 
 
+SIGNAL_LABEL_SQL = (f"CAST(CASE WHEN {unit_hash_sql('user_id', 7)} < 0.1 THEN 1 - (CASE WHEN balance > 3000 THEN 1 ELSE 0 END) "
+                    "ELSE (CASE WHEN balance > 3000 THEN 1 ELSE 0 END) END AS INTEGER)")
+
+
 def churn_signal_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that carry signal: balance > 3000, flipped where the key hash is
     below 0.1 (a learnable but noisy target)."""

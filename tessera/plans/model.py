@@ -2,8 +2,8 @@
 (M3-M7, M9, B1, B7, S11, S14).
 
 The encoder is fit on the training rows only and travels inside the fitted
-``PipelineModel``, so raw columns go in at scoring time.  Columns of any number
-of categories are encoded with a distributed dictionary instead.
+``PipelineModel``, so raw columns go in at scoring time.  Its categories are a
+table (``encoding.py``); boosted trees stop by patience (``boosting.py``).
 """
 
 from __future__ import annotations
@@ -21,44 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.prefix import bucket_count, bucket_of, running_totals
 from ..session import written
+from .boosting import Boosted, fit_boosted
+from .encoding import encode_long, fit_dictionary, fit_table_one_hot  # noqa: F401
 from .features import FeatureSpec, assemble
 
 def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def fit_dictionary(train: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """M3, distributed: (column, value, slot) for every category of the training
-    rows; ``slot`` numbers a column's values from 0 in ascending string order,
-    NULL (a category of its own) first.  The dictionary is a table, ranked by
-    buckets: no label reaches the driver, whatever the number of categories.
-    """
-    cols = list(columns)
-    values = written(train.select(*[F.col(c).cast("string").alias(c) for c in cols])
-                     .unpivot([], cols, "column", "value").distinct(), "categories")
-    nb = bucket_count(values, buckets)
-    # a sample of the values, about 16 per bucket, only places the cut points
-    step = max(1, values.count() // (16 * nb))
-    sample = sorted(r["value"] for r in values.where(F.col("value").isNotNull())
-                    .where(F.pmod(F.xxhash64("value"), F.lit(step)) == 0).select("value").distinct().collect())
-    cuts = [sample[len(sample) * i // nb] for i in range(1, nb)] if len(sample) >= nb else []
-    ranked = running_totals(values.withColumn("_one", F.lit(1).cast("bigint")), ["column"], ["value"], ["_one"],
-                            bucket=bucket_of(F.col("value"), sorted(set(cuts))))
-    return ranked.select("column", "value", (F.col("cum__one") - 1).cast("int").alias("slot"))
-
-
-def encode_long(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., column, value, slot): each row's slot per column, -1 for a
-    value that the training rows do not have (all zeros in one-hot form)."""
-    cols = list(columns)
-    long = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(list(keep), cols, "column", "value")
-    d = dictionary.select(F.col("column").alias("_c"), F.col("value").alias("_v"), "slot")
-    j = long.join(d, (F.col("column") == F.col("_c")) & F.col("value").eqNullSafe(F.col("_v")), "left")
-    return j.select(*keep, "column", "value", F.coalesce("slot", F.lit(-1)).alias("slot"))
-
-
 def one_hot_stages(columns: Sequence[str], output: str = "features",
                    passthrough: Sequence[str] = ()) -> list:
     """M3 stages for columns the caller declares categorical: NULL becomes a
@@ -99,33 +70,37 @@ class GBTParams:
     max_iter: int = 100
     step_size: float = 0.1
     max_depth: int = 5
-    validation_tol: float = 0.01
+    patience: int = 5
     seed: int = 42
 
 
 def fit_gbt(df: DataFrame, label: str, split_col: str = "split", train: str = "train",
             valid: str = "val", columns: Sequence[str] | None = None,
             params: GBTParams | None = None, categorical: Sequence[str] | None = None) -> PipelineModel:
-    """M4 + M6: encoder fit on ``train`` rows; boosted trees fit on train with
-    the ``valid`` rows as the early-stopping set; one PipelineModel out.
-    ``categorical`` columns (the string columns unless given) are one-hot
-    encoded, all others enter as numbers: one bin per value would make a
-    continuous column as wide as the table is long."""
+    """M4 + M6: see :func:`fit_gbt_rounds`; the PipelineModel alone."""
+    return fit_gbt_rounds(df, label, split_col, train, valid, columns, params, categorical)[0]
+
+
+def fit_gbt_rounds(df: DataFrame, label: str, split_col: str = "split", train: str = "train",
+                   valid: str = "val", columns: Sequence[str] | None = None,
+                   params: GBTParams | None = None, categorical: Sequence[str] | None = None) -> tuple[PipelineModel, Boosted]:
+    """M4 + M6: encoder fit on ``train`` rows; boosted trees fit on them, cut at
+    the best round on the ``valid`` rows with patience.  One PipelineModel out,
+    and the rounds.  ``categorical`` columns (the string columns unless given)
+    are one-hot encoded from a table of categories, all others enter as numbers;
+    every column may be given, as for a booster on one-hot features alone."""
     p = params or GBTParams()
     feats = [c for c in (columns or df.columns) if c not in (label, split_col)]
-    tr = df.filter(F.col(split_col) == train)
     if categorical is None:
         categorical = [c for c in feats if isinstance(df.schema[c].dataType, T.StringType)]
-    enc = fit_one_hot(tr, list(categorical), passthrough=[c for c in feats if c not in set(categorical)])
-    fit_rows = (df.filter(F.col(split_col).isin(train, valid))
-                .withColumn("_is_val", F.col(split_col) == valid)
-                .withColumn("_label", F.col(label).cast("double")))
-    gbt = GBTClassifier(featuresCol="features", labelCol="_label", maxIter=p.max_iter,
-                        stepSize=p.step_size, maxDepth=p.max_depth, seed=p.seed,
-                        validationIndicatorCol="_is_val", validationTol=p.validation_tol,
-                        cacheNodeIds=True, checkpointInterval=10)
-    model = gbt.fit(enc.transform(fit_rows))
-    return PipelineModel(stages=list(enc.stages) + [model])
+    enc = fit_table_one_hot(df.filter(F.col(split_col) == train), list(categorical), [c for c in feats if c not in set(categorical)])
+    rows = df.filter(F.col(split_col).isin(train, valid)).withColumn("_label", F.col(label).cast("double"))
+    # encoded once: every fit and every loss reads the vectors
+    rows = written(enc.transform(rows).select(split_col, "_label", "features"), "encoded")
+    gbt = GBTClassifier(featuresCol="features", labelCol="_label", maxIter=p.max_iter, stepSize=p.step_size,
+                        maxDepth=p.max_depth, seed=p.seed, cacheNodeIds=True, checkpointInterval=10)
+    done = fit_boosted(rows.filter(F.col(split_col) == train), rows.filter(F.col(split_col) == valid), gbt, p.patience)
+    return PipelineModel(stages=[enc, done.model]), done
 
 
 def fit_linear(df: DataFrame, label: str, features: Sequence[str]) -> PipelineModel:

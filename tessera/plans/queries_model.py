@@ -3,6 +3,7 @@ records."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.tenure import tenure_days, tenure_sql
@@ -14,8 +15,8 @@ from ..streaming.profile import latest_by_key, run_available_now, stream_profile
 from ..streaming.score import stream_score
 from . import fixtures as fx
 from .features import assemble, key_table
-from .model import (contract_of, encode_long, fit_dictionary, fit_gbt, fit_linear, predict, run_record,
-                    score_batch)
+from .encoding import encode_long, fit_dictionary, fit_table_one_hot
+from .model import GBTParams, contract_of, fit_gbt, fit_gbt_rounds, fit_linear, predict, run_record, score_batch
 from .queries_drift import ORIGIN, WIDTH, _k_sql
 from .queries_features import churn_spec
 from .queries_stats import SPLIT_WEIGHTS, TT_WEIGHTS, _split_case_sql
@@ -50,52 +51,127 @@ def one_hot_counts(spark, sf_dir):
     return encode_long(c, d, OHE_COLS).groupBy("column", "value", "slot").agg(F.count(F.lit(1)).alias("n"))
 
 
+OHE_SLOTS = f"""
+WITH tr AS (SELECT * FROM customer WHERE {_split_case_sql('c_custkey', SPLIT_WEIGHTS)} = 'train'),
+cats AS ({" UNION ".join(f"SELECT {i} AS i, CAST({c} AS VARCHAR) AS value FROM tr" for i, c in enumerate(OHE_COLS))}),
+slots AS (SELECT i, value, row_number() OVER (ORDER BY i, value) - 1 AS slot FROM cats),
+allv AS ({" UNION ALL ".join(f"SELECT c_custkey, {i} AS i, CAST({c} AS VARCHAR) AS value FROM customer" for i, c in enumerate(OHE_COLS))})
+SELECT a.c_custkey, (SELECT count(*) FROM slots)::INT AS width,
+       coalesce(string_agg(CAST(s.slot AS VARCHAR), ',' ORDER BY s.slot), '') AS slots
+FROM allv a LEFT JOIN slots s ON a.i = s.i AND a.value = s.value GROUP BY 1"""
+
+
+@query("one_hot_rows", OHE_SLOTS)
+def one_hot_rows(spark, sf_dir):
+    """M3 + M6: every row's sparse vector from the dictionary of the train
+    split, all columns one-hot, numeric ones too: its width and its slots."""
+    c = split(fx.table(spark, sf_dir, "customer"), "c_custkey", SPLIT_WEIGHTS)
+    enc = fit_table_one_hot(c.filter(F.col("split") == "train"), OHE_COLS)
+    v = enc.transform(c).select("c_custkey", F.unwrap_udt("features").alias("v"))
+    return v.select("c_custkey", F.col("v.size").alias("width"),
+                    F.array_join(F.transform("v.indices", lambda i: i.cast("string")), ",").alias("slots"))
+
+
 # ---------------------------------------------------------------- GBT + batch scoring
 
+#: the label's noise-free rule is balance > 3000; a fitted model must follow it beyond this distance
+CLEAR = 500
+
+
+def _clear_sql() -> str:
+    return f"count(*) FILTER (WHERE abs(balance - 3000) > {CLEAR})"
+
+
 def _gbt_training(spark, sf_dir):
     labels = fx.churn_signal_label(spark, sf_dir)
     feats = fx.features_clean(spark, sf_dir)
     spec = churn_spec()
     df = assemble(labels, spec, {"churn_user_features": feats}, apply_exclude=False)
+    # a customer without features still has a balance, which the label is made of
     df = split(df, "user_id", SPLIT_WEIGHTS)
     return df.drop(*spec.exclude), spec, feats
 
 
+def _follows():
+    """Whether the class is the rule's; NULL where the balance is near the threshold."""
+    return F.when(F.abs(F.col("balance") - 3000) > CLEAR, (F.col("prediction") == 1.0) == (F.col("balance") > 3000))
+
+
 @query("gbt_score_batch", f"""
 WITH {fx.FEATURES_CLEAN_SQL}
 SELECT user_id, segment, balance, order_count,
        {tenure_sql('creation_date', "TIMESTAMP '" + fx.AS_OF + "'")} AS user_tenure,
-       TRUE AS is_class, TRUE AS agrees
+       TRUE AS is_class, TRUE AS agrees, TRUE AS follows_rule
 FROM features_clean""")
 def gbt_score_batch(spark, sf_dir):
     """M3 + M4 + M6 + M7 + B7 + B1: fit encoder + boosted trees with early
     stopping on the validation split, then score the key-only table by key,
     inputs checked against the recorded schema.  Per key (exactly once) the
-    looked-up features, and whether the prediction is a class and the one that
-    its probability says."""
+    looked-up features, whether the prediction is a class and the one that its
+    probability says, and whether the predictions follow the rule behind the
+    label in 97 % of the rows whose balance is clear of the threshold."""
     df, spec, feats = _gbt_training(spark, sf_dir)
     model = fit_gbt(df, "churn_label")
     contract = contract_of(df, ["segment", "balance", "order_count", "user_tenure"])
     keys = key_table(feats, "user_id")
     spec.label = None
-    out = score_batch(keys, model, spec, {"churn_user_features": feats}, contract=contract)
+    out = written(score_batch(keys, model, spec, {"churn_user_features": feats}, contract=contract), "scored")
+    follows = out.agg(F.avg(_follows().cast("int"))).scalar()
     return out.select("user_id", "segment", "balance", "order_count", "user_tenure",
                       F.col("prediction").isin(0.0, 1.0).alias("is_class"),
-                      ((F.col("prediction") == 1.0) == (F.col("probability") >= 0.5)).alias("agrees"))
+                      ((F.col("prediction") == 1.0) == (F.col("probability") >= 0.5)).alias("agrees"),
+                      (follows >= 0.97).alias("follows_rule"))
+
+
+_GBT_ROWS = f"""{fx.FEATURES_CLEAN_SQL},
+gbt_rows AS (SELECT r.user_id, r.churn_label, f.balance, {_split_case_sql('r.user_id', SPLIT_WEIGHTS)} AS split
+             FROM (SELECT user_id, {fx.SIGNAL_LABEL_SQL} AS churn_label FROM churn_raw) r
+             LEFT JOIN features_clean f ON f.user_id = r.user_id)"""
 
 
 @query("gbt_metrics", f"""
-WITH {fx.CHURN_RAW_SQL}
-SELECT {_split_case_sql('user_id', SPLIT_WEIGHTS)} AS split, count(*) AS n, TRUE AS learned
-FROM churn_raw GROUP BY 1""")
+WITH {_GBT_ROWS}
+SELECT split, count(*) AS n, count(*) FILTER (WHERE churn_label = 1) AS positives, {_clear_sql()} AS clear,
+       TRUE AS follows_rule, TRUE AS learned
+FROM gbt_rows GROUP BY 1""")
 def gbt_metrics(spark, sf_dir):
-    """A3 + A4 on the boosted trees: rows scored per split, and whether the
-    model learned the signal (ROC AUC over 0.7)."""
+    """A3 + A4 on the boosted trees, per split: rows, positives, rows whose
+    balance is clear of the threshold, whether 97 % of these are predicted by
+    the rule behind the label (which the label itself follows in 90 %), and
+    whether the ROC AUC is over 0.7."""
+    df, _, _ = _gbt_training(spark, sf_dir)
+    scored = written(predict(fit_gbt(df, "churn_label"), df).select("split", "balance", "churn_label", "prediction", "probability"), "scored")
+    n = classification_metrics(scored, "churn_label", "prediction").select("split", "n", (F.col("tp") + F.col("fn")).alias("positives"))
+    rule = scored.groupBy("split").agg(F.count(_follows()).alias("clear"), (F.avg(_follows().cast("int")) >= 0.97).alias("follows_rule"))
+    a = auc(scored, "churn_label", "probability").select("split", (F.col("roc_auc") > 0.7).alias("learned"))
+    return n.join(rule, "split").join(a, "split")
+
+
+@query("gbt_rounds", f"""
+WITH {_GBT_ROWS}
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'val') AS n_valid,
+       TRUE AS stops_by_rule, TRUE AS best_is_least, TRUE AS cut_has_loss FROM gbt_rows""")
+def gbt_rounds(spark, sf_dir):
+    """M4: the rounds of a fit with patience 5, the rule recomputed from their
+    losses with window functions: it stops five rounds behind the best (or at
+    the last), the best is the least loss, and the cut ensemble has that loss,
+    recomputed from its probabilities on the validation rows."""
     df, _, _ = _gbt_training(spark, sf_dir)
-    scored = written(predict(fit_gbt(df, "churn_label"), df).select("split", "churn_label", "prediction", "probability"), "scored")
-    n = classification_metrics(scored, "churn_label", "prediction")
-    a = auc(scored, "churn_label", "probability")
-    return n.select("split", "n").join(a, "split").select("split", "n", (F.col("roc_auc") > 0.7).alias("learned"))
+    model, fit = fit_gbt_rounds(df, "churn_label")
+    r = fit.rounds(spark).withColumn("before", F.min("loss").over(Window.orderBy("round").rowsBetween(Window.unboundedPreceding, -1)))
+    better = r.withColumn("better", F.coalesce(F.col("loss") < F.col("before"), F.lit(True)))
+    seen = better.agg(F.max(F.when(F.col("better"), F.col("round"))).alias("best"), F.max("round").alias("stop"), F.min("loss").alias("least"),
+                      F.min_by("round", F.struct("loss", "round")).alias("least_at"))
+    p = F.when(F.col("churn_label") == 1, F.col("probability")).otherwise(1 - F.col("probability"))
+    rows = predict(model, df).select("split", p.alias("p"))
+    # the loss of a margin m is 2 log(1 + exp(-2 y m)), and the probability 1 / (1 + exp(-2 m))
+    n = rows.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "val").alias("n_valid"),
+                 F.avg(F.when(F.col("split") == "val", -2 * F.log("p"))).alias("again"))
+    return n.crossJoin(seen).select(  # one row each
+        "n_train", "n_valid",
+        (F.col("stop") == F.least(F.col("best") + GBTParams.patience, F.lit(GBTParams.max_iter))).alias("stops_by_rule"),
+        ((F.col("best") == F.col("least_at")) & (F.col("best") == fit.best)).alias("best_is_least"),
+        (F.abs(F.col("again") - F.col("least")) < 1e-9).alias("cut_has_loss"))
 
 
 def _record_sql() -> str:
