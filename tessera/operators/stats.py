@@ -171,15 +171,89 @@ def kde2(df: DataFrame, x: str, y: str, grid_x: Sequence[float], grid_y: Sequenc
     else:
         stats = stats.select("n", F.lit(float(bandwidth[0])).alias("hx"),
                              F.lit(float(bandwidth[1])).alias("hy"))
-    # the kernel is a product: one factor per axis and grid line, one sum per point
+    # the kernel is a product: a row per grid line of x with its factor, one sum
+    # per grid line of y; few enough sums to stay in generated code
     d = _with_scalars(vals, stats)
-    d = d.select("n", "hx", "hy", *[_kernel(F.col("vx"), v, F.col("hx")).alias(f"_x{i}") for i, v in enumerate(grid_x)],
-                 *[_kernel(F.col("vy"), v, F.col("hy")).alias(f"_y{j}") for j, v in enumerate(grid_y)])
-    points = [F.struct(F.lit(i).alias("gx"), F.lit(j).alias("gy"), F.lit(float(u)).alias("x"), F.lit(float(v)).alias("y"),
-                       F.sum(F.col(f"_x{i}") * F.col(f"_y{j}")).alias("s"))
-              for i, u in enumerate(grid_x) for j, v in enumerate(grid_y)]
-    one = d.agg(F.array(*points).alias("_p"), F.max("n").alias("n"), F.max("hx").alias("hx"), F.max("hy").alias("hy"))
+    lines = F.array(*[F.struct(F.lit(i).alias("gx"), F.lit(float(u)).alias("x"), _kernel(F.col("vx"), u, F.col("hx")).alias("kx"))
+                      for i, u in enumerate(grid_x)])
+    d = d.select("n", "hx", "hy", "vy", F.explode(lines).alias("_l"))
+    sums = [F.sum(F.col("_l.kx") * _kernel(F.col("vy"), v, F.col("hy"))) for v in grid_y]
+    points = F.array(*[F.struct(F.col("_l.gx").alias("gx"), F.lit(j).alias("gy"), F.col("_l.x").alias("x"), F.lit(float(v)).alias("y"), s.alias("s"))
+                       for j, (v, s) in enumerate(zip(grid_y, sums))])
+    one = d.groupBy("_l.gx", "_l.x").agg(points.alias("_p"), F.max("n").alias("n"), F.max("hx").alias("hx"), F.max("hy").alias("hy"))
     norm = F.col("n") * F.col("hx") * F.col("hy") * F.lit(2 * math.pi)
     return (one.where(F.col("n") > 0).select("n", "hx", "hy", F.explode("_p").alias("_p"))
             .select(F.col("_p.gx").cast("int").alias("gx"), F.col("_p.gy").cast("int").alias("gy"),
                     "_p.x", "_p.y", (F.col("_p.s") / norm).alias("density")))
+
+
+FAR = 9.0  # bandwidths; a kernel beyond them is below 3e-18
+
+
+def _pieces(v: Column, lo: float, step: Column) -> Column:
+    """A value's shares of the two nodes beside it: node 0 is ``lo``, nodes are
+    ``step`` apart."""
+    at = (v - F.lit(float(lo))) / step
+    i = F.floor(at)
+    return F.array(F.struct(i.alias("i"), (1 - (at - i)).alias("w")), F.struct((i + 1).alias("i"), (at - i).alias("w")))
+
+
+def kde_binned(df: DataFrame, col: str, grid: Sequence[float], bandwidth: float | None = None, per_bandwidth: int = 32) -> DataFrame:
+    """A8 (1-D) by linear binning: each value is shared out to the two nodes
+    beside it on a grid of ``per_bandwidth`` nodes a bandwidth, and the kernel is
+    summed over nodes; (gi, x, density).
+
+    The rows are read once and leave as one row per node and task.  Against the
+    exact sum a density is off by at most ``1 / (8 * per_bandwidth**2)`` of the
+    kernel's peak ``1 / (h * sqrt(2 * pi))``: linear interpolation of a function
+    whose second derivative is at most 1 / h**2.
+    """
+    v = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    vals = df.select(v.alias("v")).filter(F.col("v").isNotNull())
+    stats = vals.agg(F.count("v").alias("n"), F.stddev_samp("v").alias("_sd"))
+    h = (F.pow(F.col("n"), -0.2) * F.col("_sd")) if bandwidth is None else F.lit(float(bandwidth))
+    stats = stats.select("n", h.alias("h"))
+    lo, hi = float(min(grid)), float(max(grid))
+    near = _with_scalars(vals, stats).where((F.col("v") > lo - FAR * F.col("h")) & (F.col("v") < hi + FAR * F.col("h")))
+    step = F.col("h") / per_bandwidth
+    bins = near.select("n", "h", F.explode(_pieces(F.col("v"), lo, step)).alias("_b")).groupBy("n", "h", "_b.i").agg(F.sum("_b.w").alias("w"))
+    at = F.lit(lo) + F.col("i") * step
+    points = F.array(*[F.struct(F.lit(i).alias("gi"), F.lit(float(x)).alias("x"), F.sum(F.col("w") * _kernel(at, x, F.col("h"))).alias("s"))
+                       for i, x in enumerate(grid)])
+    one = bins.agg(points.alias("_p"), F.max("n").alias("n"), F.max("h").alias("h"))
+    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    return (one.where(F.col("n") > 0).select("n", "h", F.explode("_p").alias("_p"))
+            .select(F.col("_p.gi").cast("int").alias("gi"), "_p.x", (F.col("_p.s") / norm).alias("density")))
+
+
+def kde2_binned(df: DataFrame, x: str, y: str, grid_x: Sequence[float], grid_y: Sequence[float],
+                bandwidth: tuple[float, float] | None = None, per_bandwidth: int = 8) -> DataFrame:
+    """A8 (2-D) by linear binning: each point is shared out to the four nodes
+    around it, and the nodes are smoothed along x, then along y (the kernel is a
+    product); (gx, gy, x, y, density).  One pass over the rows, then work by
+    nodes: the cost does not grow with rows x grid.  Off by at most
+    ``1 / (4 * per_bandwidth**2)`` of the kernel's peak ``1 / (2 * pi * hx * hy)``.
+    """
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    vals = df.select(number(x).alias("vx"), number(y).alias("vy")).filter("vx is not null and vy is not null")
+    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("vx").alias("_sx"), F.stddev_samp("vy").alias("_sy"))
+    f = F.pow(F.col("n"), -1.0 / 6)
+    hx, hy = (f * F.col("_sx"), f * F.col("_sy")) if bandwidth is None else (F.lit(float(b)) for b in bandwidth)
+    d = _with_scalars(vals, stats.select("n", hx.alias("hx"), hy.alias("hy")))
+    lo = [float(min(g)) for g in (grid_x, grid_y)]
+    for v, h, g in (("vx", "hx", grid_x), ("vy", "hy", grid_y)):
+        d = d.where((F.col(v) > min(g) - FAR * F.col(h)) & (F.col(v) < max(g) + FAR * F.col(h)))
+    sx, sy = F.col("hx") / per_bandwidth, F.col("hy") / per_bandwidth
+    four = F.flatten(F.transform(_pieces(F.col("vx"), lo[0], sx), lambda a: F.transform(
+        _pieces(F.col("vy"), lo[1], sy), lambda b: F.struct(a["i"].alias("i"), b["i"].alias("j"), (a["w"] * b["w"]).alias("w")))))
+    keep = ["n", "hx", "hy"]
+    nodes = d.select(*keep, F.explode(four).alias("_b")).groupBy(*keep, "_b.i", "_b.j").agg(F.sum("_b.w").alias("w"))
+    at_x, at_y = F.lit(lo[0]) + F.col("i") * sx, F.lit(lo[1]) + F.col("j") * sy
+    along_x = nodes.groupBy(*keep, "j").agg(F.array(*[
+        F.struct(F.lit(g).alias("gx"), F.lit(float(u)).alias("x"), F.sum(F.col("w") * _kernel(at_x, u, F.col("hx"))).alias("s"))
+        for g, u in enumerate(grid_x)]).alias("_l")).select(*keep, "j", F.explode("_l").alias("_l"))
+    points = F.array(*[F.struct(F.lit(g).alias("gy"), F.lit(float(v)).alias("y"), F.sum(F.col("_l.s") * _kernel(at_y, v, F.col("hy"))).alias("s"))
+                       for g, v in enumerate(grid_y)])
+    out = along_x.groupBy(*keep, "_l.gx", "_l.x").agg(points.alias("_p")).select(*keep, "gx", "x", F.explode("_p").alias("_p"))
+    norm = F.col("n") * F.col("hx") * F.col("hy") * F.lit(2 * math.pi)
+    return out.select(F.col("gx").cast("int").alias("gx"), F.col("_p.gy").cast("int").alias("gy"), "x", "_p.y", (F.col("_p.s") / norm).alias("density"))

@@ -12,7 +12,9 @@ A spec is a small list of lookups and functions applied in order:
 
 Joins are plain equi joins: Spark (with AQE) broadcasts a side only when its
 measured size is under the broadcast threshold and otherwise sort-merges; a
-feature table written bucketed by its key avoids the shuffle of that side.
+feature table written in buckets of its key (``write_table(..., buckets=n)``)
+avoids the shuffle of that side.  Where single keys hold much of the left
+frame, :func:`lookup_heavy` deals their rows to many tasks.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tenure import tenure_days
 from ..operators.keys import require_key
+from ..session import written
 
 
 @dataclass
@@ -57,6 +61,27 @@ def register_feature_function(name: str, builder: Callable[..., Column], replace
     FUNCTIONS[name] = builder
 
 
+def register_python_function(name: str, fn: Callable, returns: str, replace: bool = False) -> None:
+    """Make a plain Python function of scalars known to specs under
+    ``name``.  It runs in Python workers on Arrow batches of its bound
+    parameters (None where one is missing); fixed parameters are passed on.
+    ``returns`` is the type of its result.  A Column builder
+    (:func:`register_feature_function`) stays in the engine: prefer it where
+    built-in functions can say the same."""
+    import pandas as pd
+
+    def builder(**given) -> Column:
+        names = [p for p, c in given.items() if isinstance(c, Column)]
+        fixed = {p: c for p, c in given.items() if not isinstance(c, Column)}
+
+        def batch(*series: pd.Series) -> pd.Series:
+            rows = zip(*(s.astype(object).where(s.notna(), None) for s in series))
+            return pd.Series([fn(**dict(zip(names, row)), **fixed) for row in rows], dtype=object)
+        batch.__annotations__ = {"series": pd.Series, "return": pd.Series}
+        return F.pandas_udf(batch, returns)(*[given[p] for p in names])
+    register_feature_function(name, builder, replace)
+
+
 @dataclass
 class FeatureFunction:
     """``output_name = udf_name(**{param: col(input_bindings[param])})``."""
@@ -127,6 +152,48 @@ def lookup(df: DataFrame, fl: FeatureLookup, feature_table: DataFrame, check_key
     return df.join(right, keys, "left").select(*df.columns, *names)
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int, most: int = 256) -> DataFrame:
+    """(keys..., _salts): keys with more than ``rows_per_task`` rows and the
+    number of tasks that their rows need.  A heavy-hitter sketch (frequent
+    items) finds the candidates in one pass; it tracks 16 x ``most`` keys, so
+    none above that share of the rows is missed.  At most ``most`` rows."""
+    key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
+    text = F.to_json(F.struct(key.alias("k")))  # the sketch takes strings
+    top = df.where(F.col(keys[0]).isNotNull()).agg(F.call_function("approx_top_k", text, F.lit(most), F.lit(16 * most)).alias("t"))
+    types = ", ".join(f"`{k}`: {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"struct<k: struct<{types}>>" if len(keys) > 1 else f"struct<k: {df.schema[keys[0]].dataType.simpleString()}>"
+    found = top.select(F.explode("t").alias("e")).where(F.col("e.count") > rows_per_task).select(
+        F.from_json("e.item", schema).alias("j"), F.ceil(F.col("e.count") / rows_per_task).cast("int").alias("_salts"))
+    names = [F.col(f"j.k.`{k}`").alias(k) for k in keys] if len(keys) > 1 else [F.col("j.k").alias(keys[0])]
+    return found.select(*names, "_salts")
+
+
+def lookup_heavy(df: DataFrame, fl: FeatureLookup, feature_table: DataFrame, rows_per_task: int = 1_000_000,
+                 most: int = 256) -> DataFrame:
+    """J1/J3 as :func:`lookup`, for left frames in which some keys are heavy.
+
+    Rows of a heavy key get a salt from their content and partition, so a
+    repeated task gives them the same one; that key's feature rows are copied
+    once per salt.  All other rows and features have salt 0 and are joined
+    plainly: nothing else is copied."""
+    keys = fl.keys
+    names = fl.feature_names if fl.feature_names is not None else [c for c in feature_table.columns if c not in keys]
+    heavy = written(heavy_keys(df, keys, rows_per_task, most), "heavy_keys")
+    if heavy.isEmpty():
+        return lookup(df, fl, feature_table)
+    plain = [c for c in df.columns if isinstance(df.schema[c].dataType, (T.AtomicType, T.NullType))]
+    # ``most`` rows at most: a proven bound for the broadcast
+    left = df.join(F.broadcast(heavy), keys, "left")
+    left = left.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(
+        F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.coalesce("_salts", F.lit(1)))).cast("int")).drop("_salts")
+    right = feature_table.select(*keys, *names).join(F.broadcast(heavy), keys, "left")
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    clash = [n for n in names if n in df.columns]
+    if clash:
+        raise ValueError(f"feature names already present in the input frame: {clash}")
+    return left.join(right, [*keys, "_salt"], "left").select(*df.columns, *names)
+
+
 def assemble(df: DataFrame, spec: FeatureSpec, tables: dict[str, DataFrame] | None = None,
              apply_exclude: bool = True, check_keys: bool = False) -> DataFrame:
     """J3 + B6 + P4: lookups left to right, then functions, then exclusions."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.tenure import register_functions, tenure_days, tenure_sql
 from ..operators.columns import label_features, normalize_missing, top_k
 from . import fixtures as fx
-from .features import FeatureFunction, FeatureLookup, FeatureSpec, key_table, training_set
+from .features import FeatureFunction, FeatureLookup, FeatureSpec, key_table, lookup_heavy, training_set
 from .registry import query
 
 
@@ -135,3 +135,15 @@ SELECT user_id FROM features_clean""")
 def key_only(spark, sf_dir):
     """The key-only table that batch scoring starts from."""
     return key_table(fx.features_clean(spark, sf_dir), "user_id")
+
+
+@query("lookup_heavy_keys", """
+WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS s_suppkey FROM lineitem)
+SELECT l.l_orderkey, l.l_linenumber, l.s_suppkey, s.s_name, s.s_acctbal FROM l LEFT JOIN supplier s ON l.s_suppkey = s.s_suppkey""")
+def lookup_heavy_keys(spark, sf_dir):
+    """J1 + J3: supplier features for all line items where one key holds a third
+    of the rows: it is found by a sketch and dealt to several tasks."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    left = li.select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast(li.schema["l_suppkey"].dataType))
+                     .otherwise(F.col("l_suppkey")).alias("s_suppkey"))
+    return lookup_heavy(left, FeatureLookup("supplier", "s_suppkey", ["s_name", "s_acctbal"]), fx.table(spark, sf_dir, "supplier"), rows_per_task=10_000)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.hashing import unit_hash_sql
 from ..operators.columns import stack_frames
+from ..operators.digests import compare_digests, digest_changes, digests
 from ..operators.keys import key_report, key_violations, merge_insert, snapshot_changes
 from ..sources.tables import scan_param
 from . import fixtures as fx
@@ -124,6 +126,56 @@ def change_counts(spark, sf_dir):
     return ch.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
+DIGEST_BUCKETS = 256
+_V3_ORDERS = """
+orders_v1 AS (SELECT * FROM orders),
+orders_v3 AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+                     CASE WHEN o_orderkey % 1009 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+              FROM orders WHERE o_orderkey % 1013 <> 7)"""
+
+
+def _orders_v3(spark, sf_dir):
+    """Few changes: a price in every 1009 keys, and one key in 1013 deleted (fixed values of the fixture)."""
+    o = fx.table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderkey") % 1009 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return o.where(F.col("o_orderkey") % 1013 != 7).withColumn("o_totalprice", price)
+
+
+_BUCKET_SQL = f"CAST(floor({unit_hash_sql('o_orderkey')} * {DIGEST_BUCKETS}) AS INTEGER)"
+
+
+@query("digest_changes", f"""
+WITH {_V3_ORDERS}
+SELECT b.o_orderkey, 'delete' AS change, {_B} FROM orders_v1 b
+  WHERE NOT EXISTS (SELECT 1 FROM orders_v3 a WHERE b.o_orderkey = a.o_orderkey)
+UNION ALL
+SELECT b.o_orderkey, 'update_preimage' AS change, {_B} FROM orders_v1 b JOIN orders_v3 a
+  ON b.o_orderkey = a.o_orderkey WHERE {_DIFF}
+UNION ALL
+SELECT a.o_orderkey, 'update_postimage' AS change, {_A} FROM orders_v1 b JOIN orders_v3 a
+  ON b.o_orderkey = a.o_orderkey WHERE {_DIFF}""")
+def digest_changes_q(spark, sf_dir):
+    """U4: the changes of a version with few of them, from bucket digests and a
+    join of the buckets that differ."""
+    return digest_changes(fx.orders_v1(spark, sf_dir), _orders_v3(spark, sf_dir), "o_orderkey", DIGEST_BUCKETS)
+
+
+@query("digest_buckets", f"""
+WITH {_V3_ORDERS},
+b AS (SELECT {_BUCKET_SQL} AS bucket, * FROM orders_v1),
+a AS (SELECT {_BUCKET_SQL} AS bucket, * FROM orders_v3),
+d AS (SELECT DISTINCT bucket FROM ((SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL (SELECT * FROM a EXCEPT SELECT * FROM b))),
+nb AS (SELECT bucket, count(*) AS n FROM b GROUP BY 1),
+na AS (SELECT bucket, count(*) AS n FROM a GROUP BY 1)
+SELECT coalesce(nb.bucket, na.bucket) AS bucket, coalesce(nb.n, 0) AS n_before, coalesce(na.n, 0) AS n_after, d.bucket IS NOT NULL AS differs
+FROM nb FULL JOIN na ON nb.bucket = na.bucket LEFT JOIN d ON d.bucket = coalesce(nb.bucket, na.bucket)""")
+def digest_buckets(spark, sf_dir):
+    """U4: rows per bucket in both versions, and whether their digests differ:
+    they do exactly where a row does."""
+    db, da = (digests(d, "o_orderkey", DIGEST_BUCKETS) for d in (fx.orders_v1(spark, sf_dir), _orders_v3(spark, sf_dir)))
+    return compare_digests(db, da).withColumnRenamed("_bucket", "bucket")
+
+
 @query("stack_frames", f"""
 WITH {fx.DRIFT_VIEW_SQL}
 SELECT * FROM drift_view""")

@@ -12,12 +12,12 @@ from ..operators.split import split
 from ..session import data_path, scratch_path, written
 from ..sources.requests import read_requests, request_errors
 from ..streaming.profile import latest_by_key, run_available_now, stream_profile
-from ..streaming.score import stream_score
+from ..streaming.score import run_requests, stream_score
 from . import fixtures as fx
 from .features import assemble, key_table
 from .encoding import encode_long, fit_dictionary, fit_table_one_hot
 from .model import GBTParams, contract_of, fit_gbt, fit_gbt_rounds, fit_linear, predict, run_record, score_batch
-from .queries_drift import ORIGIN, WIDTH, _k_sql
+from .queries_drift import ORIGIN, WIDTH, _k_sql, sketches_near
 from .queries_features import churn_spec
 from .queries_stats import SPLIT_WEIGHTS, TT_WEIGHTS, _split_case_sql
 from .registry import query
@@ -279,8 +279,48 @@ def stream_score_q(spark, sf_dir):
     return spark.read.parquet(out).drop("batch")
 
 
+@query("stream_requests", f"""
+SELECT request_id, pos, user_id, found, probability, FALSE AS malformed FROM ({REQUEST_LOOKUP_SQL})
+UNION ALL
+SELECT DISTINCT CAST(floor(c_custkey / 4) AS BIGINT), NULL::INT, NULL::VARCHAR, NULL::BOOLEAN, NULL::DOUBLE, TRUE FROM customer
+WHERE CAST(floor(c_custkey / 4) AS BIGINT) % 10 = 3""")
+def stream_requests(spark, sf_dir):
+    """A stream in which every request is sent twice, a minute apart: each
+    is scored once, and the malformed ones are kept, once each."""
+    src = scratch_path(spark, "requests_sent")
+    sent = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod("request_id", F.lit(3600)))
+    once = fx.requests_text(spark, sf_dir).withColumn("sent_at", sent)
+    for i, df in enumerate((once, once.withColumn("sent_at", F.timestamp_add("MINUTE", F.lit(1), F.col("sent_at"))))):
+        df.write.parquet(f"{src}/part={i}")
+    sdf = spark.readStream.schema("request_id bigint, body string, sent_at timestamp").parquet(src + "/part=*")
+    feats = written(_features_for_requests(spark, sf_dir), "request_features")
+    scores, errors = run_requests(sdf, feats, "user_id", _score_requests, scratch_path(spark, "requests_out"), scratch_path(spark, "requests_ckpt"))
+    return scores.select("request_id", "pos", "user_id", "found", "probability", F.lit(False).alias("malformed")).unionByName(
+        errors.select("request_id", F.lit(True).alias("malformed")), allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- streaming profile
 
+@query("stream_sketches", f"""
+WITH {fx.DRIFT_VIEW_SQL},
+pw AS (SELECT {_k_sql('date')} AS k, location, temperature FROM drift_view)
+SELECT k, 'temperature' AS "column", count(*) AS n, count(temperature) AS present, TRUE AS distinct_near, TRUE AS quartiles_near FROM pw GROUP BY k
+UNION ALL SELECT k, 'location', count(*), count(location), TRUE, TRUE FROM pw GROUP BY k""")
+def stream_sketches(spark, sf_dir):
+    """The streaming profile with sketches in its state, held against the
+    rows of the batch view: distinct counts within 5 % and quartiles within 1 %
+    of all ranks."""
+    from ..operators.drift import window_index
+    path = data_path(sf_dir, "events")
+    ev = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")
+    agg = stream_profile(fx.drift_transform(ev), "date", WIDTH, ORIGIN, ["location", "temperature"], delay="1 day", sketches=True)
+    out = scratch_path(spark, "stream_sketches_out")
+    run_available_now(agg, out, scratch_path(spark, "stream_sketches_ckpt"), output_mode="update",
+                      transform=lambda b: b.withColumn("window", F.col("w.start").cast("timestamp_ntz")).drop("w"))
+    res = latest_by_key(spark, out, ["window", "column"]).withColumn("k", window_index("window", WIDTH, ORIGIN)).drop("window")
+    return sketches_near(fx.drift_view(spark, sf_dir), res, 0.01)
+
+
 @query("stream_profile", f"""
 WITH {fx.DRIFT_VIEW_SQL},
 pw AS (SELECT {_k_sql('date')} AS k, location, temperature FROM drift_view),

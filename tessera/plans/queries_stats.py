@@ -12,7 +12,7 @@ from ..functions.hashing import unit_hash_sql
 from ..operators.columns import sample_rows
 from ..operators.metrics import auc, classification_metrics, regression_metrics
 from ..operators.split import split, split_exact
-from ..operators.stats import describe, kde, kde2, linear_grid, ols, pair_stats, split_sizes
+from ..operators.stats import describe, kde, kde2, kde2_binned, kde_binned, linear_grid, ols, pair_stats, split_sizes
 from . import fixtures as fx
 from .registry import query
 
@@ -210,6 +210,8 @@ def pair_stats_q(spark, sf_dir):
 KDE_GRID = linear_grid(-1000.0, 10000.0, 23)
 KDE2_GX = linear_grid(0.0, 50.0, 11)
 KDE2_GY = linear_grid(0.0, 0.1, 11)
+KDE_BIN_GRID = linear_grid(0.0, 100_000.0, 101)
+KDE2_BIN_GY = linear_grid(0.0, 100_000.0, 21)
 
 
 def _grid_sql(points, name, idx):
@@ -244,6 +246,42 @@ def kde2_grid(spark, sf_dir):
     return d.select("gx", "gy", "x", "y", rnd("density", 8).alias("density"))
 
 
+@query("kde_binned", f"""
+WITH v AS (SELECT l_extendedprice AS v FROM lineitem WHERE l_extendedprice IS NOT NULL),
+s AS (SELECT count(*) AS n, pow(count(*), -0.2) * stddev_samp(v) AS h FROM v),
+p AS (SELECT (v - {KDE_BIN_GRID[0]!r}) / (h / 32) AS p, n, h FROM v, s WHERE v > {KDE_BIN_GRID[0]!r} - 9 * h AND v < {KDE_BIN_GRID[-1]!r} + 9 * h),
+b AS (SELECT i, n, h, sum(w) AS w FROM (SELECT floor(p) AS i, 1 - (p - floor(p)) AS w, n, h FROM p
+                                        UNION ALL SELECT floor(p) + 1, p - floor(p), n, h FROM p) GROUP BY i, n, h),
+g AS ({_grid_sql(KDE_BIN_GRID, 'x', 'gi')})
+SELECT g.gi, g.x, round(sum(w * exp(-0.5 * pow((g.x - ({KDE_BIN_GRID[0]!r} + i * (h / 32))) / h, 2))) / (n * h * sqrt(2 * pi())), 11) AS density
+FROM b, g GROUP BY g.gi, g.x, n, h""")
+def kde_binned_q(spark, sf_dir):
+    """Density of the price of all line items on a 101-point grid, by linear binning."""
+    d = kde_binned(fx.table(spark, sf_dir, "lineitem"), "l_extendedprice", KDE_BIN_GRID)
+    return d.select("gi", "x", rnd("density", 11).alias("density"))
+
+
+@query("kde2_binned", f"""
+WITH v AS (SELECT l_quantity AS vx, l_extendedprice AS vy FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL),
+s AS (SELECT count(*) AS n, pow(count(*), -1.0/6) * stddev_samp(vx) AS hx, pow(count(*), -1.0/6) * stddev_samp(vy) AS hy FROM v),
+p AS (SELECT (vx - {KDE2_GX[0]!r}) / (hx / 8) AS px, (vy - {KDE2_BIN_GY[0]!r}) / (hy / 8) AS py, n, hx, hy FROM v, s
+      WHERE vx > {KDE2_GX[0]!r} - 9 * hx AND vx < {KDE2_GX[-1]!r} + 9 * hx AND vy > {KDE2_BIN_GY[0]!r} - 9 * hy AND vy < {KDE2_BIN_GY[-1]!r} + 9 * hy),
+b AS (SELECT i, j, n, hx, hy, sum(w) AS w FROM (
+        SELECT floor(px) + a AS i, floor(py) + b AS j, n, hx, hy,
+               abs(1 - a - (px - floor(px))) * abs(1 - b - (py - floor(py))) AS w
+        FROM p, (SELECT unnest([0, 1]) AS a) ta, (SELECT unnest([0, 1]) AS b) tb) GROUP BY i, j, n, hx, hy),
+gx AS ({_grid_sql(KDE2_GX, 'x', 'gx')}),
+gy AS ({_grid_sql(KDE2_BIN_GY, 'y', 'gy')}),
+m AS (SELECT gx.gx, gx.x, j, n, hx, hy, sum(w * exp(-0.5 * pow((gx.x - ({KDE2_GX[0]!r} + i * (hx / 8))) / hx, 2))) AS s
+      FROM b, gx GROUP BY ALL)
+SELECT gx, gy.gy, x, gy.y, round(sum(s * exp(-0.5 * pow((gy.y - ({KDE2_BIN_GY[0]!r} + j * (hy / 8))) / hy, 2))) / (n * hx * hy * 2 * pi()), 12) AS density
+FROM m, gy GROUP BY gx, gy.gy, x, gy.y, n, hx, hy""")
+def kde2_binned_q(spark, sf_dir):
+    """A8 (2-D): density of (quantity, price) over all line items on an 11 x 21 grid, by linear binning."""
+    d = kde2_binned(fx.table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice", KDE2_GX, KDE2_BIN_GY)
+    return d.select("gx", "gy", "x", "y", rnd("density", 12).alias("density"))
+
+
 # ---------------------------------------------------------------- classification
 
 # A closed-form score with signal for the churn view's signal label.
