@@ -80,7 +80,6 @@ def word_bpe(path: str) -> WordIds:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def direct(words: list[str]) -> list[list[int]]:
         return [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]

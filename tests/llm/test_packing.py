@@ -16,15 +16,13 @@ PATH = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def odd_texts():
     r = random.Random(0)
     parts = ["The", "école", "STRAßE,", "don't", "it's", "x1y22", "½", "été", "日本語", "안녕하세요", "가", "😀😀", "a b",
-             "Ünï", "İstanbul", "ΣΑΣ", "ﬁn", "<|endoftext|>", "<|startoftext|>x", "&amp;", "...", "!?", "the!!", "a" * 300, "́", "Ŀ", "ª", "µ", " z"]
+             "Ünï", "İstanbul", "ΣΑΣ", "ﬁn", "<|endoftext|>", "<|startoftext|>x", "a<|endoftext|>B<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "&amp;", "...", "!?", "the!!", "a" * 300, "́", "Ŀ", "ª", "µ", " z"]
     texts = [None, "", " ", "\n\t"] + parts
     return texts + [r.choice([" ", "\n", "  "]).join(r.choice(parts) for _ in range(r.randint(1, 60))) for _ in range(60)]
 
