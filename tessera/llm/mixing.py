@@ -70,7 +70,13 @@ def share_out(nodes: DataFrame, parents: list[str], weights: Column) -> DataFram
                        "_fw": F.coalesce(F.sum(F.when(~F.col("_full"), F.col("_w"))).over(all_rows), F.lit(0))})
     alloc = F.when(F.col("_w") <= 0, F.lit(0)).when(F.col("_full"), F.col("_cap")).otherwise(
         F.expr("_w * (_budget - _fc) div _fw"))
-    return d.withColumn("_alloc", alloc.cast("bigint")).drop("_w", "_by", "_c", "_rest", "_full", "_fc", "_fw")
+    d = d.withColumns({"_alloc": alloc.cast("bigint"), "_open": ((F.col("_w") > 0) & ~F.col("_full")).cast("int")})
+    # what the whole shares leave goes to the first that are not full, a token each: they have room for it
+    d = d.withColumns({"_left": F.col("_budget") - F.sum("_alloc").over(all_rows),
+                       "_nth": F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    more = (F.col("_open") == 1) & (F.col("_nth") <= F.col("_left"))
+    return d.withColumn("_alloc", F.col("_alloc") + more.cast("int")).drop(
+        "_w", "_by", "_c", "_rest", "_full", "_fc", "_fw", "_open", "_left", "_nth")
 
 
 def weight_of(column: str, weights: dict[str, int] | None) -> Column:
@@ -86,8 +92,11 @@ def budgets(leaves: DataFrame, percent: int, max_epochs: int, weights: dict[str,
     """``leaves`` (domain, lang, source, _supply) with _alloc, their budget:
     ``percent`` of all tokens are handed down."""
     leaves = leaves.withColumn("_cap", F.col("_supply") * max_epochs)
-    langs = leaves.groupBy("domain", "lang").agg(F.sum("_cap").alias("_cap"))
-    tops = leaves.groupBy("domain").agg(F.sum("_cap").alias("_cap"), F.sum("_supply").alias("_supply"))
+    # a node can place what its children with a weight can
+    usable = lambda level: F.sum(F.when(weight_of(level, weights.get(level)) > 0, F.col("_cap")).otherwise(0))
+    langs = leaves.groupBy("domain", "lang").agg(usable("source").alias("_cap"), F.sum("_supply").alias("_supply"))
+    tops = langs.groupBy("domain").agg(usable("lang").alias("_cap"), F.sum("_supply").alias("_supply"))
+    langs = langs.drop("_supply")
     tops = tops.withColumn("_budget", F.floor(F.sum("_supply").over(Window.partitionBy(F.lit(1))) * percent / 100).cast("bigint"))
     tops = share_out(tops.drop("_supply"), [], weight_of("domain", weights.get("domain")))
     langs = share_out(langs.join(tops.select(F.col("domain").alias("_p"), F.col("_alloc").alias("_budget")),
