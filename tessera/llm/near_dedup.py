@@ -20,8 +20,9 @@ that links reach.
    Only links leave a task.  So no link between candidates is lost, and no list
    of pairs is made, whatever the size of a bucket.
 
-With 28 bands of 4 places a pair at similarity 0.85 shares no bucket with a
-probability of 1e-9.  Shingles are compared as 64-bit hashes.
+Bands have 4, 2 or 1 of the 112 places, by the threshold, so that a pair at it
+shares no bucket with a probability below 1e-6 (28 bands of 4 at 0.85: 1e-9).
+Shingles are compared as 64-bit hashes.
 
 Edge cases: null or blank text: empty set, linked with nothing; a null doc_id
 is linked with nothing, its component is null and it is kept; rows that share a
@@ -31,6 +32,7 @@ columns do not matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,19 +122,20 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pivot = None, None
+        key, pivots = None, []  # a doc_id with several rows gives several
         for batch in batches:
             cols = {n: batch.column(n).to_pylist() for n in ("a", "salt", "role", "v")}
             texts = batch.column("text")
             left, right = [], []
             for s, e in slices(texts):
                 for i, own in zip(range(s, e), shingle_sets(texts.slice(s, e - s))):
+                    here = (cols["a"][i], cols["salt"][i])
                     if cols["role"][i] == 0:
-                        key, pivot = (cols["a"][i], cols["salt"][i]), own
-                    elif key == (cols["a"][i], cols["salt"][i]) and len(own) and len(pivot):
-                        if similar(pivot, own, threshold):
-                            left.append(cols["a"][i])
-                            right.append(cols["v"][i])
+                        pivots = pivots + [own] if key == here else [own]
+                        key = here
+                    elif key == here and len(own) and any(len(p) and similar(p, own, threshold) for p in pivots):
+                        left.append(cols["a"][i])
+                        right.append(cols["v"][i])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
     return run
 
@@ -157,14 +160,34 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * common >= threshold * (len(a) + len(b) - common)
 
 
-def _compare(threshold: int, least: float):
+def rows_for(threshold: int) -> int:
+    """Places of a band: as many as find a pair at the threshold but once in a million."""
+    for rows in (4, 2, 1):
+        if (1 - (threshold / 100) ** rows) ** (PLACES // rows) <= 1e-6:
+            return rows
+    raise ValueError(f"{PLACES} places cannot find pairs at a similarity of {threshold} %")
+
+
+def least_for(threshold: int) -> float:
+    """Share of places that a pair at the threshold falls short of once in 1e8
+    (places agree independently at worst: these signatures vary less)."""
+    s, below = threshold / 100, 0.0
+    for k in range(PLACES + 1):
+        below += math.comb(PLACES, k) * s ** k * (1 - s) ** (PLACES - k)
+        if below > 1e-8:
+            return k / PLACES
+    return 1.0
+
+
+def _compare(threshold: int, least: float, per_band: int):
     """Links between the members of a bucket outside its largest component
     (they come first) and all its members: signatures first, then full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, sets = None, {}, []
         for batch in batches:
             c = {n: np.asarray(batch.column(n)) for n in ("bucket", "block", "role", "v", "n", "comp", "band")}
-            c["m"] = np.asarray(batch.column("bands").flatten(), dtype=np.int64).reshape(batch.num_rows, BANDS)
+            m = np.asarray(batch.column("bands").flatten(), dtype=np.int64).reshape(batch.num_rows, BANDS)
+            c["m"] = m.view(f"u{2 * per_band}")  # one value per band
             texts, left, right = batch.column("text"), [], []
             cut = np.flatnonzero((np.diff(c["bucket"]) != 0) | (np.diff(c["block"]) != 0) | (np.diff(c["role"]) != 0)) + 1
             for s, e in zip([0, *cut], [*cut, batch.num_rows]):
@@ -200,12 +223,11 @@ def _compare(threshold: int, least: float):
     return run
 
 
-def rest_links(m: DataFrame, threshold: int, block: int = 512, least: float = 0.66) -> DataFrame:
+def rest_links(m: DataFrame, threshold: int, rows: int, block: int = 512) -> DataFrame:
     """Links (a, b) between different components in one bucket.  Blocks of
     members outside the bucket's largest component meet all its members; a pair
-    whose signatures agree in ``least`` of their places is compared on its full
-    sets (at similarity 0.85 fewer agree with a probability of 1e-8).  Only
-    links leave the task."""
+    whose signatures agree in as many places as :func:`least_for` says is
+    compared on its full sets.  Only links leave the task."""
     sizes = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     top = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
                                        F.max("c").alias("c"))
@@ -213,22 +235,40 @@ def rest_links(m: DataFrame, threshold: int, block: int = 512, least: float = 0.
     m = m.join(top, "bucket")
     minors = m.where("comp <> top").withColumns({"block": F.pmod(F.xxhash64("v"), F.col("_n")), "role": F.lit(0)})
     everyone = m.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)), "role": F.lit(1)})
-    rows = minors.unionByName(everyone).select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
-    return (rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
-            .mapInArrow(lean(_compare(threshold, least)), "a long, b long").distinct())
+    met = minors.unionByName(everyone).select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
+    return (met.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
+            .mapInArrow(lean(_compare(threshold, least_for(threshold), rows)), "a long, b long").distinct())
+
+
+def _bands(rows: int):
+    """The signature's bands of ``rows`` places, in the order they lie in memory."""
+    bits = 16 * rows
+    if bits == 64:
+        return F.col("bands")
+    return F.expr("flatten(transform(bands, x -> array({})))".format(
+        ", ".join(f"shiftrightunsigned(x, {i}) & {(1 << bits) - 1}L" for i in range(0, 64, bits))))
+
+
+def same_id_links(sigs: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
+    """Links (a, b) between the classes of rows that share a doc_id."""
+    own = sigs.where("n_shingles > 0 and doc_id is not null").select("doc_id", *key)
+    ids = own.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("doc_id")
+    met = own.join(ids, "doc_id").join(classes.select(*key, "v"), key).select("doc_id", "v").distinct()
+    least = met.groupBy("doc_id").agg(F.min("v").alias("a"), F.max("v").alias("z")).where("a <> z").select("doc_id", "a")
+    return met.join(least, "doc_id").where("a <> v").select("a", F.col("v").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
-    spark = docs.sparkSession
-    small_batches(spark)
+    rows = rows_for(threshold)
+    small_batches(docs.sparkSession)
     sigs = written(docs.select("doc_id", "text").mapInArrow(
         lean(_signatures), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "signatures")
     key = ["n_shingles", "k1", "k2"]
     classes = written(sigs.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
                       .agg(F.min("doc_id").alias("v"), F.first("bands").alias("bands")), "classes")
 
-    places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "_value")).select(
+    places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode(_bands(rows)).alias("band", "_value")).select(
         "v", "n", "band", F.xxhash64("band", "_value").alias("bucket"))
     # written, as the engine splits a hot bucket only in a join of two plain shuffles
     shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("v", "n")).alias("lo"), F.max(F.struct("v", "n")).alias("hi"))
@@ -239,14 +279,14 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
     met = members.select("v", "n", F.explode("pivots").alias("p"))
     pairs = written(met.where("v <> p.v and 100 * least(n, p.n) >= {t} * greatest(n, p.n)".format(t=threshold))
                     .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
-    links = written(confirm(pairs, texts, threshold), "links")
+    links = written(confirm(pairs, texts, threshold).union(same_id_links(sigs, classes, key)), "links")
     comps = components(links)
     # what is left: buckets whose members are not all of one component
     members = members.where("size(pivots) > 1").drop("pivots").join(comps, "v", "left")
     members = members.withColumn("comp", F.coalesce("root", "v")).drop("root")
     mixed = written(members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
     rest = written(members.join(mixed, "bucket"), "rest")
-    more = written(rest_links(rest.join(classes.select("v", "bands"), "v").join(texts, "v"), threshold), "more")
+    more = written(rest_links(rest.join(classes.select("v", "bands"), "v").join(texts, "v"), threshold, rows), "more")
     if not more.isEmpty():
         comps = components(links.union(more))
 
@@ -258,6 +298,15 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` without the rows that are not kept: one document of each group stays."""
-    gone = written(near_groups(docs, **kw).where("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that are not kept: one document of each group
+    stays, and one row of a doc_id that has several (the least text's)."""
+    groups = written(near_groups(docs, **kw).select("doc_id", "kept"), "groups")
+    gone = groups.where("not kept").select("doc_id").distinct()
+    several = written(groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("doc_id"), "several")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(gone, "doc_id", "left_anti").select(*cols)
+    if several.isEmpty():
+        return left
+    one = left.join(several, "doc_id", "left_semi").select("doc_id", F.struct(*cols).alias("_row"), F.struct("text", F.xxhash64(*cols)).alias("_by"))
+    one = one.groupBy("doc_id").agg(F.min_by("_row", "_by").alias("_row")).select("_row.*")
+    return left.join(several, "doc_id", "left_anti").select(*cols).unionByName(one.select(*cols))

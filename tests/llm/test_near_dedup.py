@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import near_components, shingles
 
-from tessera.llm.near_dedup import keep_first, near_groups, superminhash
+from tessera.llm.near_dedup import band_values, keep_first, least_for, near_groups, rows_for, superminhash
 from tessera.llm.common import mix
 
 
@@ -42,7 +42,7 @@ def test_edges(spark):
     got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in near_groups(df).collect())
     assert got == [(-1, -1, True), (3, 3, True), (3, 3, True), (5, 3, False)]
     left = keep_first(df)
-    assert left.columns == df.columns and sorted(r.doc_id or -1 for r in left.collect()) == [-1, 3, 3]
+    assert left.columns == df.columns and sorted(r.doc_id or -1 for r in left.collect()) == [-1, 3]
 
 
 def test_signature_estimates_similarity():
@@ -91,3 +91,59 @@ def test_links_beside_the_pivots(spark):
     got = {x.doc_id: x.component_id for x in near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = near_components(rows)
     assert got == want and 1 < len(set(want.values())) < 400
+
+
+def by_id(rows, threshold):
+    """Brute force where rows that share a doc_id are one document."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[n + 1:]:
+            if a and b and 100 * len(a & b) >= threshold * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return {i: find(i) for i in root}
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 85])
+def test_thresholds_and_ids_with_several_texts(spark, threshold):
+    r = random.Random(threshold)
+    rows = []
+    for i, t in enumerate(texts(seed=threshold, groups=10, size=8, length=60)):
+        rows.append((r.randrange(70) if r.random() < 0.3 else 100 + i, t))
+    w = [f"p{i}" for i in range(120)]
+    rows += [(5, " ".join(w)), (5, " ".join(w[::-1])), (7, " ".join(w + ["x"])), (9, " ".join(w[::-1] + ["y"])), (5, " ".join(w))]
+    r.shuffle(rows)
+    want = by_id(rows, threshold)
+    out = near_groups(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold).collect()
+    assert {x.doc_id: x.component_id for x in out} == want and len({x.doc_id: x for x in out}) == len(want)
+    assert want[7] == want[9] == want[5]
+    left = keep_first(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold).collect()
+    assert sorted(x.doc_id for x in left) == sorted(set(want.values()))
+
+
+def test_recall_of_signatures():
+    """Pairs just at the threshold: the share of places that agree stays above
+    what the comparison asks for, and they share a band."""
+    g = np.random.default_rng(3)
+    for threshold in (60, 80, 85):
+        rows, least = rows_for(threshold), least_for(threshold)
+        missed = 0
+        for _ in range(150):
+            common = threshold
+            h = mix(g.integers(0, 1 << 62, 100).astype(np.uint64))
+            a, b = h[:common + (100 - common) // 2], np.concatenate((h[:common], h[common + (100 - common) // 2:]))
+            sim = common / 100
+            sig = superminhash(np.repeat([0, 1], [len(a), len(b)]), np.concatenate((a, b)), 2)
+            m = band_values(sig).view(f"u{2 * rows}")
+            agree = (band_values(sig).view(np.uint16)[0] == band_values(sig).view(np.uint16)[1]).mean()
+            assert abs(sim - threshold / 100) < 1e-9
+            missed += agree < least or not (m[0] == m[1]).any()
+        assert missed == 0
+    with pytest.raises(ValueError):
+        rows_for(5)
