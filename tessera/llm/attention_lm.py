@@ -16,8 +16,11 @@ neighbouring units, and lays all windows aside.  The pairs of HEADS units (a tab
 by the vocabulary) give the weights to start from: a low-rank factorisation of
 their association, which makes the untrained model a bigram model.  Training:
 ROUNDS rounds; every window of the training texts falls in one of them, by a
-hash of its doc_id and place.  Every partition takes steps on its windows, and
-the partitions' weights are averaged by an aggregation.
+hash of its doc_id and place.  The same hash deals a round's windows to shards
+of about SHARD windows (MOST_SHARDS at most, which bounds the weights that are
+averaged); a shard takes steps on its windows in order of the hash, and the
+shards' weights are averaged by an aggregation.  So the model depends on the
+rows alone, not on how the table is split into files or partitions.
 
 Scoring: a text is cut into windows of WINDOW units that overlap by OVERLAP.
 Windows of many texts are batched; each unit is scored once, in the first
@@ -50,6 +53,7 @@ WINDOW, OVERLAP = 32, 6
 HEADS, GROUPS = 1023, 32
 WIDTH, KEY = 24, 8
 ROUNDS = 2
+SHARD, MOST_SHARDS = 50_000, 1024
 BATCH = 64  # windows of a training step
 FREQUENT = 1e-5
 END = 2  # the vocabulary's end of text
@@ -248,7 +252,7 @@ BEGIN = 1 << 20  # before the first unit, as an id
 
 def _gather(path: str):
     """From (text, hash of doc_id): counts of words (0, hash), units (1, id),
-    pairs of units (2, both) and texts (3), and all windows (4, round): WINDOW + 1 ids, -1 beyond the text."""
+    pairs of units (2, both) and texts (3), and all windows (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids, -1 beyond the text."""
     def rows_of(kind: int, keys: np.ndarray, n: np.ndarray, ids: np.ndarray | None = None) -> pa.RecordBatch:
         offsets = np.zeros(len(keys) + 1, np.int32) if ids is None else np.arange(len(keys) + 1, dtype=np.int32) * (WINDOW + 1)
         flat = np.zeros(0, np.int32) if ids is None else ids.ravel()
@@ -280,11 +284,11 @@ def _gather(path: str):
                 if sum(len(k) for parts in held.values() for k, _ in parts) > 2_000_000:
                     yield from merged()
                 start, text, _ = windows(bounds)
-                # a window's round by a hash of its text's doc_id and its place
-                turn = mix(docs[s:e][text] + mix(start - bounds[text])) % np.uint64(ROUNDS)
+                # a hash of its text's doc_id and its place deals a window to a round and a shard
+                deal = mix(docs[s:e][text] + mix(start - bounds[text]))
                 _, y, inside, _ = window_rows(flat, bounds, start, text, BEGIN)
                 ids = np.concatenate((prev[start][:, None], np.where(inside, y, -1)), axis=1).astype(np.int32)
-                yield rows_of(4, turn.astype(np.int64), np.zeros(len(turn), np.int64), ids)
+                yield rows_of(4, (deal % np.uint64(ROUNDS)).astype(np.int64), deal.view(np.int64), ids)
         yield from merged()
     return run
 
@@ -392,9 +396,13 @@ def trained(spark, gathered: DataFrame, counts: DataFrame, path: str):
     found = pairs.toPandas()
     table[found["na"].to_numpy(int), found["nb"].to_numpy(int)] = found["n"]
     w = initial(units, table)
+    n_windows = gathered.where("kind = 4").count()
+    shards = min(MOST_SHARDS, max(1, round(n_windows / ROUNDS / SHARD)))
     for turn in range(ROUNDS):
         model = spark.sparkContext.broadcast((units, w))
-        own = gathered.where((F.col("kind") == 4) & (F.col("key") == turn)).select("ids")
+        own = gathered.where((F.col("kind") == 4) & (F.col("key") == turn)).select("ids", "n")
+        # equal windows are alike, so equal hashes need no further order than their ids
+        own = own.repartition(shards, "n").sortWithinPartitions("n", "ids")
         sums = (own.mapInArrow(lean(_train(model)), "at int, x double, seen long").groupBy("at")
                 .agg(F.sum("x").alias("x"), F.sum("seen").alias("seen")).orderBy("at").toPandas())  # one row per weight
         if len(sums):

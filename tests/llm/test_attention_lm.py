@@ -155,3 +155,16 @@ def test_edges(spark):
     alone = lm.scored(spark.createDataFrame([(None, "a b", "x", 1)], schema), PATH).collect()  # nothing to learn from
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in alone] == [(3, 0, 0)] and np.isfinite(alone[0].score)
     assert lm.scored(spark.createDataFrame([], schema), PATH).count() == 0
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """One model from the same rows, however they are split, with several shards."""
+    monkeypatch.setattr(lm, "SHARD", 700)
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    seen = []
+    for n in (1, 3, 16):
+        rows = lm.scored(docs.repartition(n, "text"), PATH).select("doc_id", "score").collect()
+        seen.append({r.doc_id: r.score for r in rows})
+    assert len(seen[0]) == docs.count()
+    for other in seen[1:]:
+        assert other == pytest.approx(seen[0], rel=1e-4, abs=1e-3)
