@@ -2,15 +2,20 @@
 
 A page is read once, from tag to tag, into a flat list of blocks: runs of text
 between block-level tags.  A block is described by its word count and link
-density, the same of its neighbours, and where it stands (inside the page's
-article, inside an element made for something else, a heading).  A decision
-tree, trained on the small labelled table below, keeps or drops it.
+density, the same of its neighbours, and one hint of what its tags say: 1 inside
+an article, 0 nothing, -1 inside a wrapper named for something else on a page
+without an article, -2 inside an element made for something else, or a thing so
+named in or beside an article.  A decision tree, trained on the small labelled table below, keeps or drops it.
+No hint decides alone: the table has both labels under each.  Long prose among
+long prose stays under a misleading mark, and runs of bare links go from an
+article too.
 
 Text is decoded, its white space becomes single spaces, and the kept blocks are
 joined by a space.  Scripts, styles and comments in the markup are no text,
 nor is what stands in the head, in choices, drawings and other objects; where
 their end tag is left out, they end as in a browser: with their parent, at the
-body, or at once if self-closed.
+body, or at once if self-closed.  Hidden elements and reader comments are no
+text of the page either: a comment reads like an article, only its mark tells.
 
 Edge cases: null or empty html gives an empty text; a script, style, textarea,
 title or comment that is never closed ends with the page; a page without tags is one block; a null page_id or url is
@@ -30,92 +35,146 @@ from pyspark.sql import DataFrame
 
 from .common import lean, slices, small_batches
 
-FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "article", "aside", "heading"]
+FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "hint"]
 #: Labelled blocks, in the order of FEATURES, then 1 for main text.
 LABELLED = """
-120 0.00  80 0.00  95 0.00 1 0 0 1
- 60 0.02 120 0.00   0 0.00 1 0 0 1
-  1 0.00  70 0.00  40 0.00 1 0 0 1
-  2 0.00   9 0.00   0 0.00 1 0 0 1
-  9 0.00   6 1.00 110 0.00 1 0 1 1
-  4 0.00  50 0.00  60 0.00 1 0 1 1
-  3 0.00   0 0.00   0 0.00 1 0 0 1
- 14 0.50  80 0.00  90 0.00 1 0 0 1
-  6 1.00  75 0.00  33 0.00 1 0 0 1
-  5 0.00   5 0.00   5 0.00 1 0 0 1
- 45 0.10  30 0.00   2 0.00 1 0 0 1
-  1 0.00   2 0.00  17 0.00 1 0 0 1
-  1 0.00   2 0.50   2 0.50 1 0 0 1
-  2 0.50   1 0.00   2 1.00 1 0 0 1
-  2 0.00   2 1.00  20 0.00 1 0 0 1
-  1 0.00   8 1.00   1 1.00 1 0 0 1
-  2 1.00   1 1.00   1 1.00 1 0 0 1
- 60 0.00   1 1.00   8 1.00 1 0 0 1
- 33 0.10   3 0.00   1 1.00 1 0 0 1
-  4 0.00   2 0.00   3 0.00 1 0 0 1
-  3 0.00   1 1.00   2 1.00 1 0 1 1
-  5 0.00   0 0.00   0 0.00 1 0 0 1
-  1 0.00   1 0.00   1 0.00 1 0 0 1
- 10 0.60  12 0.80  15 0.70 1 0 0 1
-  6 0.00   3 1.00   1 0.00 1 0 0 1
-  8 0.00  40 0.00  12 0.00 1 1 0 0
- 30 0.00  90 0.00  70 0.00 1 1 0 0
- 75 0.00  60 0.00  60 0.00 1 1 0 0
-  2 1.00  50 0.00   2 1.00 1 1 0 0
-  3 0.00  20 0.00  20 0.00 1 1 1 0
- 25 0.05  14 0.00  18 0.00 1 1 0 0
- 12 0.00   3 0.00  60 0.00 1 1 0 0
-  1 1.00   1 1.00   1 1.00 0 1 0 0
-  1 1.00   1 1.00   8 0.00 0 1 0 0
-  8 0.00   1 1.00   9 0.00 0 1 0 0
- 40 0.00  90 0.00  20 0.00 0 1 0 0
- 95 0.02  12 0.10  70 0.00 0 1 0 0
- 14 0.00  60 0.00   0 0.00 0 1 0 0
-  3 0.00   8 0.00  10 0.30 0 1 1 0
- 20 0.40   2 1.00  15 0.00 0 1 0 0
-  5 0.00   0 0.00   2 1.00 0 1 1 0
-150 0.00  60 0.00  40 0.00 0 0 0 1
- 90 0.05   8 0.00  70 0.00 0 0 0 1
- 45 0.00  70 0.02  55 0.00 0 0 0 1
- 30 0.10  25 0.00  35 0.00 0 0 0 1
- 22 0.00  80 0.00   4 0.00 0 0 0 1
- 18 0.00  60 0.00  50 0.00 0 0 0 1
- 16 0.00   9 0.00  12 0.00 0 0 0 1
- 12 0.00  40 0.00  30 0.00 0 0 0 1
-  6 0.00  50 0.00  45 0.00 0 0 0 1
-  2 0.00  60 0.00  35 0.00 0 0 0 1
-  3 0.00  45 0.00  80 0.00 0 0 0 1
-  9 0.00   2 1.00  80 0.00 0 0 1 1
-  3 0.00   1 1.00  51 0.00 0 0 1 1
-  3 0.00   1 1.00  30 0.00 0 0 1 1
-  4 0.00   0 0.00  25 0.00 0 0 1 1
- 11 0.00   0 0.00   0 0.00 0 0 0 1
- 25 0.00   0 0.00   2 1.00 0 0 0 1
-  5 0.00  60 0.00  70 0.00 0 0 1 1
-  7 0.00   1 1.00  40 0.00 0 0 1 1
-  1 1.00   1 1.00   1 1.00 0 0 0 0
-  2 1.00   2 1.00   2 1.00 0 0 0 0
-  3 1.00   1 1.00  60 0.00 0 0 0 0
-  4 1.00  70 0.00   2 1.00 0 0 0 0
-  8 0.90   5 0.80   9 1.00 0 0 0 0
- 20 0.80  10 0.90  10 0.80 0 0 0 0
- 35 0.70   4 1.00   3 1.00 0 0 0 0
- 15 0.60  60 0.00   2 1.00 0 0 0 0
-  4 0.00   1 1.00   1 1.00 0 0 0 0
-  3 0.00   2 1.00   4 1.00 0 0 0 0
-  2 0.00   3 0.00   4 0.00 0 0 0 0
-  6 0.00   2 0.00   3 1.00 0 0 0 0
-  5 0.20   4 0.00   0 0.00 0 0 0 0
-  4 0.00   2 1.00   3 0.00 0 0 1 0
-  2 1.00  17 0.00   0 0.00 0 0 0 0
-  3 1.00  45 0.00   0 0.00 0 0 0 0
-  5 1.00   0 0.00  70 0.00 0 0 0 0
-  9 0.80   0 0.00   6 0.00 0 0 0 0
-  3 0.00   3 1.00   0 0.00 0 0 0 0
-  2 0.00   0 0.00   2 0.00 0 0 0 0
-  4 0.50  30 0.00   5 0.60 0 0 0 0
-  1 1.00  25 0.00   1 0.00 0 0 0 0
-  2 0.00  12 1.00  20 0.90 0 0 0 0
+120 0.00   80 0.00   95 0.00  1 1
+ 60 0.02  120 0.00    0 0.00  1 1
+  1 0.00   70 0.00   40 0.00  1 1
+  2 0.00    9 0.00    0 0.00  1 1
+  9 0.00    6 1.00  110 0.00  1 1
+  4 0.00   50 0.00   60 0.00  1 1
+  3 0.00    0 0.00    0 0.00  1 1
+ 14 0.50   80 0.00   90 0.00  1 1
+  6 1.00   75 0.00   33 0.00  1 1
+  2 1.00   40 0.00   60 0.00  1 1
+  5 0.00    5 0.00    5 0.00  1 1
+ 45 0.10   30 0.00    2 0.00  1 1
+  1 0.00    2 0.00   17 0.00  1 1
+  1 0.00    2 0.50    2 0.50  1 1
+  2 0.50    1 0.00    2 1.00  1 1
+  2 0.00    2 1.00   20 0.00  1 1
+  1 0.00    8 1.00    1 1.00  1 1
+  1 0.00    1 1.00    1 1.00  1 1
+ 60 0.00    1 1.00    8 1.00  1 1
+ 33 0.10    3 0.00    1 1.00  1 1
+  4 0.00    2 0.00    3 0.00  1 1
+  3 0.00    1 1.00    2 1.00  1 1
+  1 0.00    1 0.00    1 0.00  1 1
+ 10 0.60   12 0.80   15 0.70  1 1
+  6 0.00    3 1.00    1 0.00  1 1
+  2 1.00    1 1.00    1 1.00  1 0
+  1 1.00    2 1.00    2 1.00  1 0
+  3 1.00    3 1.00    4 1.00  1 0
+  6 1.00    5 1.00    7 1.00  1 0
+  1 1.00    1 1.00   60 0.00  1 0
+  2 1.00    3 1.00    0 0.00  1 0
+  5 1.00    6 1.00    2 0.00  1 0
+  4 1.00    2 1.00   12 0.00  1 0
+150 0.00   60 0.00   40 0.00  0 1
+ 90 0.05    8 0.00   70 0.00  0 1
+ 45 0.00   70 0.02   55 0.00  0 1
+ 30 0.10   25 0.00   35 0.00  0 1
+ 22 0.00   80 0.00    4 0.00  0 1
+ 18 0.00   60 0.00   50 0.00  0 1
+ 16 0.00    9 0.00   12 0.00  0 1
+ 12 0.00   40 0.00   30 0.00  0 1
+  6 0.00   50 0.00   45 0.00  0 1
+  2 0.00   60 0.00   35 0.00  0 1
+  3 0.00   45 0.00   80 0.00  0 1
+  9 0.00    2 1.00   80 0.00  0 1
+  3 0.00    1 1.00   51 0.00  0 1
+  3 0.00    1 1.00   30 0.00  0 1
+  4 0.00    0 0.00   25 0.00  0 1
+ 11 0.00    0 0.00    0 0.00  0 1
+ 25 0.00    0 0.00    2 1.00  0 1
+  5 0.00   60 0.00   70 0.00  0 1
+  7 0.00    1 1.00   40 0.00  0 1
+  1 1.00    1 1.00    1 1.00  0 0
+  2 1.00    2 1.00    2 1.00  0 0
+  3 1.00    1 1.00   60 0.00  0 0
+  4 1.00   70 0.00    2 1.00  0 0
+  8 0.90    5 0.80    9 1.00  0 0
+ 20 0.80   10 0.90   10 0.80  0 0
+ 35 0.70    4 1.00    3 1.00  0 0
+ 15 0.60   60 0.00    2 1.00  0 0
+  4 0.00    1 1.00    1 1.00  0 0
+  3 0.00    2 1.00    4 1.00  0 0
+  2 0.00    3 0.00    4 0.00  0 0
+  6 0.00    2 0.00    3 1.00  0 0
+  5 0.20    4 0.00    0 0.00  0 0
+  4 0.00    2 1.00    3 0.00  0 0
+  2 1.00   17 0.00    0 0.00  0 0
+  3 1.00   45 0.00    0 0.00  0 0
+  5 1.00    0 0.00   70 0.00  0 0
+  9 0.80    0 0.00    6 0.00  0 0
+  3 0.00    3 1.00    0 0.00  0 0
+  2 0.00    0 0.00    2 0.00  0 0
+  4 0.50   30 0.00    5 0.60  0 0
+  1 1.00   25 0.00    1 0.00  0 0
+  2 0.00   12 1.00   20 0.90  0 0
+ 75 0.00   65 0.00   80 0.00 -1 1
+ 75 0.00  300 0.00  400 0.00 -1 1
+400 0.00   90 0.00  600 0.00 -1 1
+ 90 0.00   70 0.00  300 0.00 -1 1
+ 65 0.00  120 0.00  110 0.00 -1 1
+ 70 0.00  900 0.00   70 0.00 -1 1
+160 0.00  150 0.00  200 0.00 -1 1
+120 0.02   90 0.00   70 0.00 -1 1
+220 0.00  140 0.05   95 0.00 -1 1
+ 80 0.04  110 0.00   64 0.00 -1 1
+  8 0.00   40 0.00   12 0.00 -1 0
+  4 0.00 2300 0.00 1800 0.00 -1 0
+ 12 0.00  150 0.00  180 0.00 -1 0
+ 25 0.00  300 0.00  120 0.00 -1 0
+  1 0.00  110 0.00   90 0.00 -1 0
+ 40 0.00  200 0.00  500 0.00 -1 0
+ 50 0.00  130 0.00   95 0.00 -1 0
+  7 0.00   90 0.00  400 0.00 -1 0
+ 16 0.00   70 0.00   85 0.00 -1 0
+ 20 0.00   90 0.00   70 0.00 -1 0
+ 45 0.00   90 0.00   80 0.00 -1 0
+ 40 0.00   90 0.00   20 0.00 -1 0
+ 95 0.02   12 0.10   70 0.00 -1 0
+ 90 0.00  110 0.00   10 0.00 -1 0
+ 70 0.70   80 0.00   75 0.00 -1 0
+130 0.40   90 0.00   90 0.10 -1 0
+ 14 0.00   60 0.00    0 0.00 -1 0
+  3 0.00    8 0.00   10 0.30 -1 0
+ 20 0.40    2 1.00   15 0.00 -1 0
+  5 0.00    0 0.00    2 1.00 -1 0
+  1 1.00    1 1.00    8 0.00 -1 0
+220 0.00  180 0.00  240 0.00 -2 1
+230 0.00  600 0.00  700 0.00 -2 1
+900 0.00 1200 0.00  700 0.00 -2 1
+210 0.00  160 0.00  150 0.00 -2 1
+260 0.00  170 0.00  900 0.00 -2 1
+300 0.03  210 0.00  190 0.02 -2 1
+450 0.00  320 0.05  260 0.00 -2 1
+  8 0.00   40 0.00   12 0.00 -2 0
+120 0.00  300 0.00  400 0.00 -2 0
+160 0.00  250 0.00  250 0.00 -2 0
+ 60 0.00  500 0.00  800 0.00 -2 0
+  2 0.00 2300 0.00 1800 0.00 -2 0
+ 10 0.00  200 0.00  150 0.00 -2 0
+ 24 0.00  400 0.00   90 0.00 -2 0
+  5 0.00   90 0.00  170 0.00 -2 0
+ 45 0.00  140 0.00  130 0.00 -2 0
+ 90 0.00  300 0.00  120 0.00 -2 0
+  1 0.00  120 0.00  300 0.00 -2 0
+ 70 0.00  160 0.00  220 0.00 -2 0
+ 30 0.00   90 0.00   70 0.00 -2 0
+ 75 0.00   60 0.00   60 0.00 -2 0
+ 90 0.00  250 0.00  200 0.00 -2 0
+120 0.00  100 0.00  110 0.00 -2 0
+240 0.00  200 0.00   20 0.00 -2 0
+230 0.00   15 0.00  190 0.00 -2 0
+  2 1.00   50 0.00    2 1.00 -2 0
+  3 0.00   20 0.00   20 0.00 -2 0
+ 25 0.05   14 0.00   18 0.00 -2 0
+ 12 0.00    3 0.00   60 0.00 -2 0
+  1 1.00    1 1.00    1 1.00 -2 0
+  8 0.00    1 1.00    9 0.00 -2 0
 """
 
 #: Elements of plain text, up to their end tag, and elements with markup, whose text is not the page's own.
@@ -139,7 +198,6 @@ UNSURE = {"discussion", "notice", "notices"}
 TAIL = set("list item items box links link buttons button bar area form".split())
 BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
-HEADING = set("h1 h2 h3 h4 h5 h6".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: A start that an open element of its kind ends, and what it does not reach across.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -230,29 +288,30 @@ class Tags:
         self.at = m.start() if m else len(self.page)
 
 
-def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
-    """(text, words, words in links, article, aside, heading) of each block."""
+def blocks(page: str) -> list[tuple[str, int, int, int]]:
+    """(text, words, words in links, hint) of each block."""
     out: list[tuple] = []
-    # open elements: (name, inside an article, inside something else (1 by a wrapper's mark, 2 for certain), inside a heading,
-    # inside what is no text)
-    stack: list[tuple[str, int, int, int, int]] = []
+    # open elements: (name, inside an article, inside something else (1 by a wrapper's mark, 2 by the element's own kind,
+    # 3 hidden or a reader's comment), inside what is no text)
+    stack: list[tuple[str, int, int, int]] = []
     text: list[str] = []
     linked: list[str] = []
     link = 0
-    state = (0, 0, 0)
+    state = (0, 0)
 
     def flush() -> None:
         whole = " ".join(html.unescape("".join(text)).split())
-        if whole:
-            article, aside, heading = state
-            out.append((whole, len(whole.split()), len(" ".join(linked).split()), article, int(aside > 0), heading))
+        article, aside = state
+        if whole and aside < 3:
+            hint = -min(aside + article, 2) if aside else article
+            out.append((whole, len(whole.split()), len(" ".join(linked).split()), hint))
         text.clear()
         linked.clear()
 
     def say(s: str) -> None:
         if stack and stack[-1][0] == "head" and s.strip():
             stack.pop()
-        if s and not (stack and stack[-1][4]):
+        if s and not (stack and stack[-1][3]):
             text.append(s)
             if link:
                 linked.append(html.unescape(s))
@@ -268,8 +327,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
             if stack and stack[-1][0] == "svg" and name in NOT_DRAWN:
                 stack.pop()
             if name == "body" and all(x[0] != "body" for x in stack):
-                del stack[next((k for k, x in enumerate(stack) if x[4]), len(stack)):]
-        skip = stack[-1][4] if stack else 0
+                del stack[next((k for k, x in enumerate(stack) if x[3]), len(stack)):]
+        skip = stack[-1][3] if stack else 0
         own_end = attrs.endswith("/")
         if name in RAW:
             if not closing and not (own_end and any(x[0] == "svg" for x in stack)):
@@ -300,10 +359,10 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
                         break
                     if stack[k][0] in FENCE or stack[k][0] in NOT_TEXT:
                         break
-            article, aside, heading, skip = stack[-1][1:] if stack else (0, 0, 0, 0)
+            article, aside, skip = stack[-1][1:] if stack else (0, 0, 0)
             if skip or name in NOT_TEXT or name in FOLLOWED:
                 if not own_end and (name in BLOCK or name in NOT_TEXT or name in FOLLOWED):
-                    stack.append((name, article, aside, heading, int(skip or name in NOT_TEXT)))
+                    stack.append((name, article, aside, int(skip or name in NOT_TEXT)))
                 continue
             words, hidden = marks(attrs)
             if name in ("article", "main"):
@@ -312,37 +371,40 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
                 if aside == 1 and not any(x[0] == "article" for x in stack):
                     aside = 0
                 if hidden or words & SAYS_COMMENT:
-                    aside = 2
+                    aside = 3
                 article = 1
             elif name in ("html", "body"):
                 pass
-            elif (name in ASIDE and name != "form") or hidden or words & SAYS_COMMENT:
-                aside = 2
+            elif hidden or words & SAYS_COMMENT:
+                aside = 3
+            elif name in ASIDE and name != "form":
+                aside = max(aside, 2)
             elif name == "form" or words - {"header"} - (UNSURE if article else set()):
                 aside = max(aside, 1)
             elif (name == "header" or "header" in words) and not article:
                 aside = max(aside, 1)
-            heading |= name in HEADING
-            if name in BLOCK or (article, aside, heading) != (stack[-1][1:4] if stack else (0, 0, 0)):
+            if name in BLOCK or (article, aside) != (stack[-1][1:3] if stack else (0, 0)):
                 if name not in BLOCK:  # an inline element of another kind starts a block too
                     flush()
-                stack.append((name, article, aside, heading, 0))
-        new = stack[-1][1:4] if stack else (0, 0, 0)
+                stack.append((name, article, aside, 0))
+        new = stack[-1][1:3] if stack else (0, 0)
         if new != state:
             flush()
             state = new
     say(page[at:])
     flush()
+    if any(x[3] == 1 for x in out):  # beside an article, a name of a wrapper says as much as an element
+        out = [(*x[:3], -2 if x[3] < 0 else x[3]) for x in out]
     return out
 
 
 def features(found: list[tuple]) -> np.ndarray:
     """One row of FEATURES per block of a page."""
-    b = np.array([x[1:] for x in found], float).reshape(len(found), 5)
+    b = np.array([x[1:] for x in found], float).reshape(len(found), 3)
     words, density = b[:, 0], b[:, 1] / np.maximum(b[:, 0], 1)
     before = lambda x: np.concatenate(([0.0], x[:-1]))
     after = lambda x: np.concatenate((x[1:], [0.0]))
-    return np.stack([words, density, before(words), before(density), after(words), after(density), b[:, 2], b[:, 3], b[:, 4]], axis=1)
+    return np.stack([words, density, before(words), before(density), after(words), after(density), b[:, 2]], axis=1)
 
 
 def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 8):

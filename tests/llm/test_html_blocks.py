@@ -2,9 +2,10 @@ import html
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
-from tessera.llm.html_blocks import blocks, extract, features, labelled_tree, main_text, predict
+from tessera.llm.html_blocks import FEATURES, LABELLED, blocks, extract, features, labelled_tree, main_text, predict, train_tree
 
 TREE = labelled_tree()
 PROSE = "Ona thre inger of the lyat edat onst, anstonble eredou eaor to edre of thheenti of atreon. "
@@ -88,6 +89,65 @@ def test_tree_learns_its_table():
     assert predict(TREE, features(found)).round().tolist() == [0, 1]
 
 
+def prose(n):
+    return " ".join((PROSE * 40).split()[:n])
+
+
+#: Pages whose marks mislead or say nothing, and their main text.
+MISLEADING = [
+    # a theme's wrapper names the article something else
+    (f"<div class=widget><p>{prose(90)}</p><p>{prose(110)}</p><p>{prose(130)}</p><p>{prose(80)}</p></div><ul><li><a href=1>a</a><li><a href=2>b</a></ul>",
+     f"{prose(110)} {prose(130)}"),
+    # an element that is never closed holds the whole page
+    (f"<nav><a href=1>x</a><article><p>{prose(240)}</p><p>{prose(260)}</p><p>{prose(300)}</p></article>", prose(260)),
+    # bare links in an article are a menu
+    (f"<article><p>{prose(60)}</p><ul><li><a href=1>a b</a><li><a href=2>c</a><li><a href=3>d e</a></ul></article>", f"{prose(60)} a b"),
+    # no mark at all
+    (f"<div><a href=1>x</a></div><div><a href=2>y</a></div><div>A title here</div><div>{prose(70)}</div><div>{prose(40)}</div><div><a href=3>z</a></div>",
+     f"A title here {prose(70)} {prose(40)}"),
+]
+
+
+@pytest.mark.parametrize("page,want", MISLEADING)
+def test_words_links_and_neighbours_overrule_marks(page, want):
+    assert main_text(page, TREE) == want
+    by_marks = " ".join(b[0] for b in blocks(page) if b[3] > 0)
+    assert by_marks != want
+
+
+def test_no_hint_decides_alone():
+    table = np.array([[float(v) for v in line.split()] for line in LABELLED.strip().split("\n")])
+    hint = FEATURES.index("hint")
+    assert all(set(table[table[:, hint] == h, -1]) == {0, 1} for h in (1, 0, -1, -2))
+    # a tree of hints only, and one of words, links and neighbours only, read pages otherwise
+    hints, others = table.copy(), table.copy()
+    hints[:, :hint] = 0
+    others[:, hint] = 0
+    for weaker in (hints, others):
+        tree = train_tree(weaker[:, :-1], weaker[:, -1])
+        x = [features(blocks(page)) for page, _ in MISLEADING + PAGES[:2]]
+        for f in x:
+            f[:, np.ptp(weaker[:, :-1], axis=0) == 0] = 0
+        full = [predict(TREE, features(blocks(page))) > 0.5 for page, _ in MISLEADING + PAGES[:2]]
+        assert sum(int((a != (predict(tree, b) > 0.5)).sum()) for a, b in zip(full, x)) >= 4
+
+
+@pytest.mark.parametrize("n", [1, 5, 20, 60])
+def test_short_marked_blocks_among_long_ones_go(n):
+    ends = (f"<p>{prose(300)}</p>",) * 2
+    for mark in ("div class=ad", "aside", "div class=newsletter-signup", "footer"):
+        page = f"<{mark}>{prose(n)}</{mark.split()[0]}>".join(ends)
+        assert main_text(f"<article>{page}</article>", TREE) == f"{prose(300)} {prose(300)}"
+        assert main_text(page, TREE) == f"{prose(300)} {prose(300)}"
+
+
+def test_hidden_and_comments_of_any_length_go():
+    long = f"<p>{prose(300)}</p>" * 4
+    for mark in ("section class=comments", "div hidden", "div id=replies"):
+        assert main_text(f"<article><p>{prose(80)}</p></article><{mark}>{long}</{mark.split()[0]}>", TREE) == prose(80)
+    assert main_text(f"<article><p>{prose(80)}</p></article><div class=sidebar>{f'<p>{prose(90)}</p>' * 4}</div>", TREE) == prose(80)
+
+
 def test_unclosed_markup_is_read_in_linear_time():
     assert main_text("<p class='" + "<a <b \"" * 50_000, TREE) is not None
     assert len(main_text("<article>" + f"<p>{PROSE}" * 5000, TREE)) > 400_000
