@@ -9,6 +9,7 @@ table (``encoding.py``); boosted trees stop by patience (``boosting.py``).
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,3 +223,36 @@ def run_record(spark: SparkSession, run_id: str, params: dict, metrics: DataFram
                     (F.col(split_col) if by else F.lit(None).cast("string")).alias("split"),
                     "name", "value_num", F.lit(None).cast("string").alias("value_text"))
     return head.unionByName(m)
+
+
+def store_run(record: DataFrame, path: str) -> str:
+    """M9: keep a run (one ``run_id``) below ``path``, one folder a run.  A run
+    that is stored again replaces itself, so a repeated job leaves one copy;
+    runs that are stored at the same time do not touch each other."""
+    saved = written(record, "run")
+    ids = [r[0] for r in saved.select("run_id").distinct().limit(2).collect()]
+    if len(ids) != 1 or not re.fullmatch(r"[A-Za-z0-9._-]+", ids[0] or ""):
+        raise ValueError(f"one run_id of letters, digits and ._- is needed, got {ids}")
+    saved.drop("run_id").write.mode("overwrite").parquet(f"{path}/run_id={ids[0]}")
+    return ids[0]
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs stored below ``path``; a filter on ``run_id`` reads that run's folder alone."""
+    return spark.read.schema(RUN_SCHEMA).parquet(path)
+
+
+def compare_runs(runs: DataFrame, baseline: str, higher: dict[str, bool]) -> DataFrame:
+    """The metrics named in ``higher`` (whether more is better), per split and
+    run: the value, the baseline run's, the change against it, and the place
+    among all runs (equal values share one; a missing value or NaN has none)."""
+    m = runs.filter((F.col("kind") == "metric") & F.col("name").isin(list(higher))).select("run_id", "split", "name", "value_num")
+    base = m.filter(F.col("run_id") == baseline).select(F.col("split").alias("_split"), F.col("name").alias("_name"),
+                                                        F.col("value_num").alias("baseline_value"))
+    worse = F.when(F.col("name").isin([k for k, v in higher.items() if v]), -F.col("value_num")).otherwise(F.col("value_num"))
+    valid = F.col("value_num").isNotNull() & ~F.isnan("value_num")
+    place = F.rank().over(Window.partitionBy("split", "name", valid).orderBy(worse))
+    return (m.withColumn("place", F.when(valid, place))
+            .join(base, F.col("split").eqNullSafe(F.col("_split")) & (F.col("name") == F.col("_name")), "left")
+            .select("split", "name", "run_id", "value_num", "baseline_value",
+                    (F.col("value_num") - F.col("baseline_value")).alias("change"), "place"))

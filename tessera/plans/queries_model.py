@@ -16,7 +16,8 @@ from ..streaming.score import run_requests, stream_score
 from . import fixtures as fx
 from .features import assemble, key_table
 from .encoding import encode_long, fit_dictionary, fit_table_one_hot
-from .model import GBTParams, contract_of, fit_gbt, fit_gbt_rounds, fit_linear, predict, run_record, score_batch
+from .model import (GBTParams, compare_runs, contract_of, fit_gbt, fit_gbt_rounds, fit_linear, predict, read_runs, run_record, score_batch,
+                    store_run)
 from .queries_drift import ORIGIN, WIDTH, _k_sql, sketches_near
 from .queries_features import churn_spec
 from .queries_stats import SPLIT_WEIGHTS, TT_WEIGHTS, _split_case_sql
@@ -174,11 +175,15 @@ def gbt_rounds(spark, sf_dir):
         (F.abs(F.col("again") - F.col("least")) < 1e-9).alias("cut_has_loss"))
 
 
-def _record_sql() -> str:
+def _metrics_sql() -> dict[str, str]:
     e = "fare_amount - predictions"
-    metrics = {"n": "count(*)", "mae": f"avg(abs({e}))", "mse": f"avg(({e}) * ({e}))", "rmse": f"sqrt(avg(({e}) * ({e})))",
+    return {"n": "count(*)", "mae": f"avg(abs({e}))", "mse": f"avg(({e}) * ({e}))", "rmse": f"sqrt(avg(({e}) * ({e})))",
                "r2": f"1 - sum(({e}) * ({e})) / (var_pop(fare_amount) * count(fare_amount))", "max_error": f"max(abs({e}))",
                "mean_target": "avg(fare_amount)", "mape": f"avg(CASE WHEN fare_amount <> 0 THEN abs(({e}) / fare_amount) END)"}
+
+
+def _record_sql() -> str:
+    metrics = _metrics_sql()
     rows = " UNION ALL ".join(f"SELECT 'taxi_linear', 'metric', split, '{m}', round(CAST({x} AS DOUBLE), 3) + 0.0, NULL FROM pred GROUP BY split"
                               for m, x in metrics.items())
     params = {"fitIntercept": "True", "regParam": "0.0", "elasticNetParam": "0.0", "solver": "normal"}
@@ -210,6 +215,42 @@ def run_record_q(spark, sf_dir):
             .withColumn("value_num", F.round("value_num", 3) + 0.0))
 
 
+_HIGHER = {"mae": False, "rmse": False, "r2": True, "max_error": False}
+
+
+def _compared_sql() -> str:
+    m = _metrics_sql()
+    rows = " UNION ALL ".join(f"SELECT run_id, split, '{k}' AS name, round(CAST({m[k]} AS DOUBLE), 3) + 0.0 AS v, {-1 if up else 1} AS way "
+                              "FROM pred GROUP BY run_id, split" for k, up in _HIGHER.items())
+    return f"""
+WITH {fx.TAXI_VIEW_SQL},
+s AS (SELECT *, {_split_case_sql('l_orderkey', TT_WEIGHTS)} AS split FROM taxi_view),
+fit AS (SELECT regr_slope(fare_amount, trip_distance) AS slope, regr_intercept(fare_amount, trip_distance) AS icpt,
+               avg(fare_amount) AS mean FROM s WHERE split = 'train'),
+pred AS (SELECT 'taxi_linear' AS run_id, s.split, s.fare_amount, f.icpt + f.slope * s.trip_distance AS predictions FROM s, fit f
+         UNION ALL SELECT 'taxi_mean', s.split, s.fare_amount, f.mean FROM s, fit f),
+m AS ({rows})
+SELECT m.split, m.name, m.run_id, m.v AS value_num, b.v AS baseline_value, round(m.v - b.v, 3) + 0.0 AS change,
+       rank() OVER (PARTITION BY m.split, m.name ORDER BY m.way * m.v) AS place
+FROM m JOIN m b ON b.split = m.split AND b.name = m.name AND b.run_id = 'taxi_mean'"""
+
+
+@query("runs_compared", _compared_sql())
+def runs_compared(spark, sf_dir):
+    """M5 + A5 + M9: two runs, least squares and the train split's mean, are
+    recorded and stored (the first twice, as a repeated job does), read back
+    and compared per split and metric, the mean being the baseline."""
+    t = split(fx.taxi_view(spark, sf_dir), "l_orderkey", TT_WEIGHTS)
+    train = t.filter(F.col("split") == "train")
+    linear = predict(fit_linear(train, "fare_amount", ["trip_distance"]), t, probability=None)
+    mean = t.withColumn("prediction", train.agg(F.avg("fare_amount")).scalar())
+    store = scratch_path(spark, "runs")
+    for run_id, scored in (("taxi_linear", linear), ("taxi_mean", mean), ("taxi_linear", linear)):
+        metrics = regression_metrics(scored, "fare_amount", "prediction", by=["split"])
+        store_run(run_record(spark, run_id, {}, metrics, ["lineitem"]).withColumn("value_num", F.round("value_num", 3) + 0.0), store)
+    return compare_runs(read_runs(spark, store), "taxi_mean", _HIGHER).withColumn("change", F.round("change", 3) + 0.0)
+
+
 # ---------------------------------------------------------------- requests
 
 @query("requests_parsed", f"""
