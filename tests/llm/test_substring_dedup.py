@@ -1,6 +1,8 @@
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 from helpers import without_repeats
 
 from tessera.llm import substring_dedup as sd
@@ -57,3 +59,39 @@ def test_edges(spark):
     rows = sorted((r.doc_id or -1, r.text or "", r.n_chars) for r in left.collect())
     assert rows == [(7, "other", 5), (8, "", 4), (9, "keep  me", 8), (9, "keep  me", 8)]
     assert repeats(df.limit(0)).count() == 0
+
+
+def test_multiplicity_and_nodes_mark_repeats():
+    r = np.random.default_rng(1)
+    ctx = r.integers(1, 1 << 32, (4, 2 * sd.SIDE), dtype=np.uint32)
+    ctx[1, sd.SIDE - 3:] = ctx[0, sd.SIDE - 3:]  # three words to the left and all to the right
+    ctx[2, sd.SIDE:] = ctx[0, sd.SIDE:]
+    gram = np.array([5, 5, 5, 6], np.int64)
+    lo, hi = np.zeros(4, np.int64), np.full(4, sd.SIDE)
+    hi[3] = 4
+    got = sd.repeated_offsets(gram, lo, hi, ctx, np.array([False, False, False, True]))
+    # offset 0 has no words to the left, so all three leaves share it; 1 to 3 are shared by two
+    assert got.tolist() == [0b1111, 0b1111, 0b1, 0b11111]
+
+
+def test_prefixes_are_lengthened_until_groups_fit(spark, monkeypatch):
+    """A passage among different neighbours: prefixes get as long as it goes on, and no longer."""
+    monkeypatch.setattr(sd, "GROUP", 5)
+    r = random.Random(7)
+    word = lambda: str(r.randrange(1 << 40))
+    passage = [word() for _ in range(44)]
+    docs = [[word() for _ in range(20)] + passage + [word() for _ in range(20)] for _ in range(30)]
+    got = {}
+    real = sd._depths
+
+    def depths(d, spans):
+        out = real(d, spans)
+        got["depths"] = Counter(x.depth for x in out.collect())
+        got["groups"] = out.groupBy("gram").count().collect()
+        return out
+    monkeypatch.setattr(sd, "_depths", depths)
+    check(spark, [" ".join(d) for d in docs])
+    assert max(x["count"] for x in got["groups"]) > 5
+    assert len([d for d in got["depths"] if 0 < d]) > 1  # several lengths
+    heavy = [" ".join(passage)] * 40 + [" ".join(d) for d in docs[:6]]
+    check(spark, heavy)
