@@ -3,7 +3,12 @@ repeated passages, mixing to target weights, packing.
 
 ``run`` applies the stages to ``documents``; each stage's rows are written as
 Parquet below ``spark.checkpoint.dir`` and read again as the next one's input.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``.  What a stage writes on
+its way is removed once its rows are there; the last stage's files and the
+stages' rows stay for the returned frame, until ``session.remove_scratch``.
+
+Null and empty texts have too few words, so the first stage drops them; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,13 +16,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import read_table, written
+from tessera.llm.common import read_table
 from tessera.llm.mixing import mix_documents
 from tessera.llm.near_dedup import keep_first
 from tessera.llm.packing import packed
 from tessera.llm.quality import keep_good
 from tessera.llm.queries import MIX
 from tessera.llm.substring_dedup import remove_repeats
+from tessera.session import scratch_folder, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +60,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = written(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch_folder(spark, f"within-{name}"):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ import io
 import os
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,10 +81,44 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+_FOLDERS: list[str] = []  # open scratch folders, innermost last (plans are built by one thread)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder, in the
+    innermost ``scratch_folder`` that is open."""
+    folder = _FOLDERS[-1] if _FOLDERS else _scratch_root(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str):
+    """Intermediates written inside the block go when it ends, by an error too.
+    Only results that are written elsewhere may be used after it."""
+    path = scratch_path(spark, name)
+    _FOLDERS.append(path)
+    try:
+        yield path
+    finally:
+        _FOLDERS.remove(path)
+        _remove(spark, path)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all intermediates of this application.  Frames returned by this
+    package must have been consumed: some read them."""
+    if _FOLDERS:
+        raise ValueError("a scratch folder is open")
+    _remove(spark, _scratch_root(spark))
 
 
 _SHIPPED: set[str] = set()
@@ -103,7 +138,8 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     p = os.path.join(folder, n)
                     z.write(p, os.path.relpath(p, os.path.dirname(root)))
-    target = scratch_path(spark, "package") + ".zip"
+    # beside the applications' folders: new executors fetch it as long as the session lives
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera/package-{uuid.uuid4().hex}.zip"
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
     out.write(data.getvalue())
@@ -113,7 +149,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def written(df, name: str):
-    """``df`` written once as Parquet below the shared folder and read back."""
+    """``df`` written once as Parquet below the shared folder and read back:
+    lineage is cut, and a lost executor repeats nothing before it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
