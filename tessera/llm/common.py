@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import data_path, scratch_path, ship_package
+from ..session import data_path, ship_package, written  # noqa: F401
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Text that one vectorised step handles at once, in bytes; bounds a worker's memory.
@@ -34,15 +34,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate once below ``spark.checkpoint.dir`` and read it
-    back: lineage is cut, and a lost executor repeats nothing before it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about CHUNK_BYTES of text each (one row at least)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 
 def salted(df: DataFrame) -> DataFrame:
     """Adds ``salt``, different for equal rows too.  Write the result before
@@ -12,6 +14,21 @@ def salted(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
 
 
+def numbered_copies(df: DataFrame, per_task: int = 50_000) -> DataFrame:
+    """``df``, written, with a ``salt`` that depends on a row's values and on
+    its number among equal rows alone: neither files nor partitions decide, and
+    equal rows of any number lie apart.  Equal rows are counted map-side;
+    many copies of one row are dealt to tasks in blocks of ``per_task``."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    rows = written(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")), "distinct")
+    few = rows.where(F.col("_c") <= per_task).withColumn("_from", F.lit(0).cast("bigint")).withColumn("_to", F.col("_c") - 1)
+    many = (rows.where(F.col("_c") > per_task)
+            .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_c") - 1, F.lit(per_task).cast("bigint"))))
+            .withColumn("_to", F.least(F.col("_from") + per_task, F.col("_c")) - 1).repartition(*cols, "_from"))
+    every = few.unionByName(many).withColumn("_copy", F.explode(F.sequence("_from", "_to")))
+    return written(every.select(*cols, F.xxhash64(*cols, "_copy").alias("salt")), "copies")
+
+
 def rank_in_group(df: DataFrame, group: str, per_cell: int = 50_000) -> DataFrame:
     """Adds ``rank``, gapless from 0 within each value of ``group``.
 

@@ -10,7 +10,9 @@ shards are added.
 Which keys overflow depends on counts alone: keys of one arc have the same way
 round the ring.  So the plan is made from one count per arc (shards x vnodes
 rows, whatever the input), and each key joins its arc's segment by its rank in
-the arc.  Ranks come from cells; no task holds an arc.
+the arc.  Ranks come from cells; no task holds an arc.  They follow a hash of
+the row's values, so a table's files and partitions have no say in where a row
+goes: rows alike in all values are interchangeable, others have their place.
 
 Edge cases: a null doc_id is placed by its text; null text has size 16 and the
 checksum of the empty text; repeated rows are keys of their own, placed like
@@ -24,8 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, small_batches, written
-from .ranks import rank_in_group, salted
+from .common import mix, small_batches
+from .ranks import numbered_copies, rank_in_group
 
 
 def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +90,7 @@ def sharded(docs: DataFrame, shards: int, vnodes: int = 64, slack: float = 0.0)
     keys = docs.select("doc_id", (F.octet_length(text) + 16).cast("bigint").alias("size"),
                        F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
                        F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64(F.col("doc_id").cast("string"))).alias("_h"))
-    keys = written(salted(keys.withColumn("arc", arc_of("_h")).drop("_h")), "keys")
+    keys = numbered_copies(keys.withColumn("arc", arc_of("_h")).drop("_h"))
     counts = {r["arc"]: r["count"] for r in keys.groupBy("arc").count().collect()}  # one row per arc at most
     plan = docs.sparkSession.createDataFrame(segments(counts, owner.tolist(), shards, slack),
                                              "arc int, _from long, _to long, shard int, _slot long")
