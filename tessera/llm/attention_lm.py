@@ -6,10 +6,11 @@ Units are subword ids of a fixed public vocabulary and an end.  The model:
     z_t = e_t Wr + (sum over s <= t of softmax(q_t k_s) v_s) Wo + b
     P(next) = P(group | z_t) P(unit | group, z_t)
 
-The HEADS most frequent units stand in groups of about equal frequency,
-neighbours in spelling; all others share one group, in which a unit has its
-smoothed frequency.  So a step costs two small softmaxes, not one over the
-vocabulary, and probabilities of all units add up to 1.
+The HEADS most frequent units stand in groups of SIZE, neighbours in
+spelling; all others share one group, in which a unit has its smoothed
+frequency.  So a step costs two small softmaxes, not one over the vocabulary,
+and probabilities of all units add up to 1.  The softmaxes inside groups are
+computed for all groups at once: states stand in blocks of one group each.
 
 Gathering: one pass over the training texts counts words, units and pairs of
 neighbouring units, and lays all windows aside.  The pairs of HEADS units (a table bounded
@@ -50,11 +51,12 @@ from .common import Words, hash_strings, lean, mix, slices, small_batches, to_lo
 from .subwords import remembered, sentence_pieces
 
 WINDOW, OVERLAP = 32, 6
-HEADS, GROUPS = 1023, 32
+HEADS, SIZE = 1024, 32
 WIDTH, KEY = 24, 8
 ROUNDS = 2
 SHARD, MOST_SHARDS = 50_000, 1024
 BATCH = 64  # windows of a training step
+BLOCK, SCORE_BLOCK = 32, 128  # states of one group that one product takes, in training and in scoring
 FREQUENT = 1e-5
 END = 2  # the vocabulary's end of text
 RATE = 1e-2
@@ -66,21 +68,14 @@ class Units:
     def __init__(self, counts: dict[int, int], pieces: list[str]):
         size = len(pieces)
         self.heads = sorted(sorted(counts, key=lambda i: (-counts[i], i))[:HEADS], key=lambda i: pieces[i])
-        total, sofar, self.group = sum(counts[i] for i in self.heads), 0, []
-        for i in self.heads:
-            self.group.append(min(GROUPS - 1, sofar * GROUPS // max(total, 1)))
-            sofar += counts[i]
-        used = sorted(set(self.group))  # groups without gaps, then the group of the rest
-        self.group = [used.index(g) for g in self.group]
-        self.groups = len(used) + 1
-        self.bounds = [self.group.index(g) for g in range(len(used))] + [len(self.heads)]
+        self.groups = -(-len(self.heads) // SIZE) + 1  # and the group of the rest
         # input numbers: heads, the rest, the start of a text
         self.number = np.full(size, len(self.heads), np.int64)
         self.number[self.heads] = np.arange(len(self.heads))
         rest = np.array([counts.get(i, 0) + 0.5 for i in range(size)])
         rest[self.heads] = 0
         self.log_rest = np.log(np.maximum(rest, 1e-300) / max(rest.sum(), 1e-300)).astype(np.float32)
-        self.of = np.array([*self.group, self.groups - 1], np.int64)  # group by number
+        self.of = np.array([*(i // SIZE for i in range(len(self.heads))), self.groups - 1], np.int64)  # group by number
 
 
 def initial(units: Units, pairs: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
@@ -99,16 +94,19 @@ def initial(units: Units, pairs: np.ndarray, seed: int = 0) -> dict[str, np.ndar
     cols = np.sqrt(np.concatenate((prior_g, prior[:h])))
     u, s, v = np.linalg.svd(rows * target * cols, full_matrices=False)
     k = min(WIDTH, len(s))
-    w = {"E": np.zeros((h + 2, WIDTH)), "P": np.zeros((WINDOW, WIDTH)), "Wr": np.eye(WIDTH), "b": np.zeros(WIDTH)}
+    w = {"E": np.zeros((h + 2, WIDTH)), "P": np.zeros((WINDOW, WIDTH)), "b": np.zeros(WIDTH)}
     w["E"][:, :k] = u[:, :k] * np.sqrt(s[:k]) / rows
     out = np.zeros((WIDTH, h + units.groups))
     out[:k] = np.sqrt(s[:k])[:, None] * v[:k] / cols
-    w["Uc"], w["Ug"] = out[:, :units.groups], out[:, units.groups:]
-    w["bc"], w["bg"] = np.log(prior_g), np.log(inside_prior)
-    for name, shape in (("Wq", (WIDTH, KEY)), ("Wk", (WIDTH, KEY)), ("Wv", (WIDTH, WIDTH))):
-        w[name] = r.normal(0, 0.3 / math.sqrt(WIDTH), shape)
+    w["Uc"], w["bc"] = out[:, :units.groups], np.log(prior_g)
+    # group by group; places without a unit have no share
+    inner, bias = np.zeros((WIDTH, (units.groups - 1) * SIZE)), np.full((units.groups - 1) * SIZE, -1e9)
+    inner[:, :h], bias[:h] = out[:, units.groups:], np.log(inside_prior)
+    w["Ug"], w["bg"] = inner.reshape(WIDTH, -1, SIZE).transpose(1, 0, 2), bias.reshape(-1, SIZE)
+    # queries, keys, values and the state's own part in one product
+    w["Wi"] = np.concatenate((r.normal(0, 0.3 / math.sqrt(WIDTH), (WIDTH, 2 * KEY + WIDTH)), np.eye(WIDTH)), axis=1)
     w["Wo"] = np.zeros((WIDTH, WIDTH))
-    return {name: x.astype(np.float32) for name, x in sorted(w.items())}
+    return {name: np.ascontiguousarray(x, np.float32) for name, x in sorted(w.items())}
 
 
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -118,86 +116,112 @@ LIMIT = np.float32(60)  # of exponents: float32 ends at e ** 88
 def attend(w: dict, x: np.ndarray):
     """Hidden states of windows of input numbers (windows x WINDOW), with what
     the gradients need: weights before and sums after the mask."""
-    e = w["E"][x] + w["P"]
+    e = w["E"][x]
+    e += w["P"]
     flat = e.reshape(-1, WIDTH)
-    shape = (*x.shape, -1)
-    q, k, v = ((flat @ w[m]).reshape(shape) for m in ("Wq", "Wk", "Wv"))
+    parts = flat @ w["Wi"]
+    q, k, v = np.split(parts[:, :2 * KEY + WIDTH].reshape(*x.shape, -1), (KEY, 2 * KEY), axis=2)
     a = q @ k.transpose(0, 2, 1)
     np.minimum(a, LIMIT, out=a)
     np.exp(a, out=a)
     a *= CAUSAL
-    total = (a @ np.ones((WINDOW, 1), np.float32))
+    total = a @ np.ones((WINDOW, 1), np.float32)
     c = a @ v
     c /= total
-    z = flat @ w["Wr"] + c.reshape(-1, WIDTH) @ w["Wo"] + w["b"]
-    return z.reshape(shape), (e, q, k, v, a, total, c)
+    z = c.reshape(-1, WIDTH) @ w["Wo"]
+    z += parts[:, 2 * KEY + WIDTH:]
+    z += w["b"]
+    return z.reshape(e.shape), (e, q, k, v, a, total, c)
 
 
-def log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of each row at one place of it."""
+def log_share(x: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of some rows of x, each at one place of it."""
     np.minimum(x, LIMIT, out=x)
-    own = x[np.arange(len(x)), at]
+    own = x[rows, at]
     np.exp(x, out=x)
-    return own - np.log(x @ np.ones(x.shape[1], np.float32))
+    return own - np.log(x @ np.ones(x.shape[1], x.dtype))[rows]
 
 
 def shares(x: np.ndarray) -> np.ndarray:
-    x = np.exp(np.minimum(x, LIMIT))
-    return x / x.sum(axis=1, keepdims=True)
+    """Softmax of each row, in place."""
+    np.minimum(x, LIMIT, out=x)
+    np.exp(x, out=x)
+    x /= x @ np.ones((x.shape[1], 1), x.dtype)
+    return x
+
+
+def blocks(units: Units, g: np.ndarray, size: int):
+    """States by group: those whose group is not the rest's, the place of each
+    among blocks of ``size`` states of one group, and the blocks' groups."""
+    n = np.bincount(g, minlength=units.groups)
+    rows = np.argsort(g.astype(np.int16), kind="stable")[:len(g) - n[-1]]
+    count = -(-n[:-1] // size)
+    own = g[rows]
+    at = ((np.cumsum(count) - count) * size - (np.cumsum(n) - n)[:-1])[own] + np.arange(len(rows))
+    return rows, at, np.repeat(np.arange(len(count)), count)
+
+
+def in_blocks(z: np.ndarray, at: np.ndarray, count: int, size: int) -> np.ndarray:
+    out = np.zeros((count * size, z.shape[1]), z.dtype)
+    out[at] = z
+    return out.reshape(count, size, -1)
 
 
 def log_probs(w: dict, units: Units, z: np.ndarray, y: np.ndarray) -> np.ndarray:
     """ln P of each next number (the rest's units as one) at its state."""
-    order = np.argsort(units.of[y].astype(np.int16), kind="stable")
-    z, t = z[order], y[order]
-    g = units.of[t]
-    ends = np.searchsorted(g, np.arange(units.groups + 1))
-    lp = log_share(z @ w["Uc"] + w["bc"], g)
-    for i in range(units.groups - 1):
-        rows, lo, hi = slice(ends[i], ends[i + 1]), units.bounds[i], units.bounds[i + 1]
-        if ends[i + 1] > ends[i] and hi - lo > 1:
-            lp[rows] += log_share(z[rows] @ w["Ug"][:, lo:hi] + w["bg"][lo:hi], t[rows] - lo)
-    out = np.empty(len(y))
-    out[order] = lp
-    return out
+    g = units.of[y]
+    lp = log_share(z @ w["Uc"] + w["bc"], np.arange(len(y)), g)
+    rows, at, of = blocks(units, g, SCORE_BLOCK)
+    if len(rows):
+        x = in_blocks(z[rows], at, len(of), SCORE_BLOCK) @ w["Ug"][of]
+        x += w["bg"][of][:, None]
+        lp[rows] += log_share(x.reshape(-1, SIZE), at, y[rows] % SIZE)
+    return lp
 
 
 def gradients(w: dict, units: Units, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> dict:
     """Mean gradients of -ln P over the positions ``ok`` of windows."""
     z3, (e, q, k, v, a, total, c) = attend(w, x)
-    a = a / total
-    z, t = z3[ok], y[ok]
+    a /= total
+    flat = lambda m: m.reshape(-1, m.shape[-1])
+    own = np.flatnonzero(ok)
+    z, t = flat(z3)[own], y.ravel()[own]
     g = units.of[t]
-    dw = {name: np.zeros_like(p) for name, p in w.items()}
+    dw = {name: np.zeros_like(w[name]) for name in ("E", "Ug", "bg")}
     d = shares(z @ w["Uc"] + w["bc"])
     d[np.arange(len(t)), g] -= 1
     dw["Uc"], dw["bc"] = z.T @ d, d.sum(axis=0)
     dz = d @ w["Uc"].T
-    for i in range(units.groups - 1):
-        rows = np.flatnonzero(g == i)
-        lo, hi = units.bounds[i], units.bounds[i + 1]
-        if len(rows) and hi - lo > 1:
-            d = shares(z[rows] @ w["Ug"][:, lo:hi] + w["bg"][lo:hi])
-            d[np.arange(len(rows)), t[rows] - lo] -= 1
-            dw["Ug"][:, lo:hi], dw["bg"][lo:hi] = z[rows].T @ d, d.sum(axis=0)
-            dz[rows] += d @ w["Ug"][:, lo:hi].T
+    rows, at, of = blocks(units, g, BLOCK)
+    if len(rows):
+        zb, u = in_blocks(z[rows], at, len(of), BLOCK), w["Ug"][of]
+        d = zb @ u
+        d += w["bg"][of][:, None]
+        d = shares(d.reshape(-1, SIZE))
+        d[at, t[rows] % SIZE] -= 1
+        full = np.zeros(len(d), bool)
+        full[at] = True
+        d[~full] = 0
+        d = d.reshape(len(of), BLOCK, SIZE)
+        dz[rows] += flat(d @ u.transpose(0, 2, 1))[at]
+        first = np.flatnonzero(np.diff(of, prepend=-1))  # blocks of one group are neighbours
+        dw["Ug"][of[first]] = np.add.reduceat(zb.transpose(0, 2, 1) @ d, first, axis=0)
+        dw["bg"][of[first]] = np.add.reduceat(d.sum(axis=1), first, axis=0)
     dz3 = np.zeros_like(z3)
-    dz3[ok] = dz
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    dw["b"], dw["Wr"], dw["Wo"] = dz.sum(axis=0), flat(e).T @ flat(dz3), flat(c).T @ flat(dz3)
-    de, dc = dz3 @ w["Wr"].T, dz3 @ w["Wo"].T
-    dv, da = a.transpose(0, 2, 1) @ dc, dc @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, grad in (("Wq", dq), ("Wk", dk), ("Wv", dv)):
-        dw[name] = flat(e).T @ flat(grad)
-        de += grad @ w[name].T
-    dw["P"] = de.sum(axis=0)
-    order = np.argsort(x.ravel(), kind="stable")
-    own = x.ravel()[order]
-    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    dw["E"][own[first]] = np.add.reduceat(flat(de)[order], first, axis=0)
-    return {name: p / max(len(t), 1) for name, p in dw.items()}
+    flat(dz3)[own] = dz
+    dw["b"], dw["Wo"] = dz.sum(axis=0), flat(c).T @ flat(dz3)
+    dc = (flat(dz3) @ w["Wo"].T).reshape(z3.shape)
+    dv, ds = a.transpose(0, 2, 1) @ dc, dc @ v.transpose(0, 2, 1)
+    ds -= (dc * c).sum(axis=2, keepdims=True)  # the mean of ds under a
+    ds *= a
+    d = flat(np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, dv, dz3), axis=2))
+    dw["Wi"], de = flat(e).T @ d, d @ w["Wi"].T
+    dw["P"] = de.reshape(e.shape).sum(axis=0)
+    order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+    number = x.ravel()[order]
+    first = np.flatnonzero(np.diff(number, prepend=-1))
+    dw["E"][number[first]] = np.add.reduceat(de[order], first, axis=0)
+    return {name: p / max(len(t), 1) for name, p in sorted(dw.items())}
 
 
 class Steps:
