@@ -55,8 +55,9 @@ HEADS, SIZE = 1024, 32
 WIDTH, KEY = 24, 8
 ROUNDS = 2
 SHARD, MOST_SHARDS = 50_000, 1024
-BATCH = 64  # windows of a training step
-BLOCK, SCORE_BLOCK = 32, 128  # states of one group that one product takes, in training and in scoring
+BATCH = 128  # windows of a training step
+BLOCK, SCORE_BLOCK = 32, 64  # states of one group that one product takes, in training and in scoring
+CHUNK = 256  # windows that one step of scoring takes
 FREQUENT = 1e-5
 END = 2  # the vocabulary's end of text
 RATE = 1e-2
@@ -349,12 +350,12 @@ def score_texts(w: dict, units: Units, flat: np.ndarray, bounds: np.ndarray) ->
     numbers = units.number[flat]
     total = np.zeros(len(bounds) - 1)
     start, text, first = windows(bounds)
-    for a in range(0, len(start), 1024):
-        s, t, f = start[a:a + 1024], text[a:a + 1024], first[a:a + 1024]
+    for a in range(0, len(start), CHUNK):
+        s, t, f = start[a:a + CHUNK], text[a:a + CHUNK], first[a:a + CHUNK]
         x, y, ok, at = window_rows(numbers, bounds, s, t, len(units.heads) + 1)
         scored = ok & (f[:, None] | (np.arange(WINDOW) >= OVERLAP))
         # attention in batches that fit a cache, the softmaxes over more rows at once
-        z = np.concatenate([attend(w, x[b:b + 128])[0][scored[b:b + 128]] for b in range(0, len(x), 128)])
+        z = np.concatenate([attend(w, x[b:b + 64])[0][scored[b:b + 64]] for b in range(0, len(x), 64)])
         y = y[scored]
         lp = log_probs(w, units, z, y)
         rare = y == len(units.heads)
