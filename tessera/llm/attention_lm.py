@@ -273,16 +273,23 @@ def window_rows(numbers: np.ndarray, bounds: np.ndarray, start: np.ndarray, text
 
 
 BEGIN = 1 << 20  # before the first unit, as an id
+BEGIN_16, NONE_16 = 65535, 65534  # in windows laid aside: the start, and places beyond the text
+
+
+def unpacked(ids: list[bytes]) -> np.ndarray:
+    """Windows as they are laid aside (16-bit ids): WINDOW + 1 ids a row."""
+    return np.frombuffer(b"".join(ids), np.uint16).reshape(-1, WINDOW + 1)
 
 
 def _gather(path: str):
     """From (text, hash of doc_id): counts of words (0, hash), units (1, id),
-    pairs of units (2, both) and texts (3), and all windows (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids, -1 beyond the text."""
+    pairs of units (2, both) and texts (3), and all windows (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids."""
     def rows_of(kind: int, keys: np.ndarray, n: np.ndarray, ids: np.ndarray | None = None) -> pa.RecordBatch:
-        offsets = np.zeros(len(keys) + 1, np.int32) if ids is None else np.arange(len(keys) + 1, dtype=np.int32) * (WINDOW + 1)
-        flat = np.zeros(0, np.int32) if ids is None else ids.ravel()
+        offsets = np.arange(len(keys) + 1, dtype=np.int32) * (0 if ids is None else 2 * (WINDOW + 1))
+        flat = b"" if ids is None else ids.tobytes()
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n),
-                                           pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["kind", "key", "n", "ids"])
+                                           pa.BinaryArray.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])],
+                                          names=["kind", "key", "n", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = remembered(sentence_pieces, path)
@@ -312,7 +319,9 @@ def _gather(path: str):
                 # a hash of its text's doc_id and its place deals a window to a round and a shard
                 deal = mix(docs[s:e][text] + mix(start - bounds[text]))
                 _, y, inside, _ = window_rows(flat, bounds, start, text, BEGIN)
-                ids = np.concatenate((prev[start][:, None], np.where(inside, y, -1)), axis=1).astype(np.int32)
+                before = prev[start]
+                before = np.where(before == BEGIN, BEGIN_16, before)
+                ids = np.concatenate((before[:, None], np.where(inside, y, NONE_16)), axis=1).astype(np.uint16)
                 yield rows_of(4, (deal % np.uint64(ROUNDS)).astype(np.int64), deal.view(np.int64), ids)
         yield from merged()
     return run
@@ -322,17 +331,17 @@ def _train(model):
     """A partition's steps on its windows: its weights times the windows seen."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, w = model.value
-        steps, held, seen = Steps(w), np.zeros((0, WINDOW + 1), np.int64), 0
-        number = np.concatenate((units.number, [len(units.heads) + 1]))  # the start's comes last
+        steps, held, seen = Steps(w), np.zeros((0, WINDOW + 1), np.uint16), 0
+        number = np.zeros(1 << 16, np.int64)
+        number[:len(units.number)], number[BEGIN_16] = units.number, len(units.heads) + 1
 
         def step(ids: np.ndarray) -> int:
             x, y = ids[:, :-1], ids[:, 1:]
-            inside = y >= 0
-            x = np.where(inside, number[np.where(x == BEGIN, -1, x)], 0)
-            steps.take(gradients(steps.w, units, x, np.where(inside, units.number[y], 0), inside))
+            inside = y != NONE_16
+            steps.take(gradients(steps.w, units, np.where(inside, number[x], 0), number[y], inside))
             return len(ids)
         for batch in batches:
-            held = np.concatenate((held, np.asarray(batch.column(0).flatten(), dtype=np.int64).reshape(-1, WINDOW + 1)))
+            held = np.concatenate((held, unpacked(batch.column(0).to_pylist())))
             while len(held) >= BATCH:
                 seen += step(held[:BATCH])
                 held = held[BATCH:]
@@ -404,6 +413,8 @@ def trained(spark, gathered: DataFrame, counts: DataFrame, path: str):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+    if len(pieces) > NONE_16:
+        raise ValueError(f"a vocabulary of {len(pieces)} units does not fit 16 bits")
     # bounded by the vocabulary
     by_unit = {r["key"]: r["n"] for r in counts.where("kind = 1").collect()}
     units = Units(by_unit, pieces)
@@ -447,7 +458,7 @@ def scored(docs: DataFrame, path: str) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     train = docs.where(part != 1).select(text, F.xxhash64("doc_id").alias("doc"))
-    gathered = written(train.mapInArrow(lean(_gather(path)), "kind byte, key long, n long, ids array<int>"), "gathered")
+    gathered = written(train.mapInArrow(lean(_gather(path)), "kind byte, key long, n long, ids binary"), "gathered")
     counts = written(gathered.where("kind < 4").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     units, w = trained(spark, gathered, counts, path)
     words = counts.where("kind = 0")

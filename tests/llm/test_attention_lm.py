@@ -45,7 +45,7 @@ def test_gradients(small):
     units, w = small
     w = {k: v.astype(np.float64) for k, v in w.items()}
     r = np.random.default_rng(2)
-    x, y = r.integers(0, 1024, (4, lm.WINDOW)), r.integers(0, 1024, (4, lm.WINDOW))
+    x, y = r.integers(0, lm.HEADS + 2, (4, lm.WINDOW)), r.integers(0, lm.HEADS + 1, (4, lm.WINDOW))
     ok = r.random(x.shape) < 0.8
 
     def loss(w):
@@ -98,6 +98,9 @@ def test_every_window_is_learned_from_in_one_round():
     texts = ["the cat " * k for k in range(40)] + ["the cat sat on"] * 40
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)), pa.int64())], names=["text", "doc"])
     rows = [r for out in lm._gather(PATH)([batch]) for r in out.to_pylist() if r["kind"] == 4]
+    for r in rows:
+        ids = lm.unpacked([r["ids"]])[0].tolist()
+        r["ids"] = [{lm.BEGIN_16: lm.BEGIN, lm.NONE_16: -1}.get(i, i) for i in ids]
     words = Words(pa.array(texts))
     flat, bounds = lm.unit_rows(words, *ids_of(words))
     want, step = Counter(), lm.WINDOW - lm.OVERLAP
@@ -168,3 +171,33 @@ def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
     assert len(seen[0]) == docs.count()
     for other in seen[1:]:
         assert other == pytest.approx(seen[0], rel=1e-4, abs=1e-3)
+
+
+def test_blocks_equal_a_plain_softmax(small):
+    units, w = small
+    r = np.random.default_rng(4)
+    z = r.normal(0, 1, (500, lm.WIDTH)).astype(np.float32)
+    y = r.choice([0, 5, 31, 32, 700, lm.HEADS - 1, lm.HEADS], 500)  # a few crowded groups, most empty
+    got = lm.log_probs(w, units, z, y)
+    for state, t, lp in zip(z, y, got):
+        top = state @ w["Uc"] + w["bc"]
+        want = top[units.of[t]] - np.log(np.exp(top).sum())
+        if t < lm.HEADS:
+            inner = state @ w["Ug"][t // lm.SIZE] + w["bg"][t // lm.SIZE]
+            want += inner[t % lm.SIZE] - np.log(np.exp(inner).sum())
+        assert lp == pytest.approx(want, abs=1e-4)
+
+
+def test_few_units(small):
+    """Fewer units than a group holds: places without a unit have no share and no gradient."""
+    sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    units = lm.Units({5: 9, 6: 4, 2: 3}, [sp.id_to_piece(i) for i in range(32000)])
+    w = lm.initial(units, np.ones((5, 4)))
+    ids = np.arange(32000)
+    lp = lm.log_probs(w, units, np.zeros((len(ids), lm.WIDTH), np.float32), units.number[ids])
+    rest = units.number[ids] == 3
+    lp[rest] += units.log_rest[ids[rest]]
+    assert np.exp(lp).sum() == pytest.approx(1, abs=1e-3)
+    x = np.array([[4, 0, 1, 2] + [0] * (lm.WINDOW - 4)])
+    grads = lm.gradients(w, units, x, np.array([[0, 1, 2, 3] + [0] * (lm.WINDOW - 4)]), np.arange(lm.WINDOW)[None] < 4)
+    assert not grads["Ug"][:, :, 3:].any() and all(np.isfinite(g).all() for g in grads.values())
