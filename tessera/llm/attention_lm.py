@@ -281,7 +281,7 @@ def unpacked(ids: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(ids), np.uint16).reshape(-1, WINDOW + 1)
 
 
-def _gather(path: str):
+def _gather(path: str, lower: bool = False):
     """From (text, hash of doc_id): counts of words (0, hash), units (1, id),
     pairs of units (2, both) and texts (3), and all windows (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids."""
     def rows_of(kind: int, keys: np.ndarray, n: np.ndarray, ids: np.ndarray | None = None) -> pa.RecordBatch:
@@ -305,7 +305,7 @@ def _gather(path: str):
         for batch in batches:
             texts, docs = batch.column(0), np.asarray(batch.column(1)).view(np.uint64)
             for s, e in slices(texts):
-                w = Words(texts.slice(s, e - s))
+                w = Words(texts.slice(s, e - s), lower)
                 flat, bounds = unit_rows(w, *ids_of(w))
                 prev = np.concatenate(([0], flat[:-1]))
                 prev[bounds[:-1]] = BEGIN
@@ -373,7 +373,7 @@ def score_texts(w: dict, units: Units, flat: np.ndarray, bounds: np.ndarray) ->
     return total
 
 
-def _score(path: str, model):
+def _score(path: str, model, lower: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = remembered(sentence_pieces, path)
         units, w, (often, counts), tokens, types, texts_seen = model.value
@@ -383,7 +383,7 @@ def _score(path: str, model):
         for batch in batches:
             texts = batch.column("text")
             for s, e in slices(texts):
-                own = Words(texts.slice(s, e - s))
+                own = Words(texts.slice(s, e - s), lower)
                 flat, bounds = unit_rows(own, *ids_of(own))
                 score = score_texts(w, units, flat, bounds) / math.log(10)
                 h = own.hashes()
@@ -449,16 +449,16 @@ def trained(spark, gathered: DataFrame, counts: DataFrame, path: str):
     return units, w
 
 
-def scored(docs: DataFrame, path: str) -> DataFrame:
+def scored(docs: DataFrame, path: str, lower: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score
     of every row.  Learns from rows whose crc32 of doc_id leaves no 1 when
-    divided by 5."""
+    divided by 5.  ``lower``: A-Z are lower-cased first, all else is left as it is."""
     spark = docs.sparkSession
     small_batches(spark)
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     train = docs.where(part != 1).select(text, F.xxhash64("doc_id").alias("doc"))
-    gathered = written(train.mapInArrow(lean(_gather(path)), "kind byte, key long, n long, ids binary"), "gathered")
+    gathered = written(train.mapInArrow(lean(_gather(path, lower)), "kind byte, key long, n long, ids binary"), "gathered")
     counts = written(gathered.where("kind < 4").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     units, w = trained(spark, gathered, counts, path)
     words = counts.where("kind = 0")
@@ -471,7 +471,7 @@ def scored(docs: DataFrame, path: str) -> DataFrame:
     order = np.argsort(keys)
     model = spark.sparkContext.broadcast((units, w, (keys[order], often["n"].to_numpy(np.float64)[order]), tokens, types, texts_seen))
     d = docs.select("doc_id", text, F.coalesce(part == 1, F.lit(False)).alias("held_out"))
-    rows = d.mapInArrow(lean(_score(path, model)), "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
+    rows = d.mapInArrow(lean(_score(path, model, lower)), "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
                                              "rest array<struct<h: bigint, tf: int>>")
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
     rest = rows.select("row", F.explode("rest").alias("r")).select("row", F.col("r.h").alias("key"), "r.tf")

@@ -100,7 +100,7 @@ def op5_block_tree(spark, sf_dir):
 @query
 def op3_attention_lm(spark, sf_dir):
     """Base and model scores of every document."""
-    return scored(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return scored(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), lower=True)
 
 
 @query

@@ -8,9 +8,10 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from helpers import words
+from helpers import lower, words
 from tessera.llm import attention_lm as lm
 from tessera.llm.common import Words, read_table
+from tessera.llm.queries import op3_attention_lm
 from tessera.llm.subwords import sentence_pieces
 
 PATH = P.path("piece_bpe_32k.model")
@@ -201,3 +202,19 @@ def test_few_units(small):
     x = np.array([[4, 0, 1, 2] + [0] * (lm.WINDOW - 4)])
     grads = lm.gradients(w, units, x, np.array([[0, 1, 2, 3] + [0] * (lm.WINDOW - 4)]), np.arange(lm.WINDOW)[None] < 4)
     assert not grads["Ug"][:, :, 3:].any() and all(np.isfinite(g).all() for g in grads.values())
+
+
+def test_query_lower_cases_ascii_letters(spark, tmp_path):
+    """The contract's tokens: A-Z lower-cased, other capitals and characters left alone."""
+    texts = ["The CAT sat", "the cat SAT", "É é Éa\x1cB\x85C\xa0D", "THE\x0bDog\x0cdog", None, "", "\u212a K k İ"] + ["Odd oDD oDd"] * 8
+    rows = list(enumerate(texts)) + [(3, "The the"), (None, "CAT")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op3_attention_lm(spark, str(tmp_path)).collect()
+    n, want = base_scores([(i, lower(t)) for i, t in rows])
+    held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got_rows = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in got), key=key)
+    assert got_rows == sorted(((i, h, *x[:2], n, round(x[2], 9)) for (i, _), h, x in zip(rows, held, want)), key=key)
+    # texts that differ in A-Z alone have one score
+    score = {r.doc_id: r.score for r in got}
+    assert score[0] == pytest.approx(score[1], rel=1e-5)
