@@ -10,7 +10,7 @@ documents.
 Training is one expectation step: under equal piece probabilities, forward
 and backward sums give each piece's expected number in a word, summed by
 language over all training words; counts are kept in 1/1024 so that sums are
-exact.  Probabilities are smoothed by the distribution over all languages, and
+exact.  A task lays up words and cuts equal ones once.  Probabilities are smoothed by the distribution over all languages, and
 that one by a uniform one.
 
 Words are lower-cased; a character that is no piece costs the same in all
@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, hash_strings, lean, mix, slices, small_batches
+from .subwords import remembered
 
 LONGEST = 64
 GAIN = 100.0  # per character, keeps most sums of words up to LONGEST above SAFE
@@ -44,6 +45,8 @@ CELLS = 1_000_000  # characters of long words handled at once
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNIT = 1024
 REMEMBERED = 2_000_000  # numbers that a worker keeps for known words
+HELD = 300_000  # words (distinct in their chunk of text) that a training task lays up before it cuts them
+AT_ONCE = 20_000  # words of one length that are cut at once
 
 
 class Vocabulary:
@@ -59,6 +62,8 @@ class Vocabulary:
         h = np.array([self.hash_of([ord(c) for c in p]) for p in pieces], np.uint64)
         order = np.argsort(h)
         self.keys, self.ids = h[order], order
+        self.first_bits = np.zeros(1 << 20, bool)  # what most parts of words do not have
+        self.first_bits[h >> np.uint64(44)] = True
 
     @staticmethod
     def hash_of(chars) -> np.uint64:
@@ -69,8 +74,12 @@ class Vocabulary:
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece numbers, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, self.ids[at], -1)
+        out = np.full(h.shape, -1)
+        maybe = self.first_bits[h >> np.uint64(44)]
+        own = h[maybe]
+        at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+        out[maybe] = np.where(self.keys[at] == own, self.ids[at], -1)
+        return out
 
     def edges(self, chars: np.ndarray):
         """Of words of one length (rows of code points): for each end the
@@ -204,9 +213,12 @@ def expected_pieces(vocab: Vocabulary, words: list[str]):
     flat = np.full((len(vocab.pieces), 1), 1.0 / len(vocab.pieces))
     unknown = 1e-3 / len(vocab.pieces)
     again = [k for k, w in enumerate(words) if len(w) > LONGEST]
-    short = [k for k, w in enumerate(words) if len(w) <= LONGEST]
-    for ks, chars in lengths_of([words[k] for k in short]):
-        owner, ends = np.array(short)[ks], vocab.edges(chars)
+    short = np.array([k for k, w in enumerate(words) if len(w) <= LONGEST], np.int64)
+    # a limit in characters too: what is found in a part is held at once
+    parts = ((ks[a:a + step], chars[a:a + step]) for ks, chars in lengths_of([words[k] for k in short.tolist()])
+             for step in [min(AT_ONCE, CELLS // (2 * chars.shape[1]))] for a in range(0, len(ks), step))
+    for ks, chars in parts:
+        owner, ends = short[ks], vocab.edges(chars)
         alpha = forward(ends, flat, unknown, len(ks))[:, :, 0]
         beta, found = np.zeros_like(alpha), []
         beta[-1] = 1.0
@@ -219,9 +231,9 @@ def expected_pieces(vocab: Vocabulary, words: list[str]):
                 beta[i] += mass
         low = (np.minimum(alpha, beta) < SAFE).any(axis=0)
         again += owner[low].tolist()
-        for hit, piece, x in found:
-            own = ~low[hit]
-            yield owner[hit[own]], piece[own], x[own] / alpha[-1, hit[own]]
+        hit, piece, x = (np.concatenate(c) for c in zip(*found))
+        own = ~low[hit]
+        yield owner[hit[own]], piece[own], x[own] / alpha[-1, hit[own]]
     for own, rows in padded(vocab, words, again, logs_of(flat, unknown)):
         for word, piece, x in rows.expected():
             yield own[word], piece, x
@@ -229,24 +241,38 @@ def expected_pieces(vocab: Vocabulary, words: list[str]):
 
 def _counts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, total = Vocabulary(path), {}
+        vocab, total, names, held = remembered(Vocabulary, path), {}, [], []
+
+        def add() -> None:
+            """The pieces of the words held so far, equal words together."""
+            words = pa.chunked_array([w for w, *_ in held]).combine_chunks().dictionary_encode()
+            at, start = np.asarray(words.indices), 0
+            count = np.zeros((len(words.dictionary), len(names)))
+            for own, lang, code, n in held:
+                np.add.at(count, (at[start:start + len(own)][code], lang), n)
+                start += len(own)
+            held.clear()
+            for own, piece, x in expected_pieces(vocab, words.dictionary.to_pylist()):
+                for l, name in enumerate(names):
+                    if name not in total:
+                        total[name] = np.zeros(len(vocab.pieces))
+                    total[name] += np.bincount(piece, x * count[own, l], len(vocab.pieces))
         for batch in batches:
             langs, texts = batch.column(0).dictionary_encode(), batch.column(1)
-            names, lang_of = langs.dictionary.to_pylist(), np.asarray(langs.indices)
+            own = langs.dictionary.to_pylist()
+            names += [x for x in own if x not in names]
+            lang_of = np.array([names.index(x) for x in own], np.int64)[np.asarray(langs.indices)]
             for s, e in slices(texts):
                 w = Words(pc.utf8_lower(pc.fill_null(texts.slice(s, e - s), "")))
                 if not len(w.codes):
                     continue
                 size = len(w.vocab)
-                key, n = np.unique(lang_of[s:e][w.doc].astype(np.int64) * size + w.codes, return_counts=True)
-                lang, code = np.divmod(key, size)
-                count = np.zeros((size, len(names)))
-                count[code, lang] = n
-                for own, piece, x in expected_pieces(vocab, w.vocab.to_pylist()):
-                    for l, name in enumerate(names):
-                        if name not in total:
-                            total[name] = np.zeros(len(vocab.pieces))
-                        total[name] += np.bincount(piece, x * count[own, l], len(vocab.pieces))
+                key, n = np.unique(lang_of[s:e][w.doc] * size + w.codes, return_counts=True)
+                held.append((w.vocab, *np.divmod(key, size), n))
+                if sum(len(x) for x, *_ in held) > HELD:
+                    add()
+        if held:
+            add()
         for name, x in total.items():
             n = np.round(x * UNIT).astype(np.int64)
             at = np.flatnonzero(n)
@@ -259,18 +285,18 @@ class Scorer:
     """Log probabilities of words in each language, remembered per worker."""
 
     def __init__(self, path: str, probs: np.ndarray):
-        self.vocab, self.probs = Vocabulary(path), probs
+        self.vocab, self.probs = remembered(Vocabulary, path), probs
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros((0, probs.shape[1]), np.float32)
 
     def fresh(self, words: list[str]) -> np.ndarray:
         unknown, out = 1e-3 / len(self.probs), np.zeros((len(words), self.probs.shape[1]))
         again = [k for k, w in enumerate(words) if len(w) > LONGEST]
-        short = [k for k, w in enumerate(words) if len(w) <= LONGEST]
-        for ks, chars in lengths_of([words[k] for k in short]):
-            owner, n = np.array(short)[ks], chars.shape[1]
-            for a in range(0, len(ks), 20_000):
-                own = owner[a:a + 20_000]
-                alpha = forward(self.vocab.edges(chars[a:a + 20_000]), self.probs, unknown, len(own))
+        short = np.array([k for k, w in enumerate(words) if len(w) <= LONGEST], np.int64)
+        for ks, chars in lengths_of([words[k] for k in short.tolist()]):
+            owner, n = short[ks], chars.shape[1]
+            for a in range(0, len(ks), AT_ONCE):
+                own = owner[a:a + AT_ONCE]
+                alpha = forward(self.vocab.edges(chars[a:a + AT_ONCE]), self.probs, unknown, len(own))
                 low = (alpha < SAFE).any(axis=(0, 2))
                 again += own[low].tolist()
                 out[own[~low]] = np.log(alpha[-1][~low]) - n * np.log(GAIN)

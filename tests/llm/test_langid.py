@@ -122,3 +122,34 @@ def test_edges(spark):
     none = spark.createDataFrame([(1, "abc", None, None)], schema)
     assert [(r.lang_pred, r.score) for r in langid.predict_language(none, PATH).collect()] == [("und", 0.0)]
     assert langid.predict_language(none.limit(0), PATH).count() == 0
+
+
+def test_training_cuts_equal_words_of_a_task_once(monkeypatch):
+    """The same counts however many words are held, and one cutting of what batches share."""
+    import pyarrow as pa
+    rows = [("en", "the cat sat"), ("de", "the katze saß"), ("en", None), ("fr", "the the chat"), ("de", " ")] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
+    cut, plain = [], langid.expected_pieces
+
+    def watched(vocab, words):
+        cut.extend(words)
+        return plain(vocab, words)
+    monkeypatch.setattr(langid, "expected_pieces", watched)
+
+    def counts(held):
+        monkeypatch.setattr(langid, "HELD", held)
+        cut.clear()
+        out = [r for b in langid._counts(PATH)([batch.slice(a, 5) for a in range(0, 20, 5)]) for r in b.to_pylist()]
+        return {(r["lang"], r["piece"]): r["n"] for r in out}, list(cut)
+    (once, words), (each, many) = counts(10 ** 6), counts(0)
+    assert sorted(words) == ["cat", "chat", "katze", "sat", "saß", "the"] and len(many) > len(words)
+    assert once.keys() == each.keys() and all(abs(once[k] - each[k]) <= 1 for k in once)
+    assert sum(n for (lang, _), n in once.items() if lang == "fr") > 0
+
+
+def test_pieces_are_found_by_their_whole_hash():
+    vocab = langid.Vocabulary(PATH)
+    h = np.array([vocab.hash_of([ord(c) for c in p]) for p in vocab.pieces], np.uint64)
+    assert vocab.find(h).tolist() == list(range(len(h)))
+    assert (vocab.find(h.reshape(2, -1) if len(h) % 2 == 0 else h[None]).ravel() == np.arange(len(h))).all()
+    assert not np.isin(vocab.find(h ^ np.uint64(1)), np.arange(len(h))).any() or np.isin(h ^ np.uint64(1), h).any()
