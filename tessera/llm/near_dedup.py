@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_folder, scratch_path
 from .common import Words, gram_hashes, lean, mix, slices, small_batches, to_long, written
 from .components import components
 
@@ -223,11 +224,13 @@ def _compare(threshold: int, least: float, per_band: int):
     return run
 
 
-def rest_links(m: DataFrame, threshold: int, rows: int, block: int = 512) -> DataFrame:
+def rest_links(m: DataFrame, own: DataFrame, threshold: int, rows: int, block: int = 512) -> DataFrame:
     """Links (a, b) between different components in one bucket.  Blocks of
     members outside the bucket's largest component meet all its members; a pair
     whose signatures agree in as many places as :func:`least_for` says is
-    compared on its full sets.  Only links leave the task."""
+    compared on its full sets.  Only links leave the task.  ``own`` (v, bands,
+    text) is what a member carries: it joins the members when they stand in
+    their blocks, so texts are in no shuffle before."""
     sizes = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     top = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
                                        F.max("c").alias("c"))
@@ -235,7 +238,7 @@ def rest_links(m: DataFrame, threshold: int, rows: int, block: int = 512) -> Dat
     m = m.join(top, "bucket")
     minors = m.where("comp <> top").withColumns({"block": F.pmod(F.xxhash64("v"), F.col("_n")), "role": F.lit(0)})
     everyone = m.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)), "role": F.lit(1)})
-    met = minors.unionByName(everyone).select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
+    met = written(minors.unionByName(everyone).drop("top", "_n"), "met").join(own, "v").select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
     return (met.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
             .mapInArrow(lean(_compare(threshold, least_for(threshold), rows)), "a long, b long").distinct())
 
@@ -268,27 +271,33 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
     classes = written(sigs.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
                       .agg(F.min("doc_id").alias("v"), F.first("bands").alias("bands")), "classes")
 
-    places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode(_bands(rows)).alias("band", "_value")).select(
-        "v", "n", "band", F.xxhash64("band", "_value").alias("bucket"))
-    # written, as the engine splits a hot bucket only in a join of two plain shuffles
-    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("v", "n")).alias("lo"), F.max(F.struct("v", "n")).alias("hi"))
-    shared = written(shared.where("_c > 1").select("bucket", F.when(F.col("_c") > 2, F.array("lo", "hi")).otherwise(F.array("lo")).alias("pivots")), "shared")
-    members = written(places.join(shared, "bucket"), "members")
-    wanted = written(members.select(F.col("v").alias("doc_id")).distinct(), "wanted")
-    texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "texts")
-    met = members.select("v", "n", F.explode("pivots").alias("p"))
-    pairs = written(met.where("v <> p.v and 100 * least(n, p.n) >= {t} * greatest(n, p.n)".format(t=threshold))
-                    .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
-    links = written(confirm(pairs, texts, threshold).union(same_id_links(sigs, classes, key)), "links")
-    comps = components(links)
-    # what is left: buckets whose members are not all of one component
-    members = members.where("size(pivots) > 1").drop("pivots").join(comps, "v", "left")
-    members = members.withColumn("comp", F.coalesce("root", "v")).drop("root")
-    mixed = written(members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
-    rest = written(members.join(mixed, "bucket"), "rest")
-    more = written(rest_links(rest.join(classes.select("v", "bands"), "v").join(texts, "v"), threshold, rows), "more")
-    if not more.isEmpty():
-        comps = components(links.union(more))
+    # texts, members and links go when the components are there
+    kept = scratch_path(docs.sparkSession, "components")
+    with scratch_folder(docs.sparkSession, "pairs"):
+        places = classes.select("v", F.col("n_shingles").alias("n"), F.posexplode(_bands(rows)).alias("band", "_value")).select(
+            "v", "n", "band", F.xxhash64("band", "_value").alias("bucket"))
+        # written, as the engine splits a hot bucket only in a join of two plain shuffles
+        shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("v", "n")).alias("lo"), F.max(F.struct("v", "n")).alias("hi"))
+        shared = written(shared.where("_c > 1").select("bucket", F.when(F.col("_c") > 2, F.array("lo", "hi")).otherwise(F.array("lo")).alias("pivots")), "shared")
+        members = written(places.join(shared, "bucket"), "members")
+        wanted = written(members.select(F.col("v").alias("doc_id")).distinct(), "wanted")
+        texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "texts")
+        met = members.select("v", "n", F.explode("pivots").alias("p"))
+        pairs = written(met.where("v <> p.v and 100 * least(n, p.n) >= {t} * greatest(n, p.n)".format(t=threshold))
+                        .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
+        links = written(confirm(pairs, texts, threshold).union(same_id_links(sigs, classes, key)), "links")
+        comps = components(links)
+        # what is left: buckets whose members are not all of one component
+        members = members.where("size(pivots) > 1").drop("pivots").join(comps, "v", "left")
+        members = members.withColumn("comp", F.coalesce("root", "v")).drop("root")
+        mixed = written(members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
+        rest = written(members.join(mixed, "bucket"), "rest")
+        carried = texts.join(rest.select("v").distinct(), "v").join(classes.select("v", "bands"), "v")
+        more = written(rest_links(rest, carried, threshold, rows), "more")
+        if not more.isEmpty():
+            comps = components(links.union(more))
+        comps.write.parquet(kept)
+    comps = docs.sparkSession.read.schema(comps.schema).parquet(kept)
 
     ids = classes.join(comps, "v", "left").withColumn("root", F.coalesce("root", "v")).select(*key, "root")
     out = sigs.select("doc_id", *key).join(ids, key, "left")
