@@ -13,7 +13,8 @@ and probabilities of all units add up to 1.  The softmaxes inside groups are
 computed for all groups at once: states stand in blocks of one group each.
 
 Gathering: one pass over the training texts counts words, units and pairs of
-neighbouring units, and lays all windows aside.  The pairs of HEADS units (a table bounded
+neighbouring units; windows are made from the texts again in each round, so
+that no copy of them is kept.  The pairs of HEADS units (a table bounded
 by the vocabulary) give the weights to start from: a low-rank factorisation of
 their association, which makes the untrained model a bigram model.  Training:
 ROUNDS rounds; every window of the training texts falls in one of them, by a
@@ -58,7 +59,7 @@ SHARD, MOST_SHARDS = 50_000, 1024
 BATCH = 128  # windows of a training step
 BLOCK, SCORE_BLOCK = 32, 64  # states of one group that one product takes, in training and in scoring
 CHUNK = 256  # windows that one step of scoring takes
-FREQUENT = 1e-5
+FREQUENT = 1e-6
 END = 2  # the vocabulary's end of text
 RATE = 1e-2
 
@@ -272,18 +273,20 @@ def window_rows(numbers: np.ndarray, bounds: np.ndarray, start: np.ndarray, text
     return np.where(inside, x, 0), y, inside, at
 
 
+ROWS = "kind byte, key long, n long, ids binary"  # what gathering gives
 BEGIN = 1 << 20  # before the first unit, as an id
-BEGIN_16, NONE_16 = 65535, 65534  # in windows laid aside: the start, and places beyond the text
+BEGIN_16, NONE_16 = 65535, 65534  # in dealt windows: the start, and places beyond the text
 
 
 def unpacked(ids: list[bytes]) -> np.ndarray:
-    """Windows as they are laid aside (16-bit ids): WINDOW + 1 ids a row."""
+    """Windows as they are dealt (16-bit ids): WINDOW + 1 ids a row."""
     return np.frombuffer(b"".join(ids), np.uint16).reshape(-1, WINDOW + 1)
 
 
-def _gather(path: str, lower: bool = False):
+def _gather(path: str, lower: bool = False, counted: bool = True, turns: tuple = tuple(range(ROUNDS))):
     """From (text, hash of doc_id): counts of words (0, hash), units (1, id),
-    pairs of units (2, both) and texts (3), and all windows (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids."""
+    pairs of units (2, both), texts (3) and windows (5) if ``counted``, and the windows of the rounds
+    ``turns`` (4, round, a hash of doc_id and place in place of n): WINDOW + 1 ids."""
     def rows_of(kind: int, keys: np.ndarray, n: np.ndarray, ids: np.ndarray | None = None) -> pa.RecordBatch:
         offsets = np.arange(len(keys) + 1, dtype=np.int32) * (0 if ids is None else 2 * (WINDOW + 1))
         flat = b"" if ids is None else ids.tobytes()
@@ -293,7 +296,7 @@ def _gather(path: str, lower: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = remembered(sentence_pieces, path)
-        held: dict[int, list] = {0: [], 1: [], 2: [], 3: []}
+        held: dict[int, list] = {0: [], 1: [], 2: [], 3: [], 5: []}
 
         def merged():
             """What the texts so far have: equal keys together."""
@@ -309,20 +312,27 @@ def _gather(path: str, lower: bool = False):
                 flat, bounds = unit_rows(w, *ids_of(w))
                 prev = np.concatenate(([0], flat[:-1]))
                 prev[bounds[:-1]] = BEGIN
-                held[0].append((hash_strings(w.vocab).view(np.int64), np.bincount(w.codes, minlength=len(w.vocab))))
-                held[1].append(np.unique(flat, return_counts=True))
-                held[2].append(np.unique(prev << 21 | flat, return_counts=True))
-                held[3].append((np.zeros(1, np.int64), np.array([e - s])))
-                if sum(len(k) for parts in held.values() for k, _ in parts) > 2_000_000:
-                    yield from merged()
                 start, text, _ = windows(bounds)
+                if counted:
+                    held[0].append((hash_strings(w.vocab).view(np.int64), np.bincount(w.codes, minlength=len(w.vocab))))
+                    held[1].append(np.unique(flat, return_counts=True))
+                    held[2].append(np.unique(prev << 21 | flat, return_counts=True))
+                    held[3].append((np.zeros(1, np.int64), np.array([e - s])))
+                    held[5].append((np.zeros(1, np.int64), np.array([len(start)])))
+                    if sum(len(k) for parts in held.values() for k, _ in parts) > 2_000_000:
+                        yield from merged()
+                if not turns:
+                    continue
                 # a hash of its text's doc_id and its place deals a window to a round and a shard
                 deal = mix(docs[s:e][text] + mix(start - bounds[text]))
+                turn = (deal % np.uint64(ROUNDS)).astype(np.int64)
+                own = np.isin(turn, turns)
+                start, text, deal, turn = start[own], text[own], deal[own], turn[own]
                 _, y, inside, _ = window_rows(flat, bounds, start, text, BEGIN)
                 before = prev[start]
                 before = np.where(before == BEGIN, BEGIN_16, before)
                 ids = np.concatenate((before[:, None], np.where(inside, y, NONE_16)), axis=1).astype(np.uint16)
-                yield rows_of(4, (deal % np.uint64(ROUNDS)).astype(np.int64), deal.view(np.int64), ids)
+                yield rows_of(4, turn, deal.view(np.int64), ids)
         yield from merged()
     return run
 
@@ -386,14 +396,14 @@ def _score(path: str, model, lower: bool = False):
                 own = Words(texts.slice(s, e - s), lower)
                 flat, bounds = unit_rows(own, *ids_of(own))
                 score = score_texts(w, units, flat, bounds) / math.log(10)
-                h = own.hashes()
-                at = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
-                known = often[at] == h if len(often) else np.zeros(len(h), bool)
-                n = e - s
+                vocab = hash_strings(own.vocab)
+                place = np.minimum(np.searchsorted(often, vocab), max(len(often) - 1, 0))
+                found = often[place] == vocab if len(often) else np.zeros(len(vocab), bool)
+                known, n = found[own.codes], e - s
                 known_n = np.bincount(own.doc[known], minlength=n)
-                base = np.bincount(own.doc[known], base_of[at[known]], n) + end_base
+                base = np.bincount(own.doc[known], base_of[place[own.codes[known]]], n) + end_base
                 # the other words of each text, equal ones together
-                doc, rest = own.doc[~known], h[~known]
+                doc, rest = own.doc[~known], vocab[own.codes[~known]]
                 order = np.lexsort((rest, doc))
                 doc, rest = doc[order], rest[order]
                 new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (rest[1:] != rest[:-1])))) if len(doc) else np.zeros(0, np.int64)
@@ -408,8 +418,9 @@ def _score(path: str, model, lower: bool = False):
     return run
 
 
-def trained(spark, gathered: DataFrame, counts: DataFrame, path: str):
-    """Units and weights from the counts and the windows laid aside."""
+def trained(train: DataFrame, counts: DataFrame, path: str, lower: bool = False):
+    """Units and weights from the counts and the texts (text, hash of doc_id)."""
+    spark = train.sparkSession
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
@@ -432,11 +443,11 @@ def trained(spark, gathered: DataFrame, counts: DataFrame, path: str):
     found = pairs.toPandas()
     table[found["na"].to_numpy(int), found["nb"].to_numpy(int)] = found["n"]
     w = initial(units, table)
-    n_windows = gathered.where("kind = 4").count()
+    n_windows = (counts.where("kind = 5").first() or {"n": 0})["n"]
     shards = min(MOST_SHARDS, max(1, round(n_windows / ROUNDS / SHARD)))
     for turn in range(ROUNDS):
         model = spark.sparkContext.broadcast((units, w))
-        own = gathered.where((F.col("kind") == 4) & (F.col("key") == turn)).select("ids", "n")
+        own = train.mapInArrow(lean(_gather(path, lower, False, (turn,))), ROWS).select("ids", "n")
         # equal windows are alike, so equal hashes need no further order than their ids
         own = own.repartition(shards, "n").sortWithinPartitions("n", "ids")
         sums = (own.mapInArrow(lean(_train(model)), "at int, x double, seen long").groupBy("at")
@@ -458,9 +469,9 @@ def scored(docs: DataFrame, path: str, lower: bool = False) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     train = docs.where(part != 1).select(text, F.xxhash64("doc_id").alias("doc"))
-    gathered = written(train.mapInArrow(lean(_gather(path, lower)), "kind byte, key long, n long, ids binary"), "gathered")
-    counts = written(gathered.where("kind < 4").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    units, w = trained(spark, gathered, counts, path)
+    gathered = train.mapInArrow(lean(_gather(path, lower, True, ())), ROWS)
+    counts = written(gathered.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    units, w = trained(train, counts, path, lower)
     words = counts.where("kind = 0")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
     texts_seen = (counts.where("kind = 3").first() or {"n": 0})["n"]
