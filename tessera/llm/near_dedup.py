@@ -12,13 +12,18 @@ that links reach.
    step whose values cannot lower any place, usually after one or two.
 2. Documents with equal sets form a class; its smallest id stands for it.
 3. Signatures are banded.  In each bucket two members (the pivots) are paired
-   with the others, never all with all.  Pairs are confirmed on full sets, and
-   components are merged.
+   with the others, never all with all.  Pairs whose signatures allow a link are
+   confirmed on full sets, and components are merged.
 4. In what is left, every member outside a bucket's largest component meets
    every member of another component: blocks of them are compared by signature
-   in vectorised steps, and on full sets where the signatures allow a link.
-   Only links leave a task.  So no link between candidates is lost, and no list
-   of pairs is made, whatever the size of a bucket.
+   in vectorised steps.  Members whose signature allows a link in their block
+   meet there again with their texts, and links are confirmed on full sets.
+   Only members and links leave a task.  So no link between candidates is lost,
+   and no list of pairs is made, whatever the size of a bucket.
+
+Signatures that agree in fewer places than ``least_for`` says allow no link; a
+pair at the threshold falls short of it once in 1e8.  So texts go only to where
+a link is likely.
 
 Bands have 4, 2 or 1 of the 112 places, by the threshold, so that a pair at it
 shares no bucket with a probability below 1e-6 (28 bands of 4 at 0.85: 1e-9).
@@ -180,21 +185,71 @@ def least_for(threshold: int) -> float:
     return 1.0
 
 
+MEMBER = ("bucket", "block", "role", "v", "n", "comp", "band")
+
+
+def _runs(batch: pa.RecordBatch, per_band: int):
+    """A batch's columns (m: one value per band) by block and role, with their bounds."""
+    c = {n: np.asarray(batch.column(n)) for n in MEMBER}
+    m = np.asarray(batch.column("bands").flatten(), dtype=np.int64).reshape(batch.num_rows, BANDS)
+    c["m"] = m.view(f"u{2 * per_band}")
+    cut = np.flatnonzero((np.diff(c["bucket"]) != 0) | (np.diff(c["block"]) != 0) | (np.diff(c["role"]) != 0)) + 1
+    for s, e in zip([0, *cut], [*cut, batch.num_rows]):
+        if s < e:
+            yield s, e, {n: x[s:e] for n, x in c.items()}
+
+
+def allowed(held: dict, i: int, part: dict, threshold: int, least: float) -> np.ndarray:
+    """The rows of ``part`` that member i of ``held`` may be linked with."""
+    own = held["m"][i]
+    near = (part["m"].view(np.uint16) == own.view(np.uint16)).mean(axis=1) >= least
+    small, big = np.minimum(part["n"], held["n"][i]), np.maximum(part["n"], held["n"][i])
+    # a pair that shares several buckets is met in its first
+    first = (part["m"] == own).argmax(axis=1) == part["band"]
+    return np.flatnonzero(near & first & (part["comp"] != held["comp"][i]) & (100 * small >= threshold * big))
+
+
+def _likely(threshold: int, least: float, per_band: int):
+    """The members of each block (those outside the bucket's largest component
+    come first) whose signature allows a link in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, hit = None, {}, np.zeros(0, bool)
+
+        def rows_of(part: dict, own: np.ndarray) -> pa.RecordBatch:
+            flat = np.ascontiguousarray(part["m"][own]).view(np.int64).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(own.sum() + 1, dtype=np.int32) * BANDS), pa.array(flat))
+            return pa.RecordBatch.from_arrays([*(pa.array(part[n][own]) for n in MEMBER), lists], names=[*MEMBER, "bands"])
+        for batch in batches:
+            for _, _, part in _runs(batch, per_band):
+                here = (part["bucket"][0], part["block"][0])
+                if part["role"][0] == 0:
+                    if here == key:
+                        held, hit = {n: np.concatenate((held[n], x)) for n, x in part.items()}, np.concatenate((hit, np.zeros(len(part["v"]), bool)))
+                        continue
+                    if hit.any():
+                        yield rows_of(held, hit)
+                    held, hit, key = part, np.zeros(len(part["v"]), bool), here
+                elif here == key:
+                    own = np.zeros(len(part["v"]), bool)
+                    for i in range(len(hit)):
+                        rows = allowed(held, i, part, threshold, least)
+                        own[rows] = True
+                        hit[i] |= len(rows) > 0
+                    if own.any():
+                        yield rows_of(part, own)
+        if hit.any():
+            yield rows_of(held, hit)
+    return run
+
+
 def _compare(threshold: int, least: float, per_band: int):
     """Links between the members of a bucket outside its largest component
     (they come first) and all its members: signatures first, then full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, sets = None, {}, []
         for batch in batches:
-            c = {n: np.asarray(batch.column(n)) for n in ("bucket", "block", "role", "v", "n", "comp", "band")}
-            m = np.asarray(batch.column("bands").flatten(), dtype=np.int64).reshape(batch.num_rows, BANDS)
-            c["m"] = m.view(f"u{2 * per_band}")  # one value per band
             texts, left, right = batch.column("text"), [], []
-            cut = np.flatnonzero((np.diff(c["bucket"]) != 0) | (np.diff(c["block"]) != 0) | (np.diff(c["role"]) != 0)) + 1
-            for s, e in zip([0, *cut], [*cut, batch.num_rows]):
-                if s == e:
-                    continue
-                part = {n: x[s:e] for n, x in c.items()}
+            for s, e, part in _runs(batch, per_band):
                 if part["role"][0] == 0:
                     here = (part["bucket"][0], part["block"][0])
                     same_block = here == key
@@ -204,14 +259,7 @@ def _compare(threshold: int, least: float, per_band: int):
                     continue
                 if (part["bucket"][0], part["block"][0]) != key:
                     continue
-                hits = []
-                for i in range(len(held["v"])):
-                    own = held["m"][i]
-                    near = (part["m"].view(np.uint16) == own.view(np.uint16)).mean(axis=1) >= least
-                    small, big = np.minimum(part["n"], held["n"][i]), np.maximum(part["n"], held["n"][i])
-                    # a pair that shares several buckets is met in its first
-                    first = (part["m"] == own).argmax(axis=1) == part["band"]
-                    hits.append(np.flatnonzero(near & first & (part["comp"] != held["comp"][i]) & (100 * small >= threshold * big)))
+                hits = [allowed(held, i, part, threshold, least) for i in range(len(held["v"]))]
                 wanted = np.unique(np.concatenate(hits))
                 for a, b in slices(texts.take(pa.array(s + wanted))):
                     own_sets = dict(zip(wanted[a:b].tolist(), shingle_sets(texts.take(pa.array(s + wanted[a:b])))))
@@ -224,13 +272,17 @@ def _compare(threshold: int, least: float, per_band: int):
     return run
 
 
-def rest_links(m: DataFrame, own: DataFrame, threshold: int, rows: int, block: int = 512) -> DataFrame:
+def in_blocks(m: DataFrame) -> DataFrame:
+    return m.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
+
+
+def rest_links(m: DataFrame, docs: DataFrame, bands: DataFrame, threshold: int, rows: int, block: int = 512) -> DataFrame:
     """Links (a, b) between different components in one bucket.  Blocks of
-    members outside the bucket's largest component meet all its members; a pair
-    whose signatures agree in as many places as :func:`least_for` says is
-    compared on its full sets.  Only links leave the task.  ``own`` (v, bands,
-    text) is what a member carries: it joins the members when they stand in
-    their blocks, so texts are in no shuffle before."""
+    members outside the bucket's largest component meet all its members, with
+    their signatures (``bands``: v, bands).  Where these allow a link, members
+    meet again with their texts and are compared on full sets.  A block's second
+    meeting has the pairs of the first, so it finds the same links as if all
+    texts had been there."""
     sizes = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     top = (sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"),
                                        F.max("c").alias("c"))
@@ -238,9 +290,26 @@ def rest_links(m: DataFrame, own: DataFrame, threshold: int, rows: int, block: i
     m = m.join(top, "bucket")
     minors = m.where("comp <> top").withColumns({"block": F.pmod(F.xxhash64("v"), F.col("_n")), "role": F.lit(0)})
     everyone = m.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)), "role": F.lit(1)})
-    met = written(minors.unionByName(everyone).drop("top", "_n"), "met").join(own, "v").select("bucket", "block", "role", "v", "n", "comp", "band", "bands", "text")
-    return (met.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role")
-            .mapInArrow(lean(_compare(threshold, least_for(threshold), rows)), "a long, b long").distinct())
+    met = written(minors.unionByName(everyone).select(*MEMBER), "met")
+    how = threshold, least_for(threshold), rows
+    types = "bucket long, block long, role int, v long, n long, comp long, band int, bands array<long>"
+    met = written(in_blocks(met.join(bands, "v").select(*MEMBER, "bands")).mapInArrow(lean(_likely(*how)), types), "likely")
+    met = met.join(texts_of(docs, met), "v").select(*MEMBER, "bands", "text")
+    return in_blocks(met).mapInArrow(lean(_compare(*how)), "a long, b long").distinct()
+
+
+def texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(v, text) of the documents that ``rows`` names by v."""
+    wanted = written(rows.select(F.col("v").alias("doc_id")).distinct(), "wanted")  # its size is known to the join
+    return written(docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "texts")
+
+
+def likely_pairs(pairs: DataFrame, bands: DataFrame, threshold: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose signatures (``bands``: v, bands) allow a link."""
+    same = " + ".join(f"if((shiftrightunsigned(x ^ y, {i}) & 65535L) = 0, 1, 0)" for i in range(0, 64, 16))
+    agree = F.expr(f"aggregate(zip_with(_a, _b, (x, y) -> {same}), 0, (s, n) -> s + n)")
+    a, b = (bands.select(F.col("v").alias(c), F.col("bands").alias(f"_{c}")) for c in ("a", "b"))
+    return pairs.join(b, "b").join(a, "a").where(agree / PLACES >= least_for(threshold)).select("a", "b")
 
 
 def _bands(rows: int):
@@ -280,11 +349,12 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
         shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c"), F.min(F.struct("v", "n")).alias("lo"), F.max(F.struct("v", "n")).alias("hi"))
         shared = written(shared.where("_c > 1").select("bucket", F.when(F.col("_c") > 2, F.array("lo", "hi")).otherwise(F.array("lo")).alias("pivots")), "shared")
         members = written(places.join(shared, "bucket"), "members")
-        wanted = written(members.select(F.col("v").alias("doc_id")).distinct(), "wanted")
-        texts = written(docs.select("doc_id", "text").join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "texts")
+        bands = classes.select("v", "bands")
         met = members.select("v", "n", F.explode("pivots").alias("p"))
         pairs = written(met.where("v <> p.v and 100 * least(n, p.n) >= {t} * greatest(n, p.n)".format(t=threshold))
                         .select(F.col("p.v").alias("a"), F.col("v").alias("b")).distinct(), "pairs")
+        pairs = written(likely_pairs(pairs, bands, threshold), "likely")
+        texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("v")))
         links = written(confirm(pairs, texts, threshold).union(same_id_links(sigs, classes, key)), "links")
         comps = components(links)
         # what is left: buckets whose members are not all of one component
@@ -292,8 +362,7 @@ def near_groups(docs: DataFrame, threshold: int = 85) -> DataFrame:
         members = members.withColumn("comp", F.coalesce("root", "v")).drop("root")
         mixed = written(members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "mixed")
         rest = written(members.join(mixed, "bucket"), "rest")
-        carried = texts.join(rest.select("v").distinct(), "v").join(classes.select("v", "bands"), "v")
-        more = written(rest_links(rest, carried, threshold, rows), "more")
+        more = written(rest_links(rest, docs, bands, threshold, rows), "more")
         if not more.isEmpty():
             comps = components(links.union(more))
         comps.write.parquet(kept)
@@ -310,7 +379,8 @@ def keep_first(docs: DataFrame, **kw) -> DataFrame:
     """``docs`` without the rows that are not kept: one document of each group
     stays, and one row of a doc_id that has several (the least text's)."""
     groups = written(near_groups(docs, **kw).select("doc_id", "kept"), "groups")
-    gone = groups.where("not kept").select("doc_id").distinct()
+    # written, so that the join knows its size: where it is small, the texts stay in place
+    gone = written(groups.where("not kept").select("doc_id").distinct(), "gone")
     several = written(groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("doc_id"), "several")
     cols = [F.col(f"`{c}`") for c in docs.columns]
     left = docs.join(gone, "doc_id", "left_anti").select(*cols)

@@ -147,3 +147,66 @@ def test_recall_of_signatures():
         assert missed == 0
     with pytest.raises(ValueError):
         rows_for(5)
+
+
+def half_alike(n, seed=11, length=120):
+    """Pairs that share buckets and are not near: half of their shingles are equal."""
+    r, out = random.Random(seed), []
+    for i in range(n):
+        own = [f"{i}w{r.randrange(10 ** 6)}" for _ in range(length)]
+        out += [" ".join(own), " ".join(own[:2 * length // 3] + [f"{i}v{r.randrange(10 ** 6)}" for _ in range(length // 3)])]
+    return list(enumerate(out))
+
+
+def test_texts_go_only_where_a_link_is_likely(spark, monkeypatch):
+    """Pairs whose signatures allow no link met with their texts before."""
+    from tessera.llm import near_dedup
+    rows, seen, written = half_alike(60), {}, near_dedup.written
+
+    def noted(df, name):
+        out = written(df, name)
+        seen[name] = max(seen.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(near_dedup, "written", noted)
+    near = [(1000, rows[0][1]), (1001, rows[0][1] + " more"), (1002, rows[2][1] + " more")]
+    got = {r.doc_id: r.component_id for r in near_groups(spark.createDataFrame(rows + near, "doc_id long, text string")).collect()}
+    assert got == near_components(rows + near)
+    assert seen["pairs"] > 40  # of pairs that share a bucket
+    assert seen["texts"] <= 4
+
+
+def test_second_meeting_finds_the_links_of_the_rest(spark):
+    """Members of a bucket that no pivot reaches: one chain beside many others."""
+    from tessera.llm.near_dedup import BANDS, least_for, rest_links, shingle_sets
+    import pyarrow as pa
+    r = random.Random(5)
+    own = [f"w{r.randrange(10 ** 6)}" for _ in range(200)]
+    docs = [(i, " ".join(own + [f"x{i}"])) for i in range(6)] + half_alike(10)[6:]
+    sets = shingle_sets(pa.array([t for _, t in docs]))
+    sig = superminhash(np.repeat(np.arange(len(docs)), [len(s) for s in sets]), np.concatenate(sets), len(docs))
+    bands = [(i, row.tolist()) for (i, _), row in zip(docs, band_values(sig))]
+    first = {i: next(b for b in range(BANDS) if row[b] == bands[0][1][b]) if i < 6 else 0 for i, row in bands}
+    members = [(1, i, len(s), first[i], i) for (i, _), s in zip(docs, sets)]
+    m = spark.createDataFrame(members, "bucket long, v long, n long, band int, comp long")
+    got = rest_links(m, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bands, "v long, bands array<long>"),
+                     85, 4, block=4).collect()
+    assert least_for(85) < 1
+    root = {i: i for i in range(6)}
+    for _ in range(6):
+        for a, b in got:
+            root[a] = root[b] = min(root[a], root[b])
+    assert set(root.values()) == {0}
+
+
+def test_texts_stay_in_place_where_few_documents_go(spark):
+    """The join with the ids that go knew only the size of all ids before."""
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(3000)] + [(5000, "A1 b1 c1 d1 e1")]
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6000")
+    try:
+        left = keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert left.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
