@@ -10,7 +10,7 @@ The HEADS most frequent units stand in groups of SIZE, neighbours in
 spelling; all others share one group, in which a unit has its smoothed
 frequency.  So a step costs two small softmaxes, not one over the vocabulary,
 and probabilities of all units add up to 1.  The softmaxes inside groups are
-computed for all groups at once: states stand in blocks of one group each.
+computed for all states at once, which stand in order of their groups.
 
 Gathering: one pass over the training texts counts words, units and pairs of
 neighbouring units; windows are made from the texts again in each round, so
@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, hash_strings, lean, mix, slices, small_batches, to_long, written
+from .common import Words, lean, mix, slices, small_batches, to_long, written
 from .subwords import remembered, sentence_pieces
 
 WINDOW, OVERLAP = 32, 6
@@ -57,7 +57,6 @@ WIDTH, KEY = 24, 8
 ROUNDS = 2
 SHARD, MOST_SHARDS = 50_000, 1024
 BATCH = 128  # windows of a training step
-BLOCK, SCORE_BLOCK = 32, 64  # states of one group that one product takes, in training and in scoring
 CHUNK = 256  # windows that one step of scoring takes
 FREQUENT = 1e-6
 END = 2  # the vocabulary's end of text
@@ -115,131 +114,178 @@ CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 LIMIT = np.float32(60)  # of exponents: float32 ends at e ** 88
 
 
+def exponentials(x: np.ndarray) -> np.ndarray:
+    """e to each number (LIMIT at most), in place."""
+    if x.size and x.max() > LIMIT:
+        np.minimum(x, LIMIT, out=x)
+    return np.exp(x, out=x)
+
+
 def attend(w: dict, x: np.ndarray):
     """Hidden states of windows of input numbers (windows x WINDOW), with what
     the gradients need: weights before and sums after the mask."""
-    e = w["E"][x]
-    e += w["P"]
-    flat = e.reshape(-1, WIDTH)
-    parts = flat @ w["Wi"]
-    q, k, v = np.split(parts[:, :2 * KEY + WIDTH].reshape(*x.shape, -1), (KEY, 2 * KEY), axis=2)
-    a = q @ k.transpose(0, 2, 1)
-    np.minimum(a, LIMIT, out=a)
-    np.exp(a, out=a)
+    # Wi by number and by place: a window's products are sums of these
+    parts = np.take(w["E"] @ w["Wi"], x, axis=0)
+    parts += w["P"] @ w["Wi"]
+    q, k, v, own = np.split(parts, (KEY, 2 * KEY, 2 * KEY + WIDTH), axis=2)
+    a = exponentials(q @ k.transpose(0, 2, 1))
     a *= CAUSAL
     total = a @ np.ones((WINDOW, 1), np.float32)
     c = a @ v
     c /= total
-    z = c.reshape(-1, WIDTH) @ w["Wo"]
-    z += parts[:, 2 * KEY + WIDTH:]
+    z = (c.reshape(-1, WIDTH) @ w["Wo"]).reshape(c.shape)
+    z += own
     z += w["b"]
-    return z.reshape(e.shape), (e, q, k, v, a, total, c)
+    return z, (q, k, v, a, total, c)
+
+
+def tables(w: dict) -> tuple[np.ndarray, np.ndarray]:
+    """What each number and each place add to queries, keys, values (times Wo)
+    and the state's own part: with fixed weights, sums in place of products."""
+    out = []
+    for name in ("E", "P"):
+        m = w[name] @ w["Wi"]
+        m[:, 2 * KEY:2 * KEY + WIDTH] = m[:, 2 * KEY:2 * KEY + WIDTH] @ w["Wo"]
+        out.append(m)
+    out[1][:, 2 * KEY + WIDTH:] += w["b"]
+    return out[0], out[1]
+
+
+def states(table: tuple[np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The hidden states of ``attend``, by ``tables``."""
+    parts = np.take(table[0], x, axis=0)
+    parts += table[1]
+    q, k, v, own = np.split(parts, (KEY, 2 * KEY, 2 * KEY + WIDTH), axis=2)
+    a = exponentials(q @ k.transpose(0, 2, 1))
+    a *= CAUSAL
+    z = a @ v
+    z /= a @ np.ones((WINDOW, 1), np.float32)
+    z += own
+    return z
 
 
-def log_share(x: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log softmax of some rows of x, each at one place of it."""
-    np.minimum(x, LIMIT, out=x)
-    own = x[rows, at]
-    np.exp(x, out=x)
-    return own - np.log(x @ np.ones(x.shape[1], x.dtype))[rows]
+def log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of each row of x at one place of it."""
+    own = np.minimum(x[np.arange(len(x)), at], LIMIT)
+    exponentials(x)
+    return own - np.log(x @ np.ones(x.shape[1], x.dtype))
 
 
 def shares(x: np.ndarray) -> np.ndarray:
     """Softmax of each row, in place."""
-    np.minimum(x, LIMIT, out=x)
-    np.exp(x, out=x)
+    exponentials(x)
     x /= x @ np.ones((x.shape[1], 1), x.dtype)
     return x
 
 
-def blocks(units: Units, g: np.ndarray, size: int):
-    """States by group: those whose group is not the rest's, the place of each
-    among blocks of ``size`` states of one group, and the blocks' groups."""
-    n = np.bincount(g, minlength=units.groups)
-    rows = np.argsort(g.astype(np.int16), kind="stable")[:len(g) - n[-1]]
-    count = -(-n[:-1] // size)
-    own = g[rows]
-    at = ((np.cumsum(count) - count) * size - (np.cumsum(n) - n)[:-1])[own] + np.arange(len(rows))
-    return rows, at, np.repeat(np.arange(len(count)), count)
+def by_group(units: Units, g: np.ndarray):
+    """Places in order of their groups (the rest's is the last), how many are
+    of other groups, and these groups with their first and last place."""
+    ends = np.cumsum(np.bincount(g, minlength=units.groups)).tolist()
+    own = [(j, a, b) for j, (a, b) in enumerate(zip([0, *ends], ends[:-1])) if b > a]
+    return np.argsort(g.astype(np.int16), kind="stable"), ([0] + ends)[-2], own
 
 
-def in_blocks(z: np.ndarray, at: np.ndarray, count: int, size: int) -> np.ndarray:
-    out = np.zeros((count * size, z.shape[1]), z.dtype)
-    out[at] = z
-    return out.reshape(count, size, -1)
+def inside_groups(w: dict, z: np.ndarray, own: list) -> np.ndarray:
+    """Exponents inside the groups of states in order of their groups."""
+    x = np.empty((len(z), SIZE), z.dtype)
+    for j, a, b in own:
+        part = np.matmul(z[a:b], w["Ug"][j], out=x[a:b])
+        part += w["bg"][j]
+    return x
 
 
 def log_probs(w: dict, units: Units, z: np.ndarray, y: np.ndarray) -> np.ndarray:
     """ln P of each next number (the rest's units as one) at its state."""
     g = units.of[y]
-    lp = log_share(z @ w["Uc"] + w["bc"], np.arange(len(y)), g)
-    rows, at, of = blocks(units, g, SCORE_BLOCK)
-    if len(rows):
-        x = in_blocks(z[rows], at, len(of), SCORE_BLOCK) @ w["Ug"][of]
-        x += w["bg"][of][:, None]
-        lp[rows] += log_share(x.reshape(-1, SIZE), at, y[rows] % SIZE)
+    order, n, own = by_group(units, g)
+    z, y = np.take(z, order, axis=0), y[order]
+    x = z @ w["Uc"]
+    x += w["bc"]
+    share = log_share(x, g[order])
+    if n:
+        share[:n] += log_share(inside_groups(w, z[:n], own), y[:n] % SIZE)
+    lp = np.empty_like(share)
+    lp[order] = share
     return lp
 
 
 def gradients(w: dict, units: Units, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> dict:
     """Mean gradients of -ln P over the positions ``ok`` of windows."""
-    z3, (e, q, k, v, a, total, c) = attend(w, x)
+    z3, (q, k, v, a, total, c) = attend(w, x)
     a /= total
     flat = lambda m: m.reshape(-1, m.shape[-1])
+    ones = np.ones(x.size, z3.dtype)
+    sums = lambda m: ones[:len(m)] @ m  # of the columns
     own = np.flatnonzero(ok)
-    z, t = flat(z3)[own], y.ravel()[own]
+    t = y.ravel()[own]
     g = units.of[t]
-    dw = {name: np.zeros_like(w[name]) for name in ("E", "Ug", "bg")}
-    d = shares(z @ w["Uc"] + w["bc"])
-    d[np.arange(len(t)), g] -= 1
-    dw["Uc"], dw["bc"] = z.T @ d, d.sum(axis=0)
+    order, n, groups = by_group(units, g)
+    own, t, g = own[order], t[order], g[order]
+    z = np.take(flat(z3), own, axis=0)
+    dw = {name: np.zeros_like(w[name]) for name in ("Ug", "bg")}
+    d = z @ w["Uc"]
+    d += w["bc"]
+    shares(d)[np.arange(len(t)), g] -= 1
+    dw["Uc"], dw["bc"] = z.T @ d, sums(d)
     dz = d @ w["Uc"].T
-    rows, at, of = blocks(units, g, BLOCK)
-    if len(rows):
-        zb, u = in_blocks(z[rows], at, len(of), BLOCK), w["Ug"][of]
-        d = zb @ u
-        d += w["bg"][of][:, None]
-        d = shares(d.reshape(-1, SIZE))
-        d[at, t[rows] % SIZE] -= 1
-        full = np.zeros(len(d), bool)
-        full[at] = True
-        d[~full] = 0
-        d = d.reshape(len(of), BLOCK, SIZE)
-        dz[rows] += flat(d @ u.transpose(0, 2, 1))[at]
-        first = np.flatnonzero(np.diff(of, prepend=-1))  # blocks of one group are neighbours
-        dw["Ug"][of[first]] = np.add.reduceat(zb.transpose(0, 2, 1) @ d, first, axis=0)
-        dw["bg"][of[first]] = np.add.reduceat(d.sum(axis=1), first, axis=0)
+    if n:
+        d = shares(inside_groups(w, z[:n], groups))
+        d[np.arange(n), t[:n] % SIZE] -= 1
+        for j, s, f in groups:
+            dz[s:f] += d[s:f] @ w["Ug"][j].T
+            dw["Ug"][j] = z[s:f].T @ d[s:f]
+            dw["bg"][j] = sums(d[s:f])
     dz3 = np.zeros_like(z3)
     flat(dz3)[own] = dz
-    dw["b"], dw["Wo"] = dz.sum(axis=0), flat(c).T @ flat(dz3)
+    dw["b"], dw["Wo"] = sums(dz), flat(c).T @ flat(dz3)
     dc = (flat(dz3) @ w["Wo"].T).reshape(z3.shape)
-    dv, ds = a.transpose(0, 2, 1) @ dc, dc @ v.transpose(0, 2, 1)
-    ds -= (dc * c).sum(axis=2, keepdims=True)  # the mean of ds under a
+    ds = dc @ v.transpose(0, 2, 1)
+    c *= dc
+    ds -= c @ np.ones((WIDTH, 1), c.dtype)  # the mean of ds under a
     ds *= a
-    d = flat(np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, dv, dz3), axis=2))
-    dw["Wi"], de = flat(e).T @ d, d @ w["Wi"].T
-    dw["P"] = de.reshape(e.shape).sum(axis=0)
-    order = np.argsort(x.ravel().astype(np.int16), kind="stable")
-    number = x.ravel()[order]
-    first = np.flatnonzero(np.diff(number, prepend=-1))
-    dw["E"][number[first]] = np.add.reduceat(de[order], first, axis=0)
+    # queries, keys, values and the state's own part, as in Wi
+    d = np.empty((*x.shape, 2 * KEY + 2 * WIDTH), z3.dtype)
+    np.matmul(ds, k, out=d[:, :, :KEY])
+    np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, KEY:2 * KEY])
+    np.matmul(a.transpose(0, 2, 1), dc, out=d[:, :, 2 * KEY:2 * KEY + WIDTH])
+    d[:, :, 2 * KEY + WIDTH:] = dz3
+    # by number and by place, then through Wi
+    of_place = sums(d.reshape(len(x), -1)).reshape(WINDOW, -1)
+    at = (x.ravel() * d.shape[2])[:, None] + np.arange(d.shape[2])
+    of_number = np.bincount(at.ravel(), d.ravel(), len(w["E"]) * d.shape[2]).astype(d.dtype).reshape(len(w["E"]), -1)
+    dw["E"], dw["P"] = of_number @ w["Wi"].T, of_place @ w["Wi"].T
+    dw["Wi"] = w["E"].T @ of_number + w["P"].T @ of_place
     return {name: p / max(len(t), 1) for name, p in sorted(dw.items())}
 
 
 class Steps:
-    """Adam from given weights."""
+    """Adam from given weights, all of them in one array; ``w`` has its parts."""
 
     def __init__(self, w: dict):
-        self.w = {k: v.copy() for k, v in w.items()}
-        self.m, self.v, self.t = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
+        self.flat = np.concatenate([w[k].ravel() for k in sorted(w)])
+        self.w, at = {}, 0
+        for k in sorted(w):
+            self.w[k] = self.flat[at:at + w[k].size].reshape(w[k].shape)
+            at += w[k].size
+        self.m, self.v, self.t = np.zeros_like(self.flat), np.zeros_like(self.flat), 0
 
     def take(self, grads: dict) -> None:
         self.t += 1
         rate = RATE * math.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
-        for k, g in grads.items():
-            self.m[k] += np.float32(0.1) * (g - self.m[k])
-            self.v[k] += np.float32(0.01) * (g * g - self.v[k])
-            self.w[k] -= np.float32(rate) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
+        g = np.concatenate([grads[k].ravel() for k in sorted(grads)])
+        more = g - self.m
+        more *= np.float32(0.1)
+        self.m += more
+        g *= g
+        g -= self.v
+        g *= np.float32(0.01)
+        self.v += g
+        np.sqrt(self.v, out=g)
+        g += np.float32(1e-6)
+        np.multiply(self.m, np.float32(rate), out=more)
+        more /= g
+        self.flat -= more
 
 
 def unit_rows(words: Words, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,8 +360,10 @@ def _gather(path: str, lower: bool = False, counted: bool = True, turns: tuple =
                 prev[bounds[:-1]] = BEGIN
                 start, text, _ = windows(bounds)
                 if counted:
-                    held[0].append((hash_strings(w.vocab).view(np.int64), np.bincount(w.codes, minlength=len(w.vocab))))
-                    held[1].append(np.unique(flat, return_counts=True))
+                    held[0].append((w.vocab_hashes().view(np.int64), np.bincount(w.codes, minlength=len(w.vocab))))
+                    n = np.bincount(flat)
+                    units = np.flatnonzero(n)
+                    held[1].append((units, n[units]))
                     held[2].append(np.unique(prev << 21 | flat, return_counts=True))
                     held[3].append((np.zeros(1, np.int64), np.array([e - s])))
                     held[5].append((np.zeros(1, np.int64), np.array([len(start)])))
@@ -352,13 +400,14 @@ def _train(model):
             return len(ids)
         for batch in batches:
             held = np.concatenate((held, unpacked(batch.column(0).to_pylist())))
-            while len(held) >= BATCH:
-                seen += step(held[:BATCH])
-                held = held[BATCH:]
+            whole = len(held) - len(held) % BATCH
+            for s in range(0, whole, BATCH):
+                seen += step(held[s:s + BATCH])
+            held = held[whole:]
         if len(held):
             seen += step(held)
         if seen:
-            flat = np.concatenate([steps.w[k].ravel() for k in sorted(steps.w)]).astype(np.float64)
+            flat = steps.flat.astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen),
                                               pa.array(np.full(len(flat), seen, np.int64))], names=["at", "x", "seen"])
     return run
@@ -369,12 +418,13 @@ def score_texts(w: dict, units: Units, flat: np.ndarray, bounds: np.ndarray) ->
     numbers = units.number[flat]
     total = np.zeros(len(bounds) - 1)
     start, text, first = windows(bounds)
+    table = tables(w)
     for a in range(0, len(start), CHUNK):
         s, t, f = start[a:a + CHUNK], text[a:a + CHUNK], first[a:a + CHUNK]
         x, y, ok, at = window_rows(numbers, bounds, s, t, len(units.heads) + 1)
         scored = ok & (f[:, None] | (np.arange(WINDOW) >= OVERLAP))
         # attention in batches that fit a cache, the softmaxes over more rows at once
-        z = np.concatenate([attend(w, x[b:b + 64])[0][scored[b:b + 64]] for b in range(0, len(x), 64)])
+        z = np.concatenate([states(table, x[b:b + 64])[scored[b:b + 64]] for b in range(0, len(x), 64)])
         y = y[scored]
         lp = log_probs(w, units, z, y)
         rare = y == len(units.heads)
@@ -396,7 +446,7 @@ def _score(path: str, model, lower: bool = False):
                 own = Words(texts.slice(s, e - s), lower)
                 flat, bounds = unit_rows(own, *ids_of(own))
                 score = score_texts(w, units, flat, bounds) / math.log(10)
-                vocab = hash_strings(own.vocab)
+                vocab = own.vocab_hashes()
                 place = np.minimum(np.searchsorted(often, vocab), max(len(often) - 1, 0))
                 found = often[place] == vocab if len(often) else np.zeros(len(vocab), bool)
                 known, n = found[own.codes], e - s

@@ -82,20 +82,26 @@ class Words:
             flat = flat.filter(pa.array(full))
         coded = flat.dictionary_encode()
         self.codes = np.asarray(coded.indices, dtype=np.int64)
-        self.vocab = coded.dictionary
+        self.vocab, self._hashes = coded.dictionary, None
         self.counts = counts
         self.bounds = np.concatenate(([0], np.cumsum(counts)))
         self.doc = np.repeat(np.arange(len(counts)), counts)  # the text of each word
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word, the same in every process."""
-        return hash_strings(self.vocab)[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+        return self.vocab_hashes()[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+
+    def vocab_hashes(self) -> np.ndarray:
+        """A 64-bit hash of each distinct word, made once."""
+        if self._hashes is None:
+            self._hashes = hash_strings(self.vocab)
+        return self._hashes
 
 
 def hash_strings(strings: pa.Array) -> np.ndarray:
     import xxhash
     h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(s) for s in strings.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=len(strings))
+    return np.fromiter(map(h, strings.cast(pa.binary()).to_pylist()), dtype=np.uint64, count=len(strings))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

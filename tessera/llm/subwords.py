@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from .common import Words, hash_strings
+from .common import Words
 
 #: Words that a worker remembers before it starts anew; bounds its memory.
 REMEMBERED = 1_000_000
@@ -55,14 +55,14 @@ class WordIds:
         """All ids in order, and how many each word has."""
         if not len(words.codes):
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
-        keys = hash_strings(words.vocab)
+        keys = words.vocab_hashes()
         if len(self.keys) > REMEMBERED:
             self.clear()
-        _, known = self.find(keys)
+        at, known = self.find(keys)
         if not known.all():
             new = np.flatnonzero(~known)
             self.add(keys[new], self.encode(words.vocab.take(new).to_pylist()))
-        at, _ = self.find(keys)
+            at, _ = self.find(keys)
         size, start = self.size[at].astype(np.int64)[words.codes], self.at[at][words.codes]
         ends = np.cumsum(size)
         return self.flat[np.repeat(start - (ends - size), size) + np.arange(ends[-1])], size

@@ -218,3 +218,20 @@ def test_query_lower_cases_ascii_letters(spark, tmp_path):
     # texts that differ in A-Z alone have one score
     score = {r.doc_id: r.score for r in got}
     assert score[0] == pytest.approx(score[1], rel=1e-5)
+
+
+def test_states_by_tables_equal_attention(small):
+    units, w = small
+    x = np.random.default_rng(5).integers(0, lm.HEADS + 2, (7, lm.WINDOW))
+    assert lm.states(lm.tables(w), x) == pytest.approx(lm.attend(w, x)[0], abs=1e-4)
+
+
+def test_each_distinct_word_is_hashed_once(monkeypatch):
+    """Counting needs the words' hashes twice, for their ids and as their keys."""
+    import xxhash
+    made, h = [], xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda s: made.append(s) or h(s))
+    batch = pa.RecordBatch.from_arrays([pa.array(["the cat", "a cat", None]), pa.array([1, 2, 3], pa.int64())], names=["text", "doc"])
+    rows = [r for out in lm._gather(PATH)([batch]) for r in out.to_pylist() if r["kind"] == 0]
+    assert sorted(made) == [b"a", b"cat", b"the"]
+    assert sorted(r["n"] for r in rows) == [1, 1, 2]
